@@ -2,6 +2,9 @@
 
 The lexicon is a set of literals, grouped by rating: one hash-set test per distinct rating,
 only for words that are in the lexicon at all. Nothing is joined, shuffled or collected.
+
+The expression is composed as SQL text: word lists run to thousands of literals, which the
+parser takes at once, where one Python call per literal would take seconds.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cantora.functions.text import let
 from cantora.functions.wordlists import BOOST, BOOSTERS_DOWN, BOOSTERS_UP, NEGATIONS, VALENCE
 
 # Fixed values of the published rule set.
@@ -63,162 +65,132 @@ def read_lexicon(spark, path: str) -> dict[str, float]:
     return {r.word: r.mean for r in rows}
 
 
-def words_and_marks(text: Column) -> Column:
-    """White-space tokens of two or more characters, edge punctuation stripped.
+def _let(var: str, value: str, body: str) -> str:
+    """SQL text that evaluates ``value`` once and binds it to ``var`` in ``body``."""
+    return f"get(transform(array({value}), {var} -> {body}), 0)"
 
-    A token that is nothing but punctuation (an emoticon) stays whole.
-    """
-    punct = r"[!-/:-@\[-`{-~]+"
-    bare = F.transform(
-        F.filter(F.split(text, r"\s+"), lambda w: F.char_length(w) > 1),
-        lambda w: let(
-            F.regexp_replace(w, rf"^{punct}|{punct}$", ""),
-            lambda s: F.when(s == "", w).otherwise(s),
-        ),
-    )
-    return F.filter(bare, lambda w: F.char_length(w) > 1)
+
+def _in(word: str, words) -> str:
+    quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in dict.fromkeys(words))
+    return f"{word} IN ({quoted})" if quoted else "false"
+
+
+# Punctuation at the edge of a token that holds something else; a token that is nothing but
+# punctuation (an emoticon) stays whole.
+_PUNCT = r"!-/:-@\[-`{-~"
+_EDGES = rf"(?<!\S)[{_PUNCT}]+(?=[^\s{_PUNCT}])|(?<=[^\s{_PUNCT}])[{_PUNCT}]+(?!\S)"
+
+
+def tokens_sql(text: str) -> str:
+    """White-space tokens of two or more characters, edge punctuation stripped."""
+    return rf"""filter(split(regexp_replace({text}, r"{_EDGES}", ''), r"\s+"), w -> char_length(w) > 1)"""
 
 
-def rating(word: Column, valence: dict[str, float]) -> Column:
-    """Lexicon rating of a lower-case word, 0.0 outside the lexicon."""
+def rating_sql(word: str, valence: dict[str, float]) -> str:
+    """Lexicon rating of a lower-case word, 0 outside the lexicon."""
     by_value: dict[float, list[str]] = defaultdict(list)
     for w, v in valence.items():
         if v:
             by_value[float(v)].append(w)
     if not by_value:
-        return F.lit(0.0)
-    hit = None
-    for v, members in by_value.items():
-        hit = F.when(word.isin(members), F.lit(v)) if hit is None else hit.when(word.isin(members), F.lit(v))
+        return "0D"
     known = [w for members in by_value.values() for w in members]
-    return F.when(word.isin(known), hit).otherwise(F.lit(0.0))
+    cases = " ".join(f"WHEN {_in(word, members)} THEN {v}D" for v, members in by_value.items())
+    return f"CASE WHEN {_in(word, known)} THEN CASE {cases} END ELSE 0D END"
 
 
-def _is_upper(w: Column) -> Column:
-    return (F.upper(w) == w) & (F.lower(w) != w)
+def _upper(w: str) -> str:
+    return f"(upper({w}) = {w} AND lower({w}) <> {w})"
 
 
-def _negates(w: Column, rules: Rules) -> Column:
-    return w.isin(list(rules.negations)) | F.contains(w, F.lit("n't"))
-
-
-def _signed(v: Column, step: Column) -> Column:
+def _signed(v: str, step: str) -> str:
     """``step`` away from zero on the side of ``v``."""
-    return F.when(v > 0, step).otherwise(-step)
-
-
-def _boost(word: Column, lower: Column, v: Column, mixed_caps: Column, rules: Rules) -> Column:
-    """What a modifier word adds to a rating."""
-    base = (
-        F.when(lower.isin(list(rules.boosters_up)), F.lit(BOOST))
-        .when(lower.isin(list(rules.boosters_down)), F.lit(-BOOST))
-    )
-    caps = F.when(mixed_caps & _is_upper(word), F.lit(CAPS_STEP)).otherwise(F.lit(0.0))
-    return F.coalesce(_signed(v, base) + _signed(v, caps), F.lit(0.0))
+    return f"(CASE WHEN {v} > 0 THEN {step} ELSE -({step}) END)"
 
 
-def _token_score(i: Column, toks: Column, low: Column, vals: Column, mixed: Column, rules: Rules) -> Column:
-    """Rating of token ``i`` after capitals, modifiers, negation and "least"."""
+def _token_score(rules: Rules) -> str:
+    """Rating of token ``i`` after capitals, modifiers, negation and "least".
 
-    def at(arr: Column, back: int) -> Column:
-        return F.get(arr, i - F.lit(back))
+    Uses the bound names ``toks``, ``low`` (lower case), ``vals`` (ratings) and ``mixed``
+    (capitals tell words apart in this text).
+    """
 
-    own = F.get(vals, i)
-    score = own + F.when(mixed & _is_upper(F.get(toks, i)), _signed(own, F.lit(CAPS_STEP))).otherwise(F.lit(0.0))
+    def at(array: str, back: int) -> str:
+        return f"get({array}, i - {back})"
 
-    def step(back: int, score: Column) -> Column:
-        # A neighbour counts when it exists and is no rated word itself.
-        applies = (i >= back) & (at(vals, back) == 0.0)
-        boosted = score + F.lit(DISTANCE_WEIGHT[back - 1]) * _boost(at(toks, back), at(low, back), score, mixed, rules)
-        never = at(low, back) == "never"
-        if back == 1:
-            factor = F.when(_negates(at(low, 1), rules), F.lit(NEGATION_FACTOR))
-        else:
-            emphatic = never & (
-                at(low, 1).isin("so", "this") if back == 2
-                else (at(low, 2).isin("so", "this") | at(low, 1).isin("so", "this"))
-            )
-            factor = (
-                F.when(emphatic, F.lit(NEVER_SO[1] if back == 2 else NEVER_SO[0]))
-                .when(_negates(at(low, back), rules), F.lit(NEGATION_FACTOR))
-            )
-        return let(
-            boosted, lambda b: F.when(applies, b * F.coalesce(factor, F.lit(1.0))).otherwise(score)
+    def step(back: int, score: str) -> str:
+        low, tok = at("low", back), at("toks", back)
+        modifier = (
+            f"(CASE WHEN {_in(low, rules.boosters_up)} THEN {_signed(score, f'{BOOST}D')} "
+            f"WHEN {_in(low, rules.boosters_down)} THEN {_signed(score, f'-{BOOST}D')} END "
+            f"+ CASE WHEN mixed AND {_upper(tok)} THEN {_signed(score, f'{CAPS_STEP}D')} ELSE 0D END)"
         )
-
-    def least(score: Column) -> Column:
-        negated = (i >= 1) & (at(low, 1) == "least") & (at(vals, 1) == 0.0) & ~F.coalesce(
-            at(low, 2).isin("at", "very"), F.lit(False)
-        )
-        return F.when(negated, score * F.lit(NEGATION_FACTOR)).otherwise(score)
-
-    scored = let(
-        score,
-        lambda s0: let(step(1, s0), lambda s1: let(step(2, s1), lambda s2: let(step(3, s2), least))),
+        boosted = f"({score} + {DISTANCE_WEIGHT[back - 1]}D * coalesce({modifier}, 0D))"
+        negates = f"({_in(low, rules.negations)} OR contains({low}, \"n't\"))"
+        cases = f"WHEN {negates} THEN {NEGATION_FACTOR}D"
+        if back == 2:
+            cases = f"WHEN {low} = 'never' AND {at('low', 1)} IN ('so', 'this') THEN {NEVER_SO[1]}D " + cases
+        elif back == 3:
+            emphatic = f"{at('low', 2)} IN ('so', 'this') OR {at('low', 1)} IN ('so', 'this')"
+            cases = f"WHEN {low} = 'never' AND ({emphatic}) THEN {NEVER_SO[0]}D " + cases
+        # A neighbour counts when it exists and is no rated word itself.
+        applies = f"i >= {back} AND {at('vals', back)} = 0D"
+        return f"CASE WHEN {applies} THEN {boosted} * CASE {cases} ELSE 1D END ELSE {score} END"
+
+    own = "get(vals, i)"
+    start = f"{own} + CASE WHEN mixed AND {_upper('get(toks, i)')} THEN {_signed(own, f'{CAPS_STEP}D')} ELSE 0D END"
+    least = (
+        f"i >= 1 AND {at('low', 1)} = 'least' AND {at('vals', 1)} = 0D "
+        f"AND NOT coalesce({at('low', 2)} IN ('at', 'very'), false)"
     )
-    modifier = F.get(low, i).isin(list(rules.boosters_up + rules.boosters_down))
-    return F.when((own == 0.0) | modifier, F.lit(0.0)).otherwise(scored)
+    last = f"CASE WHEN {least} THEN s3 * {NEGATION_FACTOR}D ELSE s3 END"
+    scored = _let("s0", start, _let("s1", step(1, "s0"), _let("s2", step(2, "s1"), _let("s3", step(3, "s2"), last))))
+    return f"CASE WHEN {_in('get(low, i)', rules.boosters_up + rules.boosters_down)} THEN 0D ELSE {scored} END"
 
 
-def _punctuation(text: Column) -> Column:
-    marks = F.char_length(text) - F.char_length(F.replace(text, F.lit("!"), F.lit("")))
-    questions = F.char_length(text) - F.char_length(F.replace(text, F.lit("?"), F.lit("")))
-    exclaim = F.least(marks, F.lit(EXCLAMATION_MAX)).cast("double") * F.lit(EXCLAMATION_STEP)
-    ask = (
-        F.when(questions <= 1, F.lit(0.0))
-        .when(questions <= 3, questions.cast("double") * F.lit(QUESTION_STEP))
-        .otherwise(F.lit(QUESTION_MAX))
+def _sum_sql(text: str, rules: Rules) -> str:
+    """Sum of the token scores in token order, with the shift around the first "but"."""
+    weight = (
+        f"CASE WHEN but = 0 OR i = but - 1 THEN 1D WHEN i < but - 1 THEN {BUT_BEFORE}D ELSE {BUT_AFTER}D END"
+    )
+    part = f"CASE WHEN get(vals, i) = 0D THEN acc ELSE acc + ({_token_score(rules)}) * {weight} END"
+    folded = f"aggregate(sequence(0, size(toks) - 1), 0D, (acc, i) -> {part})"
+    n_upper = f"size(filter(toks, w -> {_upper('w')}))"
+    bound = _let(
+        "mixed", _let("n", n_upper, "n > 0 AND n < size(toks)"), _let("but", "array_position(low, 'but')", folded)
+    )
+    rated = f"CASE WHEN exists(vals, v -> v <> 0D) THEN {bound} ELSE 0D END"
+    return _let(
+        "toks", tokens_sql(text),
+        _let("low", "transform(toks, w -> lower(w))",
+             _let("vals", f"transform(low, w -> {rating_sql('w', rules.valence)})", rated)),
     )
-    return exclaim + ask
 
 
-def raw_sum(text: Column, rules: Rules) -> Column:
-    """Sum of the token scores in token order, with the shift around the first "but"."""
+def _marks_sql(text: str) -> str:
+    """Emphasis of exclamation and question marks."""
 
-    def total(toks, low, vals):
-        n = F.size(toks)
-        n_upper = F.size(F.filter(toks, _is_upper))
-        mixed = (n_upper > 0) & (n_upper < n)
-
-        def fold(mixed):
-            def weighted(but):
-                def part(acc, i):
-                    s = _token_score(i, toks, low, vals, mixed, rules)
-                    w = (
-                        F.when(but == 0, F.lit(1.0))
-                        .when(i < but - 1, F.lit(BUT_BEFORE))
-                        .when(i > but - 1, F.lit(BUT_AFTER))
-                        .otherwise(F.lit(1.0))
-                    )
-                    return acc + F.when(F.get(vals, i) == 0.0, F.lit(0.0)).otherwise(s * w)
-
-                return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), part)
-
-            return let(F.array_position(low, "but"), weighted)
-
-        return F.when(n == 0, F.lit(0.0)).otherwise(let(mixed, fold))
-
-    return let(
-        words_and_marks(text),
-        lambda toks: let(
-            F.transform(toks, F.lower),
-            lambda low: let(
-                F.transform(low, lambda w: rating(w, rules.valence)), lambda vals: total(toks, low, vals)
-            ),
-        ),
-    )
+    def count(mark: str) -> str:
+        return f"(char_length({text}) - char_length(replace({text}, '{mark}', '')))"
 
+    ask = (
+        f"CASE WHEN {count('?')} <= 1 THEN 0D WHEN {count('?')} <= 3 THEN {count('?')} * {QUESTION_STEP}D "
+        f"ELSE {QUESTION_MAX}D END"
+    )
+    return f"(least({count('!')}, {EXCLAMATION_MAX}) * {EXCLAMATION_STEP}D + {ask})"
 
-def compound(text: Column, rules: Rules | None = None) -> Column:
-    """Compound sentiment in [-1, 1], four digits; 0.0 for a text without rated words."""
-    chosen = rules or Rules()
 
-    def normalized(total):
-        return let(
-            F.when(total > 0, total + _punctuation(text)).when(total < 0, total - _punctuation(text)).otherwise(total),
-            lambda x: F.round(
-                F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x / F.sqrt(x * x + F.lit(NORMALIZER)))), 4
-            ),
-        )
+def compound(text: str, rules: Rules | None = None) -> Column:
+    """Compound sentiment in [-1, 1], four digits; 0.0 for a text without rated words.
 
-    return let(raw_sum(F.coalesce(text, F.lit("")), chosen), normalized)
+    ``text`` is a column name or SQL expression; NULL counts as the empty text.
+    """
+    emphasized = (
+        f"CASE WHEN total > 0 THEN total + {_marks_sql('body')} "
+        f"WHEN total < 0 THEN total - {_marks_sql('body')} ELSE total END"
+    )
+    squashed = f"round(greatest(-1D, least(1D, x / sqrt(x * x + {NORMALIZER}D))), 4)"
+    return F.expr(
+        _let("body", f"coalesce({text}, '')",
+             _let("total", _sum_sql("body", rules or Rules()), _let("x", emphasized, squashed)))
+    )

@@ -17,28 +17,49 @@ METRICS_VERSION = 1
 
 
 def metric_columns(
-    text: Column,
+    text: str,
+    only: Sequence[str] = METRICS,
     rules: sentiment.Rules | None = None,
     density: Callable[[Column], Column] = M.lexical_density,
 ) -> dict[str, Column]:
-    """The six metrics of a text, by column name."""
-    safe = F.coalesce(text, F.lit(""))
-    return {
-        "readability_score": M.readability(safe),
-        "sentiment_score": sentiment.compound(safe, rules),
-        "word_count": M.words(safe),
-        "line_count": M.lines(safe),
-        "char_count": M.chars(safe),
-        "lexical_density": density(safe),
+    """Metrics of a text column by name; a missing text counts as the empty text."""
+    safe = F.coalesce(F.col(text), F.lit(""))
+    make = {
+        "readability_score": lambda: M.readability(safe),
+        "sentiment_score": lambda: sentiment.compound(f"`{text}`", rules),
+        "word_count": lambda: M.words(safe),
+        "line_count": lambda: M.lines(safe),
+        "char_count": lambda: M.chars(safe),
+        "lexical_density": lambda: density(safe),
     }
+    return {name: make[name]() for name in only}
 
 
 def with_metrics(
     lyrics: DataFrame, text: str = "text", only: Sequence[str] = METRICS, rules: sentiment.Rules | None = None, **kw
 ) -> DataFrame:
-    """Lyrics with the metrics named in ``only``; row-local, so no shuffle."""
-    found = metric_columns(F.col(text), rules, **kw)
-    return lyrics.withColumns({name: found[name] for name in only})
+    """Lyrics with the metrics named in ``only``; row-local, so no shuffle.
+
+    The metrics come out of a one-element ``explode``: filters on a metric cannot be pushed
+    below it, which would evaluate the metric twice.
+    """
+    found = metric_columns(text, only, rules, **kw)
+    packed = F.struct(*[c.alias(name) for name, c in found.items()])
+    kept = [F.col(f"`{c}`") for c in lyrics.columns if c not in found]
+    return lyrics.select(*kept, F.explode(F.array(packed)).alias("__m")).select(
+        *kept, *[F.col(f"__m.{name}").alias(name) for name in found]
+    )
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input of heavy row-local work on at least as many tasks as there are cores.
+
+    A table read from many splits comes back unchanged. One that arrives in a few large splits
+    (a single row group cannot be split) is hashed over the cores by ``key``. Only the plan is
+    looked at, no data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def refresh_metrics(lyrics: DataFrame, rules: sentiment.Rules | None = None, **kw) -> DataFrame:

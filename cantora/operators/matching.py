@@ -109,37 +109,88 @@ def letter_bag(x: Column) -> Column:
     )
 
 
-def _common_needed(total: Column, cutoff: float) -> Column:
-    return F.ceil(total * F.lit(cutoff / 2) - F.lit(1e-9)).cast("int")
+def _subsets(tokens: Column, size: int) -> Column:
+    """All ordered subsets of a token array, each as one string."""
+    if size == 1:
+        return tokens
+    return let(
+        tokens,
+        lambda all_: F.flatten(
+            F.transform(
+                all_,
+                lambda head, i: F.transform(
+                    _subsets(F.slice(all_, i + 2, F.size(all_)), size - 1), lambda tail: F.concat(head, F.lit(" "), tail)
+                ),
+            )
+        ),
+    )
+
 
+# Letters that a meeting key holds. More make longer key lists and fewer chance meetings.
+KEY_LETTERS = 3
 
-def meeting_keys(x: Column, cutoff: float) -> Column:
+
+def meeting_keys(x: Column, cutoff: float, letters: int = KEY_LETTERS) -> Column:
     """Keys on which strings of at least the cutoff are sure to meet.
 
-    Pairs of tokens from the rare end of the bag; strings so short that one common letter can
-    do add their single letters.
+    Two strings of n and m letters need at least ``cutoff / 2 * (n + m)`` letters in common. If
+    that is ``letters`` or more, they share that many among the rare ends of their bags. Pairs
+    so short that fewer letters can do meet on all subsets of that smaller size.
     """
     n = F.char_length(x)
     shortest_partner = F.ceil(n * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)).cast("int")
-    needed = F.greatest(_common_needed(n + shortest_partner, cutoff), F.lit(2))
-    prefix_size = F.greatest(n - needed + 2, F.lit(0))
-
-    def pairs(prefix):
-        return F.flatten(
-            F.transform(
-                prefix,
-                lambda a, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda b: F.concat(a, F.lit(" "), b)),
-            )
-        )
+    needed = F.ceil((n + shortest_partner) * F.lit(cutoff / 2) - F.lit(1e-9)).cast("int")
+    rare_end = n - F.greatest(needed, F.lit(letters)) + letters
+    none = F.array().cast("array<string>")
 
     def keys(bag):
-        two = F.when(n >= 2, let(F.slice(bag, F.lit(1), prefix_size), pairs)).otherwise(F.array().cast("array<string>"))
-        one = F.when(n <= F.lit(2 / cutoff - 1), bag).otherwise(F.array().cast("array<string>"))
-        return F.concat(two, one)
+        parts = [F.when(n >= letters, _subsets(F.slice(bag, F.lit(1), rare_end), letters)).otherwise(none)]
+        for fewer in range(1, letters):
+            parts.append(F.when(n <= F.lit(2 * fewer / cutoff - 1 + 1e-9), _subsets(bag, fewer)).otherwise(none))
+        return F.concat(*parts)
 
     return let(letter_bag(x), keys)
 
 
+SIGNATURE_WORDS = 4
+
+
+def _word_bits(places: Column, k: int) -> Column:
+    """The ``k``-th 64 places of a bit set as one long."""
+    mine = F.filter(places, lambda p: (p >= 64 * k) & (p < 64 * (k + 1)))
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(
+        mine, F.lit(0).cast("bigint"),
+        lambda acc, p: acc.bitwiseOR(F.call_function("shiftleft", one, (p - 64 * k).cast("int"))),
+    )
+
+
+def signature(x: Column) -> Column:
+    """Letter bag as a bit set of ``SIGNATURE_WORDS`` long words, one bit per hashed token."""
+    places = F.transform(letter_bag(x), lambda t: F.pmod(F.xxhash64(t), F.lit(64 * SIGNATURE_WORDS)))
+
+    def words(found):
+        named = []
+        for k in range(SIGNATURE_WORDS):
+            named += [F.lit(f"w{k}"), _word_bits(found, k)]
+        return F.named_struct(*named)
+
+    return let(places, words)
+
+
+def _bits_only_in(a: Column, b: Column) -> Column:
+    lone = [F.bit_count(a[f"w{k}"].bitwiseAND(F.bitwise_not(b[f"w{k}"]))) for k in range(SIGNATURE_WORDS)]
+    return sum(lone[1:], lone[0])
+
+
+def common_at_most(a: Column, size_a: Column, b: Column, size_b: Column) -> Column:
+    """Upper bound of the letters in common, from two signatures.
+
+    A bit set on one side only stands for at least one letter the other side lacks.
+    """
+    return F.least(size_a - _bits_only_in(a, b), size_b - _bits_only_in(b, a))
+
+
 def quick_ratio(a: Column, b: Column) -> Column:
     """Upper bound of the similarity: twice the letters in common over all letters."""
     common = F.size(F.array_intersect(letter_bag(a), letter_bag(b)))
@@ -161,17 +212,29 @@ def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
 
 
 def fuzzy_candidates(
-    titles: DataFrame, stems: DataFrame, scope: Sequence[str], cutoff: float = CUTOFF
+    titles: DataFrame, stems: DataFrame, scope: Sequence[str], cutoff: float = CUTOFF, exact_bound: bool = True
 ) -> DataFrame:
-    """(scope, title_key, stem_key, path, bound) of the pairs whose quick ratio reaches the cutoff."""
-    left = titles.select(*scope, "title_key", F.explode(meeting_keys(F.col("title_key"), cutoff)).alias("key"))
-    right = stems.select(*scope, "stem_key", "path", F.explode(meeting_keys(F.col("stem_key"), cutoff)).alias("key"))
+    """(scope, title_key, stem_key, path) of the pairs that can reach the cutoff.
+
+    Signatures weed out chance meetings inside the join, before anything is shuffled again.
+    ``exact_bound`` adds the quick ratio as ``bound`` and keeps only pairs that reach the cutoff
+    by it.
+    """
+
+    def keyed(df, text, *more):
+        # Two steps: in one, the signature would be computed per exploded row.
+        signed = df.select(*scope, text, *more, signature(F.col(text)).alias(f"{text}_bits"))
+        return signed.select("*", F.explode(meeting_keys(F.col(text), cutoff)).alias("key"))
+
     la, lb = F.char_length("title_key"), F.char_length("stem_key")
+    common = common_at_most(F.col("title_key_bits"), la, F.col("stem_key_bits"), lb)
     met = (
-        left.join(right, [*scope, "key"])
-        .where(F.lit(2.0) * F.least(la, lb) / (la + lb) >= cutoff)
+        keyed(titles, "title_key").join(keyed(stems, "stem_key", "path"), [*scope, "key"])
+        .where(F.lit(2.0) * F.least(la, lb, common) / (la + lb) >= cutoff)
         .select(*scope, "title_key", "stem_key", "path").distinct()
     )
+    if not exact_bound:
+        return met
     return met.withColumn("bound", quick_ratio(F.col("stem_key"), F.col("title_key"))).where(F.col("bound") >= cutoff)
 
 
@@ -185,7 +248,7 @@ def fuzzy_hits(
     """
     titles = _distinct_titles(tracks, scope, title)
     stems = _distinct_stems(files, scope, stem, path)
-    scored = fuzzy_candidates(titles, stems, scope, cutoff).withColumn(
+    scored = fuzzy_candidates(titles, stems, scope, cutoff, exact_bound=False).withColumn(
         "score", similarity(F.col("stem_key"), F.col("title_key"))
     )
     best = (

@@ -53,8 +53,9 @@ def number_by(df: DataFrame, group: Sequence[str], key: str, out: str) -> DataFr
     borders = df.select(
         F.percentile_approx(F.col(key), cuts, F.lit(1000)).alias("__cuts")
     ).scalar()
-    slice_no = F.coalesce(F.size(F.filter(borders, lambda b: b < F.col(key))), F.lit(0))
-    return _numbered(df.withColumn("__slice", slice_no), group, [F.col(key)], out)
+    # Where the key would stand among the borders.
+    slice_no = F.array_position(F.sort_array(F.array_append(borders, F.col(key))), F.col(key))
+    return _numbered(df.withColumn("__slice", F.coalesce(slice_no, F.lit(0))), group, [F.col(key)], out)
 
 
 def dense_ids(df: DataFrame, natural_key: Sequence[str], out: str, start: Column | None = None) -> DataFrame:

@@ -101,9 +101,14 @@ def top_by_metric(m, metric: str, k: int = 10, name: str = "track") -> DataFrame
 
 
 def hard_to_read(m, below: float = 50) -> DataFrame:
+    """Tracks under a readability score, hardest first.
+
+    The scores are hashed by track before the join. A global sort samples its input, and without
+    that boundary the sampling would read and score all texts a second time.
+    """
     return (
         m.lyrics("readability_score").where(F.col("readability_score") < below)
-        .select("track_id", "readability_score").join(_track_names(m), "track_id")
+        .select("track_id", "readability_score").repartition("track_id").join(_track_names(m), "track_id")
         .orderBy(F.asc_nulls_last("readability_score"), "track_id")
         .select(F.col("track").alias("name"), "readability_score")
     )

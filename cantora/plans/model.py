@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cantora.functions.sentiment import Rules
 from cantora.functions.text import stem_key, title_key
 from cantora.operators import wordfreq
-from cantora.operators.enrich import with_metrics
+from cantora.operators.enrich import spread, with_metrics
 
 # The test prose is invented, so ratings and rule words are given to some of its words; the
 # rules themselves are the library's.
@@ -61,10 +61,10 @@ class Model:
 
     def lyrics(self, *metrics: str) -> DataFrame:
         base = self.raw("documents").select(F.col("doc_id").alias("track_id"), "text")
-        return with_metrics(base, only=metrics, rules=STANDIN_RULES) if metrics else base
+        return with_metrics(spread(base, "track_id"), only=metrics, rules=STANDIN_RULES) if metrics else base
 
     def track_words(self) -> DataFrame:
-        return wordfreq.track_words(self.lyrics())
+        return wordfreq.track_words(spread(self.lyrics(), "track_id"))
 
     def album_words(self) -> DataFrame:
         return wordfreq.album_words(self.track_words(), self.tracks())

@@ -143,8 +143,8 @@ def sentiment(source: str, key: str, text: str = "text", rules=STANDIN_RULES, na
     return f"""{name}_t AS (SELECT {key}, {text} AS body, list_filter(list_transform(
         list_filter(regexp_split_to_array({text}, '\\s+'), lambda w: length(w) > 1),
         lambda w: CASE WHEN {strip} = '' THEN w ELSE {strip} END), lambda w: length(w) > 1) AS toks FROM {source}),
-{name}_u AS (SELECT {key}, unnest(toks) AS tok, unnest(generate_series(1, len(toks))) AS pos,
-        len(list_filter(toks, lambda t: upper(t) = t AND lower(t) <> t)) AS n_upper, len(toks) AS n FROM {name}_t),
+{name}_u AS (SELECT {key}, unnest(toks) AS tok, unnest(generate_series(1, len(toks))) AS pos, n_upper, n FROM
+        (SELECT {key}, toks, len(list_filter(toks, lambda t: upper(t) = t AND lower(t) <> t)) AS n_upper, len(toks) AS n FROM {name}_t)),
 {name}_v AS (SELECT *, lower(tok) AS low, n_upper > 0 AND n_upper < n AS mixed FROM {name}_u),
 {name}_r AS (SELECT *, {rating} AS v FROM {name}_v),
 {name}_l AS (SELECT *, min(CASE WHEN low = 'but' THEN pos END) OVER (PARTITION BY {key}) AS but_pos, {lags}
