@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from cantora.functions.text import WS, let
 from cantora.functions.wordlists import FUNCTION_WORDS, STOPWORDS
@@ -147,7 +148,7 @@ def tagged_density(tagger_factory) -> object:
 
     open_classes = {"NOUN", "VERB", "ADJ", "ADV"}
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def tagged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tag = tagger_factory()
 

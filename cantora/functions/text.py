@@ -10,6 +10,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Characters file systems refuse in names.
 FORBIDDEN = '<>:"/\\|?*'
@@ -82,7 +83,7 @@ def fold_ascii(x: Column) -> Column:
     return F.regexp_replace(out, r"[^\p{ASCII}]+", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_ascii_exact(values: pd.Series) -> pd.Series:
     return values.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
 

@@ -1,6 +1,6 @@
 """Lyrics-to-track matching: containment first, then fuzzy similarity, best one wins.
 
-Titles and files meet only inside their scope (artist, album), and even there never as all
+Titles and files meet only inside their scope (artist and album folder), and even there never as all
 pairs: both sides are reduced to distinct keys and joined on parts the keys must share.
 
 * Containment: a title of up to ``GRAM`` letters equals a substring of the file key, so the
@@ -20,6 +20,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from cantora.functions.text import let
 
@@ -51,7 +52,7 @@ def _distinct_stems(files: DataFrame, scope: Sequence[str], stem: str, path: str
 
 
 def containment_hits(
-    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist", "album"),
+    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist_dir", "album_dir"),
     title: str = "title_key", stem: str = "stem_key", path: str = "path",
 ) -> DataFrame:
     """First file, in path order, whose key contains the title key: (scope, title_key, path)."""
@@ -197,7 +198,7 @@ def quick_ratio(a: Column, b: Column) -> Column:
     return F.lit(2.0) * common / (F.char_length(a) + F.char_length(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio; the order of the arguments matters."""
     scores = []
@@ -239,7 +240,7 @@ def fuzzy_candidates(
 
 
 def fuzzy_hits(
-    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist", "album"),
+    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist_dir", "album_dir"),
     title: str = "title_key", stem: str = "stem_key", path: str = "path", cutoff: float = CUTOFF,
 ) -> DataFrame:
     """Most similar file per title: (scope, title_key, path, score).
@@ -260,7 +261,7 @@ def fuzzy_hits(
 
 
 def match_lyrics(
-    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist", "album"),
+    tracks: DataFrame, files: DataFrame, scope: Sequence[str] = ("artist_dir", "album_dir"),
     title: str = "title_key", stem: str = "stem_key", path: str = "path", cutoff: float = CUTOFF,
 ) -> DataFrame:
     """Every track with its file: the containment hit, else the most similar one, else none.

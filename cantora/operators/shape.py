@@ -53,10 +53,12 @@ def convert_present(df: DataFrame, conversions: Mapping[str, object]) -> DataFra
 
 
 def suffix_collisions(df: DataFrame, other: Sequence[str], suffix: str) -> DataFrame:
-    return df.withColumnsRenamed({c: c + suffix for c in df.columns if c in set(other)})
+    """Rename the columns that ``other`` has too; names compare without case, as in SQL."""
+    taken = {c.lower() for c in other}
+    return df.withColumnsRenamed({c: c + suffix for c in df.columns if c.lower() in taken})
 
 
-def join_album_metadata(tracks: DataFrame, albums: DataFrame, scope: Sequence[str] = ("artist", "album")) -> DataFrame:
+def join_album_metadata(tracks: DataFrame, albums: DataFrame, scope: Sequence[str] = ("artist_dir", "album_dir")) -> DataFrame:
     """Tracks left-joined with the metadata of their album by album name.
 
     ``scope`` columns, present on both sides, tie the join to one landed album; the album's
@@ -70,7 +72,7 @@ def join_album_metadata(tracks: DataFrame, albums: DataFrame, scope: Sequence[st
     return tracks.join(right, match, "left").drop(*[f"{c}_album" for c in scope])
 
 
-def clean_tracks(joined: DataFrame, keep: Sequence[str] = ("artist", "album", "row_no")) -> DataFrame:
+def clean_tracks(joined: DataFrame, keep: Sequence[str] = ("artist_dir", "album_dir", "row_no")) -> DataFrame:
     """Track table in its published shape, from whatever of the columns is there."""
     slim = rename_present(drop_present(joined, DROPPED), RENAMED)
     typed = convert_present(
@@ -86,10 +88,11 @@ def clean_tracks(joined: DataFrame, keep: Sequence[str] = ("artist", "album", "r
     return select_present(typed, TRACK_COLUMNS, [k for k in keep if k in typed.columns])
 
 
-def merge_artists(catalog: DataFrame, profiles: DataFrame) -> DataFrame:
+def merge_artists(catalog: DataFrame, profiles: DataFrame, keep: Sequence[str] = ("folder",)) -> DataFrame:
     """Catalog and profile attributes of each artist, joined on the artist's name.
 
     Names are compared without case and outer spaces; an artist known to one source only stays.
+    ``keep`` names further columns that pass through.
     """
     left = rename_present(drop_present(catalog, ["URI"]), {"Genres": "GenresSpotify"})
     right = rename_present(profiles, {"Genres": "GenresWikidata"})
@@ -108,7 +111,7 @@ def merge_artists(catalog: DataFrame, profiles: DataFrame) -> DataFrame:
             "Popularity": coerce.to_int_or_zero,
         },
     )
-    return select_present(typed, ARTIST_COLUMNS)
+    return select_present(typed, ARTIST_COLUMNS, keep)
 
 
 def any_null(columns: Sequence[str]) -> Column:

@@ -232,8 +232,12 @@ def sentiment_by_year(m) -> DataFrame:
 
 
 def explicit_share_by_year(m) -> DataFrame:
+    tracks = m.tracks()
+    if "release_date" not in tracks.columns:
+        albums = m.albums().select(F.col("id").alias("album_id"), "release_date")
+        tracks = tracks.join(albums, "album_id")
     return (
-        m.tracks().groupBy(F.year("release_date").cast("bigint").alias("year"))
+        tracks.groupBy(F.year("release_date").cast("bigint").alias("year"))
         .agg(
             F.count(F.lit(1)).alias("total_tracks"),
             F.round(F.avg(F.col("explicit").cast("int")), 6).alias("explicit_share"),

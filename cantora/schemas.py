@@ -7,51 +7,56 @@ from pyspark.sql import types as T
 from cantora.operators.loading import ChildOf, Rule
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT, INT, LONG, REAL, FLAG, DAY = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.DateType()
+)
+
+
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, TEXT) for name in names])
 
 
 # ---- landed files -----------------------------------------------------------------------
 
-TRACK_CSV = _struct(
-    "`Name` string, `Artists` string, `Album` string, `Release Date` string, "
-    "`Popularity` string, `Explicit` string, `Duration (ms)` string"
-)
-ALBUM_CSV = _struct(
-    "`Name` string, `Release Date` string, `Total Tracks` string, `Label` string, `Popularity` string, "
-    "`Genres` string, `Album Type` string, `URI` string, `ImageURL` string"
+TRACK_CSV = _texts("Name", "Artists", "Album", "Release Date", "Popularity", "Explicit", "Duration (ms)")
+ALBUM_CSV = _texts(
+    "Name", "Release Date", "Total Tracks", "Label", "Popularity", "Genres", "Album Type", "URI", "ImageURL"
 )
-ARTIST_CSV = _struct("`Name` string, `Genres` string, `Followers` string, `Popularity` string, `URI` string")
-PROFILE_CSV = _struct(
-    "`Artist` string, `BirthName` string, `DateOfBirth` string, `PlaceOfBirth` string, "
-    "`CountryOfCitizenship` string, `WorkPeriodStart` string, `Genres` string, `Instruments` string, "
-    "`VoiceType` string, `ImageURL` string"
+ARTIST_CSV = _texts("Name", "Genres", "Followers", "Popularity", "URI")
+PROFILE_CSV = _texts(
+    "Artist", "BirthName", "DateOfBirth", "PlaceOfBirth", "CountryOfCitizenship", "WorkPeriodStart",
+    "Genres", "Instruments", "VoiceType", "ImageURL",
 )
-FINAL_CSV = _struct(
-    "`SongName` string, `SongPopularity` string, `Explicit` string, `DurationMs` string, `AlbumName` string, "
-    "`ReleaseDateAlbum` string, `AlbumPopularity` string, `ImageURL` string, `Lyrics` string"
+FINAL_CSV = _texts(
+    "SongName", "SongPopularity", "Explicit", "DurationMs", "AlbumName", "ReleaseDateAlbum",
+    "AlbumPopularity", "ImageURL", "Lyrics",
 )
-MERGED_ARTIST_CSV = _struct(
-    "`Name` string, `BirthName` string, `DateOfBirth` string, `PlaceOfBirth` string, "
-    "`CountryOfCitizenship` string, `WorkPeriodStart` string, `GenresWikidata` string, `GenresSpotify` string, "
-    "`Instruments` string, `VoiceType` string, `Popularity` string, `Followers` string, `ImageURL` string"
+MERGED_ARTIST_CSV = _texts(
+    "Name", "BirthName", "DateOfBirth", "PlaceOfBirth", "CountryOfCitizenship", "WorkPeriodStart",
+    "GenresWikidata", "GenresSpotify", "Instruments", "VoiceType", "Popularity", "Followers", "ImageURL",
 )
-SUMMARY_CSV = _struct("`Track #` int, `Title` string, `Has Lyrics` string, `Genius URL` string")
 
+_named = T.ArrayType(_struct(name=TEXT))
 ARTIST_JSON = _struct(
-    "name string, genres array<string>, followers struct<total: bigint>, popularity int, uri string"
+    name=TEXT, genres=T.ArrayType(TEXT), followers=_struct(total=LONG), popularity=INT, uri=TEXT
 )
 ALBUM_JSON = _struct(
-    "name string, release_date string, total_tracks int, label string, popularity int, genres array<string>, "
-    "album_type string, uri string, images array<struct<url: string>>"
+    name=TEXT, release_date=TEXT, total_tracks=INT, label=TEXT, popularity=INT, genres=T.ArrayType(TEXT),
+    album_type=TEXT, uri=TEXT, images=T.ArrayType(_struct(url=TEXT)),
 )
 TRACK_JSON = _struct(
-    "name string, artists array<struct<name: string>>, album struct<name: string, release_date: string>, "
-    "popularity int, explicit boolean, duration_ms bigint"
+    name=TEXT, artists=_named, album=_struct(name=TEXT, release_date=TEXT), popularity=INT, explicit=FLAG,
+    duration_ms=LONG,
 )
-PAGE_JSON = _struct("items array<struct<id: string, name: string>>, next string")
+PAGE_JSON = _struct(items=T.ArrayType(_struct(id=TEXT, name=TEXT)), next=TEXT)
+# The value of a claim is polymorphic, so it stays JSON text.
 CLAIMS_JSON = _struct(
-    "artist string, claims map<string, array<struct<mainsnak: struct<datavalue: struct<value: string>>>>>"
+    artist=TEXT,
+    claims=T.MapType(TEXT, T.ArrayType(_struct(mainsnak=_struct(datavalue=_struct(value=TEXT))))),
 )
 
 # ---- model ------------------------------------------------------------------------------
@@ -60,23 +65,19 @@ METRICS = ("readability_score", "sentiment_score", "word_count", "line_count", "
 
 TABLES: dict[str, T.StructType] = {
     "artists": _struct(
-        "id bigint, name string, birth_name string, birth_date date, birth_place string, country string, "
-        "active_years int, genres string, instruments string, vocal_type string, popularity bigint, "
-        "followers bigint, image_url string"
-    ),
-    "albums": _struct(
-        "id bigint, name string, artist_id bigint, release_date date, popularity bigint, image_url string"
+        id=LONG, name=TEXT, birth_name=TEXT, birth_date=DAY, birth_place=TEXT, country=TEXT, active_years=INT,
+        genres=TEXT, instruments=TEXT, vocal_type=TEXT, popularity=LONG, followers=LONG, image_url=TEXT,
     ),
+    "albums": _struct(id=LONG, name=TEXT, artist_id=LONG, release_date=DAY, popularity=LONG, image_url=TEXT),
     "tracks": _struct(
-        "id bigint, name string, album_id bigint, track_number bigint, duration_ms bigint, explicit boolean, "
-        "popularity bigint"
+        id=LONG, name=TEXT, album_id=LONG, track_number=LONG, duration_ms=LONG, explicit=FLAG, popularity=LONG
     ),
     "lyrics": _struct(
-        "track_id bigint, text string, readability_score double, sentiment_score double, word_count bigint, "
-        "line_count bigint, char_count bigint, lexical_density double, metrics_version int"
+        track_id=LONG, text=TEXT, readability_score=REAL, sentiment_score=REAL, word_count=LONG, line_count=LONG,
+        char_count=LONG, lexical_density=REAL, metrics_version=INT,
     ),
-    "word_frequencies_track": _struct("track_id bigint, word string, count bigint"),
-    "word_frequencies_album": _struct("album_id bigint, word string, count bigint"),
+    "word_frequencies_track": _struct(track_id=LONG, word=TEXT, count=LONG),
+    "word_frequencies_album": _struct(album_id=LONG, word=TEXT, count=LONG),
 }
 
 NATURAL_KEYS = {

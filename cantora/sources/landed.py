@@ -1,7 +1,7 @@
 """Landed files to DataFrames: CSV, JSON, text and HTML, plus the audit views over them.
 
-Layout: ``<root>/<artist>/<album>/<file>``. Artist and album come from the path, so one read
-covers all artists. Schemas are fixed; nothing is inferred.
+Layout: ``<root>/<artist>/<album>/<file>``. The columns ``artist_dir`` and ``album_dir`` come from
+the path, so one read covers all artists. Schemas are fixed; nothing is inferred.
 """
 
 from __future__ import annotations
@@ -63,11 +63,11 @@ def number_rows(df: DataFrame, path: str = "path", out: str = "row_no") -> DataF
 
 
 def _album_scope(df: DataFrame) -> DataFrame:
-    return df.withColumns({"artist": path_part(F.col("path"), 3), "album": path_part(F.col("path"), 2)})
+    return df.withColumns({"artist_dir": path_part(F.col("path"), 3), "album_dir": path_part(F.col("path"), 2)})
 
 
 def read_tracks(spark: SparkSession, root: str) -> DataFrame:
-    """Track CSVs ``<artist>/<album>/<album>.csv`` with artist, album and row_no."""
+    """Track CSVs ``<artist>/<album>/<album>.csv`` with their folders and row_no."""
     rows = _csv(spark, f"{root}/*/*/*.csv", schemas.TRACK_CSV).where(~F.endswith("path", F.lit("_album_metadata.csv")))
     return _album_scope(number_rows(rows))
 
@@ -84,12 +84,12 @@ def _first_row(df: DataFrame) -> DataFrame:
 def read_artists(spark: SparkSession, root: str) -> DataFrame:
     """Artist CSVs ``<artist>/<artist>_metadata.csv``: the first row of each."""
     rows = _csv(spark, f"{root}/*/*_metadata.csv", schemas.ARTIST_CSV)
-    return _first_row(rows).withColumn("artist", path_part(F.col("path"), 2))
+    return _first_row(rows).withColumn("artist_dir", path_part(F.col("path"), 2))
 
 
 def read_profiles(spark: SparkSession, root: str) -> DataFrame:
     """Artist profile CSVs ``<artist>/<file>.csv``: the first row of each."""
-    return _first_row(_csv(spark, f"{root}/*/*.csv", schemas.PROFILE_CSV)).withColumn("artist", path_part(F.col("path"), 2))
+    return _first_row(_csv(spark, f"{root}/*/*.csv", schemas.PROFILE_CSV)).withColumn("artist_dir", path_part(F.col("path"), 2))
 
 
 def read_final_albums(spark: SparkSession, root: str) -> DataFrame:
@@ -100,7 +100,7 @@ def read_final_albums(spark: SparkSession, root: str) -> DataFrame:
 def read_merged_artists(spark: SparkSession, root: str) -> DataFrame:
     """Merged artist CSVs ``<artist>/<artist>_merged_metadata.csv``: the first row of each."""
     rows = _csv(spark, f"{root}/*/*_merged_metadata.csv", schemas.MERGED_ARTIST_CSV)
-    return _first_row(rows).withColumn("artist", path_part(F.col("path"), 2))
+    return _first_row(rows).withColumn("artist_dir", path_part(F.col("path"), 2))
 
 
 def read_lyrics(spark: SparkSession, root: str) -> DataFrame:
@@ -129,7 +129,7 @@ def quarantine(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataF
 
 def failed_albums(bad_rows: DataFrame) -> DataFrame:
     """Audit of albums with unusable rows: artist, album and their log line."""
-    return bad_rows.select("artist", "album").distinct().withColumns(
+    return bad_rows.select(F.col("artist_dir").alias("artist"), F.col("album_dir").alias("album")).distinct().withColumns(
         {"line": F.concat_ws("|||", "artist", "album"), "audit_ts": F.current_timestamp()}
     )
 
@@ -137,7 +137,7 @@ def failed_albums(bad_rows: DataFrame) -> DataFrame:
 def failed_lyrics(missing: DataFrame, song: str, reason: str = "No lyrics found") -> DataFrame:
     """Audit of songs without lyrics: time, artist, album, song, reason."""
     return missing.select(
-        F.current_timestamp().alias("audit_ts"), "artist", "album", F.col(f"`{song}`").alias("song"), F.lit(reason).alias("reason")
+        F.current_timestamp().alias("audit_ts"), F.col("artist_dir").alias("artist"), F.col("album_dir").alias("album"), F.col(f"`{song}`").alias("song"), F.lit(reason).alias("reason")
     )
 
 

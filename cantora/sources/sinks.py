@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cantora import schemas
 
 
-def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ("artist",), mode: str = "overwrite") -> None:
+def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ("artist_dir",), mode: str = "overwrite") -> None:
     """Stage output as Parquet. Rows of one partition value may come from many tasks, so a
     dominant artist is written by all of them."""
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
