@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "cantora", cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and benchmarks; a cluster brings its own."""
-    spark = (
+def local_session(
+    app: str = "cantora", cores: str = "8", shuffle_partitions: int = 8, **settings: str
+) -> SparkSession:
+    """A local session for tests and benchmarks; a cluster brings its own.
+
+    ``settings`` are further options, with double underscores for the dots.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -18,8 +23,10 @@ def local_session(app: str = "cantora", cores: str = "8", shuffle_partitions: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

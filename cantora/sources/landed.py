@@ -104,7 +104,11 @@ def read_merged_artists(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_lyrics(spark: SparkSession, root: str) -> DataFrame:
-    """Lyrics text files ``<artist>/<album>/<title>.txt``, one row per file."""
+    """Lyrics text files ``<artist>/<album>/<title>.txt``, one row per file.
+
+    Spark's file listing leaves out files of zero bytes, so their tracks count as missing; their
+    lyrics are the empty text either way.
+    """
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
         .text(root, wholetext=True)

@@ -16,8 +16,12 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ("artist
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV export whose cells may hold line breaks and quotes."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV export whose cells may hold line breaks and quotes, and keep their outer white space."""
+    (
+        df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -20,9 +20,9 @@ from cantora.sources.landed import with_lyrics_scope
 def lyrics_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
     """Stream of lyrics text files below ``<root>/<artist>/<album>``, at most ``max_files`` a batch."""
     files = (
-        spark.readStream.schema("value string").option("wholetext", True)
+        spark.readStream
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").option("maxFilesPerTrigger", max_files)
-        .text(root)
+        .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
     return with_lyrics_scope(files)

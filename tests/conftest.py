@@ -8,14 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from cantora.session import local_session
 
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
     warehouse = tmp_path_factory.mktemp("warehouse")
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(warehouse))
-    session = local_session("tests", cores="4", shuffle_partitions=4)
+    session = local_session("tests", cores="4", shuffle_partitions=4, spark__sql__warehouse__dir=str(warehouse))
     yield session
     session.stop()
 

@@ -85,8 +85,9 @@ def test_candidates_lose_nothing(frames, cutoff):
     got = {(r.block, r.title_key, r.stem_key) for r in MT.fuzzy_candidates(titles, stems, SCOPE, cutoff, exact_bound=False).collect()}
     quick = {(r.block, r.title_key, r.stem_key) for r in MT.fuzzy_candidates(titles, stems, SCOPE, cutoff).collect()}
     want, want_quick = set(), set()
+    all_stems = stems.collect()
     for a in titles.collect():
-        for b in stems.where(F.col("block") == a.block).collect():
+        for b in [s for s in all_stems if s.block == a.block]:
             m = SequenceMatcher(None, b.stem_key, a.title_key)
             if m.quick_ratio() >= cutoff:
                 want_quick.add((a.block, a.title_key, b.stem_key))
