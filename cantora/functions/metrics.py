@@ -58,21 +58,20 @@ def plain_words(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), PUNCTUATION, "")
 
 
-def syllables(plain: Column) -> Column:
-    """Syllables of a plain lower-case text, by rule.
+def syllables(plain: Column, n_words: Column) -> Column:
+    """Syllables of a plain lower-case text of ``n_words`` words, by rule.
 
     Per word: groups of vowels, less a silent final e, at least one. Counted with three
-    scans over the text in place of a loop over its words.
+    scans over the text in place of a loop over its words; a word without a vowel is one that
+    the last scan does not find.
     """
     groups = F.regexp_count(plain, F.lit(rf"[{VOWELS}]+"))
     silent = F.regexp_count(
         plain,
         F.lit(rf"[{VOWELS}](?:l|{CONSONANT}*{CONSONANT_NOT_L})e(?![\p{{L}}\p{{N}}_])"),
     )
-    without_vowel = F.regexp_count(
-        plain, F.lit(rf"(?<![\p{{L}}\p{{N}}_])[^{VOWELS}\s\p{{Z}}]+(?![\p{{L}}\p{{N}}_])")
-    )
-    return (groups - silent + without_vowel).cast("bigint")
+    with_vowel = F.regexp_count(plain, F.lit(rf"[^{VOWELS}\s\p{{Z}}]*+[{VOWELS}][^\s\p{{Z}}]*+"))
+    return (groups - silent + n_words - with_vowel).cast("bigint")
 
 
 def sentences(text: Column) -> Column:
@@ -99,7 +98,10 @@ def readability(text: Column) -> Column:
     """Reading ease of a text; NULL when it holds no word."""
     return let(
         plain_words(text),
-        lambda plain: flesch(F.regexp_count(plain, F.lit(r"[^\s\p{Z}]+")), sentences(text), syllables(plain)),
+        lambda plain: let(
+            F.regexp_count(plain, F.lit(r"[^\s\p{Z}]+")),
+            lambda n_words: flesch(n_words, sentences(text), syllables(plain, n_words)),
+        ),
     )
 
 

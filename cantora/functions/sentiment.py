@@ -75,15 +75,18 @@ def _in(word: str, words) -> str:
     return f"{word} IN ({quoted})" if quoted else "false"
 
 
-# Punctuation at the edge of a token that holds something else; a token that is nothing but
-# punctuation (an emoticon) stays whole.
-_PUNCT = r"!-/:-@\[-`{-~"
-_EDGES = rf"(?<!\S)[{_PUNCT}]+(?=[^\s{_PUNCT}])|(?<=[^\s{_PUNCT}])[{_PUNCT}]+(?!\S)"
+# ASCII punctuation, as the characters a trim strips.
+_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokens_sql(text: str) -> str:
-    """White-space tokens of two or more characters, edge punctuation stripped."""
-    return rf"""filter(split(regexp_replace({text}, r"{_EDGES}", ''), r"\s+"), w -> char_length(w) > 1)"""
+    """White-space tokens of two or more characters, edge punctuation stripped.
+
+    A token that is nothing but punctuation (an emoticon) stays whole.
+    """
+    marks = "'" + _PUNCT.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    bare = f"coalesce(nullif(btrim(w, {marks}), ''), w)"
+    return rf"""filter(transform(split({text}, r"\s+"), w -> {bare}), w -> char_length(w) > 1)"""
 
 
 def rating_sql(word: str, valence: dict[str, float]) -> str:

@@ -55,11 +55,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Input of heavy row-local work on at least as many tasks as there are cores.
 
     A table read from many splits comes back unchanged. One that arrives in a few large splits
-    (a single row group cannot be split) is hashed over the cores by ``key``. Only the plan is
-    looked at, no data.
+    (a single row group cannot be split) is hashed over the cores by ``key``. Meant for plain
+    scans, of which only the plan is looked at, no data.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # By the hash, not the key itself: a later exchange on the key, put there so that the work is
+    # done once, would count as redundant.
+    return df.repartition(cores, F.xxhash64(key))
 
 
 def refresh_metrics(lyrics: DataFrame, rules: sentiment.Rules | None = None, **kw) -> DataFrame:

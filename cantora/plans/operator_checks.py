@@ -44,6 +44,11 @@ def long(c) -> object:
     return c.cast("bigint")
 
 
+def _docs(m: Model) -> DataFrame:
+    """Whole document texts, spread over the cores for heavy row-local work."""
+    return spread(m.raw("documents").select("doc_id", "text", "lang", "source"), "doc_id")
+
+
 # ---- sources ----------------------------------------------------------------------------
 
 
@@ -200,7 +205,7 @@ def c2(m):
 )
 def c3(m):
     passages = m.raw("benchmark").select("item_id", F.col("text").alias("passage"))
-    return matching.passage_hits(m.raw("documents").select("doc_id", "text"), passages, "doc_id", "item_id")
+    return matching.passage_hits(_docs(m), passages, "doc_id", "item_id")
 
 
 _TITLES = """titles AS (SELECT page_id, lang, CAST(generate_subscripts(items, 1) AS BIGINT) AS n, unnest(items) AS title FROM
@@ -499,7 +504,7 @@ def _slug_sql(x: str) -> str:
     f"SELECT doc_id, {_slug_sql('text')} AS slug, 'albums/' || {_slug_sql('lang')} || '/' || {_slug_sql('source')} AS page FROM documents",
 )
 def h3(m):
-    return m.raw("documents").select(
+    return _docs(m).select(
         "doc_id", T.slugify(F.col("text")).alias("slug"), T.album_page_path(F.col("lang"), F.col("source")).alias("page")
     )
 
@@ -614,7 +619,7 @@ _HEADER = r"""WITH t AS (SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), '
 
 @check("h18_strip_header", _HEADER)
 def h18(m):
-    return m.raw("documents").select("doc_id", T.strip_header(F.col("text"), marker="The", leftover="on.").alias("body"))
+    return _docs(m).select("doc_id", T.strip_header(F.col("text"), marker="The", leftover="on.").alias("body"))
 
 
 @check("h19_sections", "SELECT doc_id, text || chr(10) || text AS body FROM documents")
@@ -635,16 +640,14 @@ def h20(m):
 @check("h21_readability", f"WITH {O.readability('documents', 'doc_id')} SELECT doc_id, round(readability_score, 6) AS readability_score FROM readability")
 def h21(m):
     scored = metrics.readability(F.col("text"))
-    return spread(m.raw("documents").select("doc_id", "text"), "doc_id").select("doc_id", F.round(scored, 6).alias("readability_score"))
+    return _docs(m).select("doc_id", F.round(scored, 6).alias("readability_score"))
 
 
 @check("h22_sentiment", f"WITH {O.sentiment('documents', 'doc_id')} SELECT doc_id, sentiment_score FROM sentiment")
 def h22(m):
-    docs = spread(m.raw("documents").select("doc_id", "text"), "doc_id")
-    return docs.select("doc_id", sentiment.compound("text", STANDIN_RULES).alias("sentiment_score"))
+    return _docs(m).select("doc_id", sentiment.compound("text", STANDIN_RULES).alias("sentiment_score"))
 
 
 @check("h23_lexical_density", f"WITH {O.density('documents', 'doc_id')} SELECT doc_id, lexical_density FROM density")
 def h23(m):
-    docs = spread(m.raw("documents").select("doc_id", "text"), "doc_id")
-    return docs.select("doc_id", metrics.lexical_density(F.col("text")).alias("lexical_density"))
+    return _docs(m).select("doc_id", metrics.lexical_density(F.col("text")).alias("lexical_density"))

@@ -111,14 +111,16 @@ def lyrics_rows(tracks: DataFrame) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, merged: DataFrame, final: DataFrame, database: str | None = None) -> None:
+def load(
+    spark: SparkSession, merged: DataFrame, final: DataFrame, database: str | None = None, buckets: int | None = None
+) -> None:
     """Insert what is new into the four model tables, parents first."""
-    sinks.create_tables(spark, database)
+    sinks.create_tables(spark, database, buckets)
 
     def insert(table: str, rows: DataFrame, order: list) -> None:
         target = sinks.stored(spark, table, database)
         fresh = loading.insert_ignore(target, rows, schemas.NATURAL_KEYS[table], order)
-        sinks.append_rows(fresh, table, database)
+        sinks.append_rows(fresh, table, database, buckets)
 
     artists = artist_rows(merged)
     albums = album_rows(final, artists)
@@ -129,20 +131,25 @@ def load(spark: SparkSession, merged: DataFrame, final: DataFrame, database: str
     insert("lyrics", lyrics_rows(tracks), [F.col("row_no")])
 
 
-def analyze(spark: SparkSession, database: str | None = None, rules: sentiment.Rules | None = None) -> None:
+def analyze(
+    spark: SparkSession, database: str | None = None, rules: sentiment.Rules | None = None, buckets: int | None = None
+) -> None:
     """Compute missing metrics, then rebuild the two word-frequency tables."""
     refreshed = refresh_metrics(sinks.stored(spark, "lyrics", database), rules)
-    sinks.replace_table(refreshed, "lyrics", database)
+    sinks.replace_table(refreshed, "lyrics", database, buckets)
     tracks = sinks.stored(spark, "tracks", database)
     known = tracks.select(F.col("id").alias("track_id"))
     lyrics = sinks.stored(spark, "lyrics", database).join(known, "track_id", "left_semi")
-    sinks.replace_table(wordfreq.track_words(lyrics), "word_frequencies_track", database)
+    sinks.replace_table(wordfreq.track_words(lyrics), "word_frequencies_track", database, buckets)
     per_track = sinks.stored(spark, "word_frequencies_track", database)
-    sinks.replace_table(wordfreq.album_words(per_track, tracks), "word_frequencies_album", database)
+    sinks.replace_table(wordfreq.album_words(per_track, tracks), "word_frequencies_album", database, buckets)
 
 
-def run(spark: SparkSession, layout: Layout, database: str | None = None, rules: sentiment.Rules | None = None) -> None:
-    """Landed files to a complete, analyzed model."""
+def run(
+    spark: SparkSession, layout: Layout, database: str | None = None, rules: sentiment.Rules | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Landed files to a complete, analyzed model; ``buckets`` as in ``sinks.create_tables``."""
     out = layout.stages
 
     def stage(df: DataFrame, name: str, by=("artist_dir",)) -> DataFrame:
@@ -165,5 +172,5 @@ def run(spark: SparkSession, layout: Layout, database: str | None = None, rules:
     skipped = final.where(T.excluded_album(F.col("album_dir"))).select(*ALBUM).distinct()
     skipped.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/skipped_albums")
 
-    load(spark, merged, final, database)
-    analyze(spark, database, rules)
+    load(spark, merged, final, database, buckets)
+    analyze(spark, database, rules, buckets)

@@ -89,6 +89,11 @@ NATURAL_KEYS = {
     "word_frequencies_album": ("album_id", "word"),
 }
 
+# Keys of the joins between large tables.
+BUCKET_KEYS = {
+    "tracks": "id", "lyrics": "track_id", "word_frequencies_track": "track_id", "word_frequencies_album": "album_id",
+}
+
 LINKS = (
     ChildOf("albums", "artist_id", "artists"),
     ChildOf("tracks", "album_id", "albums"),

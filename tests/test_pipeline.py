@@ -126,6 +126,22 @@ def test_canned_analyses_run_on_stored_tables(model, landed_tree):
     assert [r.track for r in catalog.lyrics_of_album(model, "First").collect()] == ["Don't Go, \"Now\"", "Love Story", "Silence"]
 
 
+def test_bucketed_model_equals_the_plain_one_and_joins_without_a_shuffle(spark, model, layout, landed_tree, tmp_path):
+    own = pipeline.Layout(layout.catalog, layout.lyrics, layout.profiles, str(tmp_path))
+    pipeline.run(spark, own, "bucketed", buckets=3)
+    bucketed = StoredModel(spark, "bucketed")
+    for t in TABLES:
+        assert sorted(map(str, bucketed._table(t).collect())) == sorted(map(str, model._table(t).collect())), t
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        joined = bucketed.track_words().join(bucketed.tracks().withColumnRenamed("id", "track_id"), "track_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_create_is_idempotent_and_drop_needs_confirmation(spark):
     sinks.create_tables(spark, "scratch")
     sinks.create_tables(spark, "scratch")
