@@ -131,26 +131,23 @@ def _subsets(tokens: Column, size: int) -> Column:
 KEY_LETTERS = 3
 
 
-def meeting_keys(x: Column, cutoff: float, letters: int = KEY_LETTERS) -> Column:
-    """Keys on which strings of at least the cutoff are sure to meet.
+def meeting_keys(bag: Column, cutoff: float, letters: int = KEY_LETTERS) -> Column:
+    """Keys, from its letter bag, on which a string is sure to meet all others of the cutoff.
 
     Two strings of n and m letters need at least ``cutoff / 2 * (n + m)`` letters in common. If
     that is ``letters`` or more, they share that many among the rare ends of their bags. Pairs
     so short that fewer letters can do meet on all subsets of that smaller size.
     """
-    n = F.char_length(x)
+    n = F.size(bag)
     shortest_partner = F.ceil(n * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)).cast("int")
     needed = F.ceil((n + shortest_partner) * F.lit(cutoff / 2) - F.lit(1e-9)).cast("int")
     rare_end = n - F.greatest(needed, F.lit(letters)) + letters
     none = F.array().cast("array<string>")
 
-    def keys(bag):
-        parts = [F.when(n >= letters, _subsets(F.slice(bag, F.lit(1), rare_end), letters)).otherwise(none)]
-        for fewer in range(1, letters):
-            parts.append(F.when(n <= F.lit(2 * fewer / cutoff - 1 + 1e-9), _subsets(bag, fewer)).otherwise(none))
-        return F.concat(*parts)
-
-    return let(letter_bag(x), keys)
+    parts = [F.when(n >= letters, _subsets(F.slice(bag, F.lit(1), rare_end), letters)).otherwise(none)]
+    for fewer in range(1, letters):
+        parts.append(F.when(n <= F.lit(2 * fewer / cutoff - 1 + 1e-9), _subsets(bag, fewer)).otherwise(none))
+    return F.concat(*parts)
 
 
 SIGNATURE_WORDS = 4
@@ -166,9 +163,9 @@ def _word_bits(places: Column, k: int) -> Column:
     )
 
 
-def signature(x: Column) -> Column:
+def signature(bag: Column) -> Column:
     """Letter bag as a bit set of ``SIGNATURE_WORDS`` long words, one bit per hashed token."""
-    places = F.transform(letter_bag(x), lambda t: F.pmod(F.xxhash64(t), F.lit(64 * SIGNATURE_WORDS)))
+    places = F.transform(bag, lambda t: F.pmod(F.xxhash64(t), F.lit(64 * SIGNATURE_WORDS)))
 
     def words(found):
         named = []
@@ -223,9 +220,10 @@ def fuzzy_candidates(
     """
 
     def keyed(df, text, *more):
-        # Two steps: in one, the signature would be computed per exploded row.
-        signed = df.select(*scope, text, *more, signature(F.col(text)).alias(f"{text}_bits"))
-        return signed.select("*", F.explode(meeting_keys(F.col(text), cutoff)).alias("key"))
+        # In steps: in one, bag and signature would be computed per exploded row.
+        bagged = df.select(*scope, text, *more, letter_bag(F.col(text)).alias("bag"))
+        signed = bagged.select("*", signature(F.col("bag")).alias(f"{text}_bits"))
+        return signed.select("*", F.explode(meeting_keys(F.col("bag"), cutoff)).alias("key")).drop("bag")
 
     la, lb = F.char_length("title_key"), F.char_length("stem_key")
     common = common_at_most(F.col("title_key_bits"), la, F.col("stem_key_bits"), lb)

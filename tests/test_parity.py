@@ -37,6 +37,13 @@ def test_every_check_query_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_fixed_schemas_are_those_of_the_files(spark):
+    from cantora.plans.model import SCHEMAS, table
+
+    for name in SCHEMAS:
+        assert table(spark, SF_DIR, name).schema == spark.read.parquet(f"{SF_DIR}/{name}.parquet").schema, name
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["artist", "album", "avg_lexical_density", "avg_readability_score", "avg_sentiment_score", "rank"]
