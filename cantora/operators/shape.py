@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cantora.functions import coerce, text
 
+# Columns dropped, renamed and published by the cleaning stages.
 DROPPED = ("Name_album", "Total Tracks", "Label", "Genres", "Album Type", "URI", "Artists", "Release Date")
 RENAMED = {
     "Name": "SongName",

@@ -20,6 +20,8 @@ def _texts(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, TEXT) for name in names])
 
 
+# Column names of the landed files and of the model tables.
+
 # ---- landed files -----------------------------------------------------------------------
 
 TRACK_CSV = _texts("Name", "Artists", "Album", "Release Date", "Popularity", "Explicit", "Duration (ms)")
