@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import sharding, url_filter
+from cantora.llm import language_id, sharding, toxicity, url_filter
 from cantora.llm.common import read_table
 
 
@@ -14,6 +14,14 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.redirect_filter(read_table(spark, sf_dir, "pages"))
 
@@ -21,6 +29,8 @@ def op10_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hilbert_shards": op1_hilbert_shards,
+        "op5_language_id": op5_language_id,
+        "op7_toxicity": op7_toxicity,
         "op10_redirect_filter": op10_redirect_filter,
     }
 
