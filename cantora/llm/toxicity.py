@@ -78,40 +78,47 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))))
 
 
+def correlations(rows: np.ndarray, cols: np.ndarray, weight: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """Correlation of every two voters over rows of the given weights, where they ever speak together."""
+    size, total = len(rate), weight.sum()
+    both = np.zeros((size, size))
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, int)
+    for at, end in zip(starts, np.r_[starts[1:], len(rows)].astype(int)):
+        own = cols[at:end]
+        both[np.ix_(own, own)] += weight[rows[at]]
+    spread = np.sqrt(rate * (1 - rate)) + 1e-9
+    return (both / total - np.outer(rate, rate)) / np.outer(spread, spread)
+
+
 def label_model(votes: list[list[int]], labels: np.ndarray, size: int, rounds: int = 20) -> np.ndarray:
     """Posterior probability of toxic for each row of votes.
 
     Voters speak or stay silent. EM starts from the labelled rows: rates of speaking given each class,
     then posteriors, then rates again, with the labels as one more voter of estimated accuracy. Voters
-    that fire together more often than their rates given the class explain (a stem and its words, say)
+    that speak together more often than their rates within a class explain (a stem and its words, say)
     are correlated; each one's log-odds are divided by one plus the sum of its correlations.
     """
     rows = np.repeat(np.arange(len(votes)), [len(v) for v in votes])
     cols = np.fromiter((j for v in votes for j in v), dtype=np.int64, count=len(rows))
-    q = np.clip(labels.astype(float), 0.02, 0.98)
-    prior_toxic = labels.mean()
+    q = np.clip(labels.astype(float), 0.01, 0.99)
+    trust = None
     for _ in range(rounds):
         total1, total0 = q.sum(), (1 - q).sum()
         on1 = (np.bincount(cols, q[rows], size) + 0.05) / (total1 + 1)
         on0 = (np.bincount(cols, 1 - q[rows], size) + 0.05 * (total0 + 1) / (total1 + 1)) / (total0 + 1)
-        # correlation given the class, from the share of a voter's rows that others explain
-        together = np.zeros(size)
-        spoken = np.bincount(rows, minlength=len(votes))
-        expected1 = on1.sum()
-        excess = np.maximum(spoken[rows] - 1 - expected1, 0)
-        fired = np.maximum(np.bincount(cols, minlength=size), 1)
-        together = np.bincount(cols, excess, size) / fired
-        trust = 1.0 / (1.0 + together)
+        if trust is None:  # the dependence structure is learned once, from the labels
+            tied = np.maximum(correlations(rows, cols, q, on1), correlations(rows, cols, 1 - q, on0))
+            np.fill_diagonal(tied, 0)
+            trust = 1.0 / (1.0 + np.clip(tied - 0.1, 0, 1).sum(axis=1))
         speak = trust * np.log(on1 / on0)
-        accuracy = np.clip(np.mean(np.where(labels == 1, q, 1 - q)), 0.6, 0.99)
+        accuracy = np.clip(np.mean(np.where(labels == 1, q, 1 - q)), 0.6, 0.995)
         z = np.log(total1 / total0) + np.bincount(rows, speak[cols], len(votes))
         z += np.where(labels == 1, 1, -1) * np.log(accuracy / (1 - accuracy))
-        new = 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
-        if np.abs(new - q).max() < 1e-4:
-            q = new
+        new = np.clip(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))), 1e-4, 1 - 1e-4)
+        moved, q = np.abs(new - q).max(), new
+        if moved < 1e-4:
             break
-        q = np.clip(new, 1e-4, 1 - 1e-4)
-    return q if 0 < prior_toxic < 1 else labels.astype(float)
+    return q
 
 
 def fit_linear(votes: list[list[int]], target: np.ndarray, size: int, epochs: int = 300) -> tuple[np.ndarray, float]:
