@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import language_id, sharding, toxicity, url_filter
+from cantora.llm import html_text, language_id, packing, sharding, token_cache, toxicity, url_filter
 from cantora.llm.common import read_table
 
 
@@ -14,14 +15,26 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_cache.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.redirect_filter(read_table(spark, sf_dir, "pages"))
 
@@ -29,8 +42,11 @@ def op10_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hilbert_shards": op1_hilbert_shards,
+        "op2_token_counts": op2_token_counts,
         "op5_language_id": op5_language_id,
+        "op6_main_text": op6_main_text,
         "op7_toxicity": op7_toxicity,
+        "op9_best_fit_packing": op9_best_fit_packing,
         "op10_redirect_filter": op10_redirect_filter,
     }
 
