@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import html_text, language_id, packing, sharding, token_cache, toxicity, url_filter
+from cantora.llm import decontaminate, html_text, language_id, packing, sharding, token_cache, toxicity, url_filter
 from cantora.llm.common import read_table
 
 
@@ -31,6 +31,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_main_text": op6_main_text,
         "op7_toxicity": op7_toxicity,
+        "op8_decontamination": op8_decontamination,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_redirect_filter": op10_redirect_filter,
     }
