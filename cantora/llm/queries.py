@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, html_text, language_id, near_dedup, packing, sharding, token_cache, toxicity, url_filter
+from cantora.llm import ann, decontaminate, html_text, language_id, near_dedup, packing, sharding, token_cache, toxicity, url_filter
 from cantora.llm.common import read_table
 
 
@@ -19,6 +19,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_cache.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search_every(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hilbert_shards": op1_hilbert_shards,
         "op2_token_counts": op2_token_counts,
+        "op3_nearest_vectors": op3_nearest_vectors,
         "op4_near_duplicates": op4_near_duplicates,
         "op5_language_id": op5_language_id,
         "op6_main_text": op6_main_text,
