@@ -245,13 +245,14 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 5, block_rows: int =
     Blocks of queries meet every shard, one block and one shard in a task; each returns its own ``k``
     best by exact double-precision cosine, and a ranking per query merges them.
     """
-    shards = index.select("dim", "shard")
+    shards = index.select(F.col("dim").alias("shard_dim"), F.col("shard").alias("shard_no"))
     dim_of = F.size("embedding")
     blocks = max(1, math.ceil(queries.count() / block_rows))
     placed = queries.select(
         F.col("vec_id").alias("query_id"), "embedding", dim_of.alias("dim"),
         F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-    ).join(shards, "dim")
+    ).join(shards, F.col("dim") == F.col("shard_dim")).select(
+        "query_id", "embedding", "dim", F.col("shard_no").alias("shard"), "block")
     grid = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search_shard(asked: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import stored
+from cantora.llm.common import document_key, stored
 
 WINDOW = 8  # tokens
 MATCHED = 6  # distinct windows of an item a document must hold, or all if the item has fewer: 13 tokens in a row
@@ -161,11 +161,6 @@ def _n_tokens(text: Column) -> Column:
     return count(text)
 
 
-def document_key(docs: DataFrame) -> Column:
-    """Key of a row by id and text, so that rows with a NULL or repeated id stay apart."""
-    return F.unhex(F.md5(F.concat_ws("\0", docs["doc_id"].cast("string"), F.lit("|"), docs["text"])))
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item it holds: key, doc_id, item_id, n_matched, n_windows, templated.
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import stored
+from cantora.llm.common import document_key, stored
 from cantora.llm.components import connected_components
 
 SHINGLE = 5  # words
@@ -342,7 +342,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str | None = None)
     Words are runs of anything but ASCII white space, A-Z lower-cased; a set holds the distinct
     five-word shingles, or the whole sequence of fewer words. Documents are linked where
     100 x intersection >= ``percent`` x union; a group is what links reach, and its id its smallest
-    doc_id. With ``key``, a column of ``docs``, that column is returned as well.
+    doc_id. With ``key``, a binary column of ``docs``, that column is returned as well, and of several
+    rows under the group's id only those of the least key are kept.
 
     Defined cases: a NULL text, and one without words, has an empty set and is linked with nothing; a NULL
     doc_id never names a group that has another, and alone is its own group; repeated rows are in one
@@ -352,16 +353,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str | None = None)
     rows = stored(signatures(named))
     whole = rows.where("class IS NOT NULL")
     classes = stored(whole.groupBy("class").agg(
-        F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
     ))
     groups = stored(connected_components(class_links(named, classes, percent)))
     placed = classes.select("class", "first").join(groups.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "first", F.coalesce("component", "class").alias("component"))
-    names = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_class = stored(placed.join(names, "component").select("class", "component_id"))
+    names = placed.groupBy("component").agg(F.min("first").alias("head"))
+    of_class = stored(placed.join(names, "component").select(
+        "class", F.col("head.doc_id").alias("component_id"), F.col("head.key").alias("head_key")))
     result = rows.select("doc_id", "key", "class", F.col("n").alias("n_shingles")).join(of_class, "class", "left").withColumn(
         "component_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    head = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("class").isNull() | F.col("key").eqNullSafe(F.col("head_key")))
     return result.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "doc_id", "n_shingles", "component_id", head.alias("kept"),
         *([F.col("key").alias(key)] if key else []),
     )
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that head their group, all columns kept; of rows repeated whole, one."""
+    keyed = docs.withColumn("_key", document_key(docs))
+    kept = near_duplicates(keyed.select("doc_id", "text", "_key"), percent, key="_key").where("kept").select("_key").distinct()
+    return keyed.dropDuplicates(["_key"]).join(kept, "_key", "left_semi").select(*[keyed[c] for c in docs.columns])
