@@ -37,32 +37,35 @@ fahrenheit kmh mph w kw kwh hz khz mhz ghz b kb mb gb tb
 PLAIN, TEMPLATE = 0, 1
 _WORD, _NUMBER, _NAME, _UNIT, _NOTHING = range(5)
 _CORE = re.compile(r"^[^\w%]+|[^\w%]+$|^_+|_+$")
+_SIGNS = "!\"#$&'()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the percent sign, which is a unit
 _DIGIT = re.compile(r"\d").search
-_AMOUNT = re.compile(r"(?<=\d)(?=[^\W\d_]|%)|(?<=[$€£])(?=\d)")
+_AMOUNT = re.compile(r"\d(?=[^\W\d_]|%)|[$€£](?=\d)")
 _NUMERIC = re.compile(r"[+-]?\d[\d.,:/]*\Z").match
-_SLOT_HASH = {k: np.uint64(xxhash.xxh64_intdigest(f"\0slot{k}")) for k in (_NUMBER, _NAME, _UNIT)}
+_SLOT_HASH = np.array([xxhash.xxh64_intdigest(f"\0slot{k}") for k in range(5)], np.uint64)  # of each kind
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 HIT_SCHEMA = "key binary, pos int, hash long, kind int, slots array<long>"
 
 
-class Tokens:
-    """Kind and hash of each chunk of text, remembered."""
+class Tokens(dict):
+    """Place of each chunk of text in two tables, its token's hash and kind, remembered."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
+        super().__init__()
         self.hash = np.zeros(1024, np.uint64)
         self.kind = np.zeros(1024, np.int8)
 
-    def _add(self, chunk: str) -> int:
-        at = len(self.ids)
+    def __missing__(self, chunk: str) -> int:
+        at = len(self)
         if at == len(self.hash):
             self.hash, self.kind = np.resize(self.hash, 2 * at), np.resize(self.kind, 2 * at)
-        core = _CORE.sub("", chunk)
+        core = chunk.strip(_SIGNS)
+        if not core.isalnum():
+            core = _CORE.sub("", chunk)
         if not core:
             kind = _NOTHING
-        elif _NUMERIC(core):
+        elif not core.isalpha() and _NUMERIC(core):
             kind = _NUMBER
         elif core.lower() in UNITS:
             kind = _UNIT
@@ -72,60 +75,80 @@ class Tokens:
             kind = _WORD
         self.kind[at] = kind
         self.hash[at] = xxhash.xxh64_intdigest(core.lower().encode("utf-8", "surrogatepass"))
-        self.ids[chunk] = at
+        self[chunk] = at
         return at
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(hashes, kinds) of the tokens of a text; a unit word without a number before it is a word."""
-        if len(self.ids) > CACHE:
-            self.ids.clear()
+        if len(self) > CACHE:
+            self.clear()
         if _DIGIT(text):
-            text = _AMOUNT.sub(" ", text)
-        chunks, ids = text.split(), self.ids
-        found = np.fromiter((ids[c] if c in ids else self._add(c) for c in chunks), np.int64, len(chunks))
+            text = _AMOUNT.sub(r"\g<0> ", text)
+        chunks = text.split()
+        found = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
         hashes, kinds = self.hash[found], self.kind[found]
         kept = kinds != _NOTHING
-        hashes, kinds = hashes[kept], kinds[kept].copy()
-        before = np.r_[np.int8(_WORD), kinds[:-1]] if len(kinds) else kinds
-        kinds[(kinds == _UNIT) & (before != _NUMBER)] = _WORD
+        if not kept.all():
+            hashes, kinds = hashes[kept], kinds[kept]
+        units = np.flatnonzero(kinds == _UNIT)
+        if len(units):
+            alone = units[(units == 0) | (kinds[units - 1] != _NUMBER)]
+            kinds[alone] = _WORD
         return hashes, kinds
 
 
 def rolled(values: np.ndarray, size: int, tag: int) -> np.ndarray:
-    """Hash of every window of ``size`` values; ``tag`` keeps sizes and kinds apart."""
+    """Hash of every window of ``size`` values; ``tag`` keeps sizes and kinds apart.
+
+    The polynomial of a window is put together from those of its halves, so the work grows with the
+    logarithm of the size.
+    """
     n = len(values) - size + 1
-    h = np.full(n, tag * 1000003 + size, np.uint64)
-    for j in range(size):
-        h = h * _BASE + values[j : j + n]
+    whole, length = None, 0  # polynomial of the first ``length`` values of each window
+    power, span = values, 1  # polynomial of ``span`` values from each place on
+    while True:
+        if size & span:
+            if whole is None:
+                whole = power[:n]
+            else:
+                whole = whole * _power(span) + power[length : length + n]
+            length += span
+        if 2 * span > size:
+            break
+        power = power[:-span] * _power(span) + power[span:]
+        span *= 2
+    h = whole + np.uint64(tag * 1000003 + size)
     h ^= h >> np.uint64(31)
     h *= _MIX
     return h ^ (h >> np.uint64(29))
 
 
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(int(_BASE), n, 1 << 64))
+
+
 def windows_of(tokens: Tokens, text: str, sizes: list[int], bits: np.ndarray | None) -> list[tuple]:
     """(pos, hash, kind, slot hashes) of the windows of a text, only those the filter ``bits`` lets through."""
     hashes, kinds = tokens.of(text)
     slot = kinds != _WORD
-    masked = hashes
-    if slot.any():
-        masked = hashes.copy()
-        for k, h in _SLOT_HASH.items():
-            masked[kinds == k] = h
-    slots_before = np.r_[0, np.cumsum(slot)]
+    slots = bool(slot.any())
+    if slots:
+        masked = np.where(slot, _SLOT_HASH[kinds], hashes)
+        slots_before = np.r_[0, np.cumsum(slot)]
     found = []
     for size in sizes:
         if len(hashes) < size:
             continue
-        for kind in (PLAIN, TEMPLATE):
+        for kind in (PLAIN, TEMPLATE) if slots else (PLAIN,):
             h = rolled(hashes if kind == PLAIN else masked, size, kind)
-            if kind == TEMPLATE:
-                in_window = slots_before[size:] - slots_before[:-size]
-                possible = (in_window > 0) & ((size - in_window) * WINDOW >= LITERAL * size)
+            if bits is None:
+                passed = np.arange(len(h))
             else:
-                possible = np.ones(len(h), bool)
-            if bits is not None:
-                possible &= (bits[(h >> np.uint64(48)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) > 0
-            for p in np.flatnonzero(possible):
+                passed = np.flatnonzero((bits[h >> np.uint64(48)] >> (h & np.uint64(63))) & np.uint64(1))
+            if kind == TEMPLATE:
+                in_window = slots_before[passed + size] - slots_before[passed]
+                passed = passed[(in_window > 0) & ((size - in_window) * WINDOW >= LITERAL * size)]
+            for p in passed:
                 own = hashes[p : p + size][slot[p : p + size]].view(np.int64).tolist() if kind == TEMPLATE else []
                 found.append((int(p), int(h[p].astype(np.int64)), kind, own))
     return found

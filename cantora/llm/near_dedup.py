@@ -48,32 +48,27 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Shingler:
-    """Sorted distinct 64-bit hashes of the five-word shingles of a text."""
+class Shingler(dict):
+    """Sorted distinct 64-bit hashes of the five-word shingles of a text; remembers the hashes of words."""
 
-    def __init__(self):
-        self.words: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
     def __call__(self, text: str | None) -> np.ndarray:
         # bytes.lower and bytes.split know A-Z and ASCII white space only, as the definition does
         words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         if not words:
             return np.zeros(0, np.uint64)
-        known = self.words
-        if len(known) > WORD_CACHE:
-            known.clear()
-        hashes = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes[i] = h
+        if len(self) > WORD_CACHE:
+            self.clear()
+        hashes = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
         size = min(SHINGLE, len(words))
         n = len(words) - size + 1
         h = np.full(n, size, np.uint64)
         for j in range(size):
-            h = _mixed(h * _BASE + hashes[j : j + n])
-        return np.unique(h)
+            h = h * _BASE + hashes[j : j + n]
+        return np.unique(_mixed(h))
 
 
 def minhash(shingles: np.ndarray) -> np.ndarray:
