@@ -189,6 +189,8 @@ def _nearest(blocks: list[Block], regions: list[bool], order: range) -> list[tup
     found: list[tuple[float, str | None]] = [(float("inf"), None)] * len(blocks)
     last: dict[bool, tuple[int, str]] = {}
     for i in order:
+        if blocks[i].label == "bad" and regions[i]:
+            continue  # a list of links inside the article says nothing of the paragraph beside it
         if blocks[i].label != "short":
             last[regions[i]] = (i, blocks[i].label)
         elif regions[i] in last:
