@@ -86,7 +86,7 @@ def tokens_sql(text: str) -> str:
     """
     marks = "'" + _PUNCT.replace("\\", "\\\\").replace("'", "\\'") + "'"
     bare = f"coalesce(nullif(btrim(w, {marks}), ''), w)"
-    return rf"""filter(transform(split({text}, r"\s+"), w -> {bare}), w -> char_length(w) > 1)"""
+    return rf"""filter(transform(split({text}, r"(?U)[\s\x1c-\x1f]+"), w -> {bare}), w -> char_length(w) > 1)"""
 
 
 def rating_sql(word: str, valence: dict[str, float]) -> str:

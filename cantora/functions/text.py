@@ -7,10 +7,8 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Characters file systems refuse in names.
 FORBIDDEN = '<>:"/\\|?*'
@@ -49,56 +47,39 @@ def sanitize_hyphen(x: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _folds() -> tuple[str, str, dict[str, str]]:
-    """Compatibility folds to ASCII, derived from the Unicode database.
-
-    Returns (from, to) for ``translate`` and the few characters that fold to several.
-    Characters whose fold holds no ASCII are left to the caller, which drops them.
-    """
-    single_from, single_to, multi = [], [], {}
-    for cp in range(0x80, min(sys.maxunicode, 0xFFFF) + 1):
-        ch = chr(cp)
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-        if len(folded) == 1:
-            single_from.append(ch)
-            single_to.append(folded)
-        elif folded and cp < 0x250 or 0xFB00 <= cp <= 0xFB06:
-            multi[ch] = folded
-    return "".join(single_from), "".join(single_to), multi
+def _folds() -> tuple[str, tuple[str, ...]]:
+    """All characters whose compatibility fold holds ASCII, and their folds, from the Unicode database."""
+    found = {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        folded = unicodedata.normalize("NFKD", chr(cp)).encode("ascii", "ignore").decode("ascii")
+        if folded:
+            found[chr(cp)] = folded
+    return "".join(found), tuple(found.values())
 
 
 def fold_ascii(x: Column) -> Column:
-    """Drop accents and everything else outside ASCII.
+    """Drop accents and everything else outside ASCII, as the compatibility fold of each character has it.
 
-    Native; covers all single-letter folds of the basic plane and the Latin ligatures.
-    ``fold_ascii_exact`` covers the rest through Arrow.
+    Rows of plain ASCII pass; the others are rebuilt in one pass over their characters.
     """
-    src, dst, multi = _folds()
-    out = F.translate(x, src, dst)
-    for ch, repl in multi.items():
-        out = F.replace(out, F.lit(ch), F.lit(repl))
-    out = F.when(x.rlike(r"^\p{ASCII}*$"), x).otherwise(out)
-    return F.regexp_replace(out, r"[^\p{ASCII}]+", "")
+    letters, folds = _folds()
+    table = F.split(F.lit("\x00".join(folds)), "\x00")
 
+    def fold(c: Column) -> Column:
+        return F.when(c.rlike(r"^\p{ASCII}$"), c).otherwise(F.coalesce(F.get(table, F.instr(F.lit(letters), c) - 1), F.lit("")))
 
-@F.pandas_udf(StringType())
-def fold_ascii_exact(values: pd.Series) -> pd.Series:
-    return values.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+    return F.when(x.rlike(r"^\p{ASCII}*$"), x).otherwise(F.array_join(F.transform(F.split(x, ""), fold), ""))
 
 
-def slugify(x: Column, exact: bool = False) -> Column:
+def slugify(x: Column) -> Column:
     """URL slug: lower, ASCII, quotes and round brackets dropped, other runs to one hyphen."""
-    low = F.lower(x)
-    ascii_text = fold_ascii_exact(low) if exact else fold_ascii(low)
-    no_quotes = F.regexp_replace(ascii_text, r"['\"()]+", "")
+    no_quotes = F.regexp_replace(fold_ascii(F.lower(x)), r"['\"()]+", "")
     return F.btrim(F.regexp_replace(no_quotes, r"[^a-z0-9]+", "-"), F.lit("-"))
 
 
-def album_page_path(artist: Column, album: Column, exact: bool = False) -> Column:
+def album_page_path(artist: Column, album: Column) -> Column:
     """Relative page address of an album: two slugs under ``albums``."""
-    return F.concat_ws("/", F.lit("albums"), slugify(artist, exact), slugify(album, exact))
+    return F.concat_ws("/", F.lit("albums"), slugify(artist), slugify(album))
 
 
 def clean_title(x: Column) -> Column:

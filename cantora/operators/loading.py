@@ -28,24 +28,35 @@ def first_per_key(df: DataFrame, key: Sequence[Column], order: Sequence[Column],
     return df.groupBy(*named).agg(pick(row, rank).alias("__row")).select("__row.*")
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: Sequence[str] | None = None) -> Column:
+    """Equality of keys, NULL-safe on the ``nullable`` ones (all by default).
+
+    Plain equality on a key that is never NULL lets a table bucketed by it join without a shuffle.
+    """
+    safe = keys if nullable is None else nullable
+    return reduce(and_, [left[k].eqNullSafe(right[k]) if k in safe else left[k] == right[k] for k in keys])
 
 
-def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def insert_ignore(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column], nullable: Sequence[str] | None = None
+) -> DataFrame:
     """Rows to append: the first per key among the incoming, unless the target has the key.
 
-    Keys compare NULL-safe, so an artist without a birth date is not loaded twice.
+    Keys compare NULL-safe, so an artist without a birth date is not loaded twice; ``nullable`` names
+    the keys that need it.
     """
     fresh = first_per_key(incoming, _columns(keys), order)
-    return fresh.join(target, null_safe(fresh, target, keys), "left_anti")
+    return fresh.join(target, same_key(fresh, target, keys, nullable), "left_anti")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None,
+    nullable: Sequence[str] | None = None,
+) -> DataFrame:
     """Target with incoming rows added or replacing those of the same key; the last one wins."""
     new = incoming if order is None else first_per_key(incoming, _columns(keys), order, last=True)
     new = new.select(*_columns(target.columns))
-    kept = target.join(new, null_safe(target, new, keys), "left_anti")
+    kept = target.join(new, same_key(target, new, keys, nullable), "left_anti")
     return kept.unionByName(new)
 
 
@@ -70,8 +81,8 @@ def lookup(children: DataFrame, parents: DataFrame, on: Sequence[str]) -> tuple[
 
 
 def update_rows(table: DataFrame, recomputed: DataFrame, key: str) -> DataFrame:
-    """Table in which the recomputed rows replace their old versions."""
-    return upsert(table, recomputed, [key])
+    """Table in which the recomputed rows replace their old versions; ``key`` is never NULL."""
+    return upsert(table, recomputed, [key], nullable=())
 
 
 # ---- integrity --------------------------------------------------------------------------

@@ -197,9 +197,12 @@ def quick_ratio(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(DoubleType())
 def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
-    """Ratcliff/Obershelp ratio; the order of the arguments matters."""
+    """Ratcliff/Obershelp ratio at any length; the order of the arguments matters.
+
+    The matcher's own shortcut, which from 200 letters on ignores the frequent ones, stays off.
+    """
     scores = []
-    matcher = SequenceMatcher()
+    matcher = SequenceMatcher(autojunk=False)
     for a, b in zip(first, second):
         if a is None or b is None:
             scores.append(None)

@@ -9,11 +9,14 @@ each slice is shifted by the rows of the slices before it. Only the slice counts
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES = 64
+SLICE_ROWS = 100_000  # a group this small is sorted in one task
 
 
 def _numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
@@ -43,19 +46,29 @@ def _numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
     )
 
 
-def number_by(df: DataFrame, group: Sequence[str], key: str, out: str) -> DataFrame:
+def number_by(df: DataFrame, group: Sequence[str], key: str, out: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Position of each row in its group, by a numeric key without ties inside a group.
 
-    Slice borders are quantiles of the key over the whole input: one small aggregate that
-    becomes a scalar subquery of the plan.
+    Groups of more than ``slice_rows`` rows are cut into slices at the quantiles of their own keys,
+    whatever the keys of other groups; a smaller group is one slice. The result is the same.
     """
+    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slice_rows).drop("__n")
     cuts = [i / SLICES for i in range(1, SLICES)]
-    borders = df.select(
-        F.percentile_approx(F.col(key), cuts, F.lit(1000)).alias("__cuts")
-    ).scalar()
-    # Where the key would stand among the borders.
-    slice_no = F.array_position(F.sort_array(F.array_append(borders, F.col(key))), F.col(key))
-    return _numbered(df.withColumn("__slice", F.coalesce(slice_no, F.lit(0))), group, [F.col(key)], out)
+    named = large.select(*[F.col(g).alias(f"__b_{g}") for g in group])
+
+    def same(other: str) -> Column:
+        return reduce(and_, [F.col(g).eqNullSafe(F.col(f"{other}{g}")) for g in group])
+
+    borders = (
+        df.join(named, same("__b_"), "left_semi").groupBy(*group)
+        .agg(F.percentile_approx(F.col(key), cuts, F.lit(1000)).alias("__cuts"))
+        .select(*[F.col(g).alias(f"__c_{g}") for g in group], "__cuts")
+    )
+    placed = df.join(borders, same("__c_"), "left")
+    # Where the key would stand among the borders of its group.
+    slice_no = F.size(F.filter("__cuts", lambda c: c < F.col(key)))
+    sliced = placed.withColumn("__slice", F.when(F.col("__cuts").isNull(), 0).otherwise(slice_no))
+    return _numbered(sliced.drop("__cuts", *[f"__c_{g}" for g in group]), group, [F.col(key)], out)
 
 
 def dense_ids(df: DataFrame, natural_key: Sequence[str], out: str, start: Column | None = None) -> DataFrame:

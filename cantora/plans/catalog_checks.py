@@ -6,7 +6,7 @@ from cantora.plans import catalog
 from cantora.plans import oracle_parts as O
 from cantora.plans.model import Model
 
-ARTIST, ALBUM, TRACK = "NATION_3", "Customer#000000085", "Order#5"
+ARTIST, ALBUM, TRACK = "NATION_21", "Customer#000000005", "Order#5"
 MOTIFS = ("reth", "thin", "shing", "onre")
 
 QUERIES = {

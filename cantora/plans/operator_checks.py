@@ -357,7 +357,7 @@ def d7(m):
 def d8(m):
     part = m.raw("part").select("p_brand", "p_name", "p_partkey", "p_type")
     loaded = part.where("p_type = 'ECONOMY'")
-    return loading.insert_ignore(loaded, part, ["p_brand", "p_name"], [F.col("p_partkey")])
+    return loading.insert_ignore(loaded, part, ["p_brand", "p_name"], [F.col("p_partkey")], nullable=())
 
 
 @check("d9_ids", "SELECT c_custkey, c_name, row_number() OVER (ORDER BY md5(c_name), c_name) AS id FROM customer")
@@ -379,7 +379,7 @@ def d10(m):
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("last_order"),
         F.col("o_totalprice").alias("last_total"), "o_orderdate",
     )
-    return loading.upsert(target, incoming, ["c_custkey"], [F.col("o_orderdate"), F.col("last_order")])
+    return loading.upsert(target, incoming, ["c_custkey"], [F.col("o_orderdate"), F.col("last_order")], nullable=())
 
 
 @check(

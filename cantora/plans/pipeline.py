@@ -15,8 +15,9 @@ from cantora import schemas
 from cantora.functions import coerce, sentiment
 from cantora.functions import text as T
 from cantora.operators import loading, matching, shape, wordfreq
-from cantora.operators.enrich import refresh_metrics
+from cantora.operators.enrich import METRICS_VERSION, refresh_metrics
 from cantora.operators.numbering import hash_id
+from cantora.operators.shape import pending
 from cantora.sources import landed, sinks
 
 ALBUM = ("artist_dir", "album_dir")
@@ -117,26 +118,33 @@ def load(
     """Insert what is new into the four model tables, parents first."""
     sinks.create_tables(spark, database, buckets)
 
-    def insert(table: str, rows: DataFrame, order: list) -> None:
-        target = sinks.stored(spark, table, database)
-        fresh = loading.insert_ignore(target, rows, schemas.NATURAL_KEYS[table], order)
+    def insert(table: str, rows: DataFrame, order: list[str]) -> None:
+        # Winners are picked on the table's own columns, lyrics on their key alone: no text is sorted.
+        target, keys = sinks.stored(spark, table, database), schemas.NATURAL_KEYS[table]
+        wanted = [f.name for f in schemas.TABLES[table].fields if f.name in rows.columns and f.name != "text"]
+        narrow = rows.select(*dict.fromkeys([*wanted, *order]))
+        fresh = loading.insert_ignore(target, narrow, keys, [F.col(c) for c in order], schemas.NULLABLE_KEYS)
+        if "text" in schemas.TABLES[table].fieldNames():
+            texts = rows.select(*keys, *order, "text").dropDuplicates([*keys, *order])
+            fresh = fresh.join(texts, [*keys, *order])
         sinks.append_rows(fresh, table, database, buckets)
 
     artists = artist_rows(merged)
     albums = album_rows(final, artists)
     tracks = track_rows(final, albums)
-    insert("artists", artists, [F.col("artist_dir")])
-    insert("albums", albums, [F.col("album_dir")])
-    insert("tracks", tracks, [F.col("row_no")])
-    insert("lyrics", lyrics_rows(tracks), [F.col("row_no")])
+    insert("artists", artists, ["artist_dir"])
+    insert("albums", albums, ["album_dir"])
+    insert("tracks", tracks, ["row_no"])
+    insert("lyrics", lyrics_rows(tracks), ["row_no"])
 
 
 def analyze(
     spark: SparkSession, database: str | None = None, rules: sentiment.Rules | None = None, buckets: int | None = None
 ) -> None:
     """Compute missing metrics, then rebuild the two word-frequency tables."""
-    refreshed = refresh_metrics(sinks.stored(spark, "lyrics", database), rules)
-    sinks.replace_table(refreshed, "lyrics", database, buckets)
+    stored = sinks.stored(spark, "lyrics", database)
+    if not pending(stored, schemas.METRICS, METRICS_VERSION).isEmpty():
+        sinks.replace_table(refresh_metrics(stored, rules), "lyrics", database, buckets)
     tracks = sinks.stored(spark, "tracks", database)
     known = tracks.select(F.col("id").alias("track_id"))
     lyrics = sinks.stored(spark, "lyrics", database).join(known, "track_id", "left_semi")

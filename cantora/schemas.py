@@ -90,6 +90,7 @@ NATURAL_KEYS = {
     "word_frequencies_track": ("track_id", "word"),
     "word_frequencies_album": ("album_id", "word"),
 }
+NULLABLE_KEYS = ("birth_date",)
 
 # Keys of the joins between large tables.
 BUCKET_KEYS = {

@@ -53,6 +53,7 @@ def create_tables(spark: SparkSession, database: str | None = None, buckets: int
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table, schema in schemas.TABLES.items():
+        recover_table(spark, table, database)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         key = schemas.BUCKET_KEYS.get(table)
         clustered = f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if buckets and key else ""
@@ -85,12 +86,25 @@ def append_rows(df: DataFrame, table: str, database: str | None = None, buckets:
     _writer(df, table, buckets).mode("append").saveAsTable(_name(database, table))
 
 
+def recover_table(spark: SparkSession, table: str, database: str | None = None) -> None:
+    """Finish a replacement that stopped between its last two steps.
+
+    The side table takes the name only after it is complete, so where the name is absent and a side
+    table exists, the side table is the table.
+    """
+    name, side = _name(database, table), _name(database, f"{table}__new")
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(side):
+        spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
+
+
 def replace_table(df: DataFrame, table: str, database: str | None = None, buckets: int | None = None) -> None:
     """Full refresh: the new rows go to a side table first, which then takes the name.
 
-    ``df`` may read the very table it replaces.
+    ``df`` may read the very table it replaces. A crash at any point leaves the old rows or the new
+    ones under one of the two names, and the next run recovers them.
     """
     spark = df.sparkSession
+    recover_table(spark, table, database)
     name, side = _name(database, table), _name(database, f"{table}__new")
     spark.sql(f"DROP TABLE IF EXISTS {side}")
     _writer(df, table, buckets).saveAsTable(side)

@@ -1,11 +1,14 @@
 """Incremental ingest: files that have landed since the last run, cleaned and scored once.
 
-The checkpoint remembers the files already seen, so a rerun without new files does nothing.
-All steps are row-local; the stream keeps no state.
+``append_new_files`` is a stream whose checkpoint remembers the files already seen; a rerun without
+new files does nothing, and a file counts as new however old it claims to be. ``upsert_files`` compares
+the listing with what is stored, so it also takes files that have changed.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,9 +21,12 @@ from cantora.sources.landed import with_lyrics_scope
 
 
 def lyrics_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
-    """Stream of lyrics text files below ``<root>/<artist>/<album>``, at most ``max_files`` a batch."""
+    """Stream of lyrics text files below ``<root>/<artist>/<album>``, at most ``max_files`` a batch.
+
+    Files of any age are taken: without ``maxFileAge`` a restored archive would be passed over.
+    """
     files = (
-        spark.readStream
+        spark.readStream.option("maxFileAge", "36500d")
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").option("maxFilesPerTrigger", max_files)
         .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
@@ -43,22 +49,47 @@ def append_new_files(stream: DataFrame, out: str, checkpoint: str, rules: sentim
     )
 
 
-def upsert_new_files(
-    stream: DataFrame, out: str, checkpoint: str, rules: sentiment.Rules | None = None
-) -> StreamingQuery:
-    """Score new files into one folder per batch; ``current`` shows the last row per key.
+def listed(spark: SparkSession, root: str) -> DataFrame:
+    """(path, file, modified) of the lyrics files; no content is read."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("path").alias("file"),
+                F.col("modificationTime").alias("modified"))
+    )
 
-    A batch that is repeated after a failure overwrites its own folder, so nothing is counted
-    twice, and no batch rewrites what earlier ones stored.
-    """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        enriched(batch, rules).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+def upsert_files(
+    spark: SparkSession, root: str, out: str, rules: sentiment.Rules | None = None, max_files: int = 10_000
+) -> int:
+    """Score files that are new, late or changed, and return their number; ``current`` shows the last row per key.
 
-    return (
-        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    A file is taken when its path is not stored with its modification time. The work goes in slices of
+    ``max_files``, until nothing is left; each slice is one folder, so no slice rewrites what earlier
+    ones stored and one that fails is taken again.
+    """
+    taken = 0
+    while True:
+        files = listed(spark, root)
+        try:
+            stored = spark.read.parquet(out)
+        except Exception as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            batch = 0
+        else:
+            files = files.join(stored.select("path", "modified"), ["path", "modified"], "left_anti")
+            batch = stored.agg(F.max("batch")).first()[0] + 1
+        slice_ = files.orderBy("modified", "path").limit(max_files).collect()
+        if not slice_:
+            return taken
+        # as paths, not patterns: what globs would read specially is escaped
+        names = [re.sub(r"([\[\]{}*?\\,])", r"\\\1", r["file"]) for r in slice_]
+        times = spark.createDataFrame([(r["path"], r["modified"]) for r in slice_], "path string, modified timestamp")
+        texts = spark.read.text(names, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+        rows = enriched(with_lyrics_scope(texts), rules).join(times, "path")
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        taken += len(slice_)
 
 
 def current(spark: SparkSession, out: str, key: str = "path") -> DataFrame:

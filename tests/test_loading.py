@@ -46,11 +46,21 @@ def test_numbers_of_a_dominant_group(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 7).alias("g"), ((F.col("id") * 7919) % 100003).alias("k")
     )
-    got = numbering.number_by(df, ["g"], "k", "n")
+    got = numbering.number_by(df, ["g"], "k", "n", slice_rows=100)
     plain = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("k")).cast("bigint"))
     assert rows(got) == rows(plain)
 
 
+def test_slices_split_a_hot_group_of_adjacent_keys(spark):
+    """Keys of the hot group lie next to each other, far from those of the many other rows."""
+    hot = spark.range(500_000, 503_000).select(F.lit(0).alias("g"), F.col("id").alias("k"))
+    df = hot.union(spark.range(20_000).select((F.col("id") % 5000 + 1).cast("int").alias("g"), (F.col("id") * 1000).alias("k")))
+    got = numbering.number_by(df, ["g"], "k", "n", slice_rows=1000)
+    assert got.where("g = 0 AND n <> k - 499999").count() == 0 and got.count() == 23_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cuts" in plan
+
+
 def test_dense_ids_continue_and_hash_ids_tell_null_apart(spark):
     df = spark.createDataFrame([(f"n{i}",) for i in range(500)], "name string")
     ids = [r.id for r in numbering.dense_ids(df, ["name"], "id", F.lit(100)).collect()]

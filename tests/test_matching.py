@@ -125,3 +125,11 @@ def test_no_all_pairs_plan(frames):
     _, _, t, f = frames
     plan = MT.match_lyrics(t, f, SCOPE)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("length", [199, 200, 201, 400])
+def test_similarity_has_no_switch_at_any_length(spark, length):
+    title = "".join(random.Random(length).choice("abc") for _ in range(length))
+    pairs = [(title, title + "x"), (title, title[::-1])]
+    got = [r[0] for r in spark.createDataFrame(pairs, "a string, b string").coalesce(1).select(MT.similarity("a", "b")).collect()]
+    assert got == [SequenceMatcher(None, a, b, autojunk=False).ratio() for a, b in pairs] and got[0] > 0.99

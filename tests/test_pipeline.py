@@ -166,3 +166,52 @@ def test_append_new_never_overwrites(spark, tmp_path):
     sinks.append_new(spark.createDataFrame([("a", 1)], "path string, v int"), path, ["path"])
     sinks.append_new(spark.createDataFrame([("a", 2), ("b", 3)], "path string, v int"), path, ["path"])
     assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("a", 1), ("b", 3)}
+
+
+@pytest.mark.parametrize("crash_after", ["DROP TABLE IF EXISTS crash.lyrics", "ALTER TABLE"])
+def test_replacement_survives_a_crash(spark, monkeypatch, crash_after):
+    """Stopped right after the drop, or right before the rename: the next run has the new rows."""
+    from pyspark.sql import SparkSession
+
+    sinks.create_tables(spark, "crash")
+    sinks.drop_tables(spark, "crash", confirm=True)
+    sinks.create_tables(spark, "crash")
+    names = TABLES["lyrics"].fieldNames()
+    row = spark.createDataFrame([tuple([7, "la la"] + [None] * (len(names) - 2))], TABLES["lyrics"])
+    sql = SparkSession.sql
+
+    def failing(self, query, *args, **kw):
+        if query.startswith("ALTER TABLE") and crash_after == "ALTER TABLE":
+            raise RuntimeError("crash")
+        result = sql(self, query, *args, **kw)
+        if query == crash_after:
+            raise RuntimeError("crash")
+        return result
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", failing)
+        with pytest.raises(RuntimeError):
+            sinks.replace_table(row, "lyrics", "crash")
+    sinks.create_tables(spark, "crash")
+    assert [r["track_id"] for r in sinks.stored(spark, "lyrics", "crash").collect()] == [7]
+    sinks.replace_table(sinks.stored(spark, "lyrics", "crash"), "lyrics", "crash")
+    assert sinks.stored(spark, "lyrics", "crash").count() == 1
+
+
+def test_nothing_pending_writes_nothing(spark, model):
+    before = spark.table(f"{DB}.lyrics").inputFiles()
+    pipeline.analyze(spark, DB)
+    assert spark.table(f"{DB}.lyrics").inputFiles() == before
+
+
+def test_tracks_are_inserted_without_texts(spark, layout, model, monkeypatch):
+    plans = {}
+
+    def record(df, table, *args):
+        plans[table] = df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(sinks, "append_rows", record)
+    final = spark.read.parquet(f"{layout.stages}/final")
+    pipeline.load(spark, spark.read.parquet(f"{layout.stages}/artists"), final, DB)
+    assert "Lyrics#" not in plans["tracks"] and "Lyrics#" in plans["lyrics"]
+    assert "<=>" not in plans["tracks"] and "<=>" not in plans["lyrics"]

@@ -1,4 +1,5 @@
 import re
+import sys
 import unicodedata
 
 import pytest
@@ -20,15 +21,22 @@ def test_sanitize(spark):
         assert h == "".join("-" if c in bad else c for c in name).strip()
 
 
-@pytest.mark.parametrize("exact", [False, True])
-def test_slugify_matches_the_definition_and_is_idempotent(spark, exact):
+def test_slugify_matches_the_definition_and_is_idempotent(spark):
     def expected(s):
         s = unicodedata.normalize("NFKD", s.lower()).encode("ascii", "ignore").decode()
         return re.sub(r"[^a-z0-9]+", "-", re.sub(r"['\"()]", "", s)).strip("-")
 
-    slugs = run_many(spark, lambda x: T.slugify(x, exact), NAMES)
+    slugs = run_many(spark, lambda x: T.slugify(x), NAMES)
     assert slugs == [expected(n) for n in NAMES]
-    assert run_many(spark, lambda x: T.slugify(x, exact), slugs) == slugs
+    assert run_many(spark, lambda x: T.slugify(x), slugs) == slugs
+
+
+def test_fold_covers_every_code_point(spark):
+    points = [chr(cp) for cp in range(0x80, sys.maxunicode + 1) if not 0xD800 <= cp <= 0xDFFF]
+    texts = ["".join(points[i : i + 2000]) for i in range(0, len(points), 2000)]
+    expected = [unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in texts]
+    assert run_many(spark, T.fold_ascii, texts) == expected
+    assert run_many(spark, T.slugify, ["½ ㎏ № ™ … ① 𝐀bc ﬁ ⑩ ㏂"]) == ["12-kg-o-1-bc-fi-10-a-m"]
 
 
 def test_clean_title(spark):
