@@ -24,7 +24,7 @@ MATCHED = 6  # distinct windows of an item a document must hold, or all if the i
 SHORTEST = 5  # tokens; shorter items are no evidence and are left out
 LITERAL = 3  # tokens of a full template window that must not be slots, in proportion for shorter ones
 FILTER_WORDS = 1 << 16  # 64-bit words of the window filter: 512 KB, whatever the benchmark's size
-CACHE = 400_000  # chunks a worker remembers
+CACHE = 200_000  # chunks a worker remembers
 
 # Unit words that are slots after a number.
 UNITS = frozenset("""
@@ -166,8 +166,8 @@ def windows(texts: DataFrame, sizes: list[int], bits: np.ndarray | None = None)
         for batch in batches:
             rows = [
                 (key, *window)
-                for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()) if text
-                for window in windows_of(tokens, text, sizes, held.value)
+                for key, text in zip(batch.column("key").to_pylist(), batch.column("text")) if text.is_valid
+                for window in windows_of(tokens, text.as_py(), sizes, held.value)
             ]
             columns = list(zip(*rows)) if rows else [[], [], [], [], []]
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -206,9 +206,9 @@ def main_text(page: str | None) -> str:
 
 
 def main_text_column(page: Column) -> Column:
-    @F.pandas_udf("string")
-    def extract(pages: pd.Series) -> pd.Series:
-        return pd.Series([main_text(p) for p in pages], dtype=object)
+    @F.arrow_udf("string")
+    def extract(pages: pa.Array) -> pa.Array:
+        return pa.array([main_text(p.as_py()) for p in pages], pa.string())
 
     return extract(page)
 

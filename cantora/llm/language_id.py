@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +73,8 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     counts: dict[str, np.ndarray] = {}
     documents: dict[str, int] = {}
     for batch in batches:
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+        for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+            text = text.as_py()
             if not has_letter(text):
                 continue
             documents[lang] = documents.get(lang, 0) + 1
@@ -129,10 +129,11 @@ def predicted(df: DataFrame, model: NaiveBayes, text: str = "text") -> Column:
     """Struct (lang, score) of a text column; the matrix travels to each executor once."""
     held = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        rows = [held.value.predict(t) for t in texts]
-        return pd.DataFrame(rows, columns=["lang", "score"])
+    @F.arrow_udf("lang string, score double")
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [held.value.predict(t.as_py()) for t in texts]
+        names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
+        return pa.StructArray.from_arrays([names, scores], ["lang", "score"])
 
     return predict(F.col(text))
 

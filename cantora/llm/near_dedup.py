@@ -32,7 +32,7 @@ SKETCH_WORDS = 8  # 64-bit words of an odd sketch
 SIGMAS = 5.0  # standard errors of the estimate a pair may lie below the threshold before it is dropped
 FILTER_BITS = 1 << 26  # 8 MB, the fixed size of the filter of candidate classes
 COUNT_BITS = 20  # buckets of the shingle counts, a table of fixed size
-WORD_CACHE = 400_000  # words a worker remembers
+WORD_CACHE = 200_000  # words a worker remembers
 
 _VALUES = BANDS * ROWS
 _random = np.random.default_rng(5)
@@ -138,8 +138,8 @@ def signatures(docs: DataFrame) -> DataFrame:
         seen: dict[bytes, tuple] = {}
         for batch in batches:
             classes, sizes, bands, sketches = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                shingles = shingles_of(text)
+            for text in batch.column("text"):
+                shingles = shingles_of(text.as_py())
                 name = xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
                 known = seen.get(name) if name else ([], [])
                 if known is None:
@@ -187,14 +187,14 @@ def shingle_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
         shingles_of, seen = Shingler(), set()
         for batch in batches:
             names, sets = [], []
-            for text in batch.column("text").to_pylist():
-                shingles = shingles_of(text)
+            for text in batch.column("text"):
+                shingles = shingles_of(text.as_py())
                 if not len(shingles):
                     continue
                 name = xxhash.xxh3_128_digest(shingles.tobytes())
                 if name in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 100_000:
                     seen.add(name)
                 names.append(name)
                 sets.append(shingles.tobytes())

@@ -129,8 +129,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         ids_of = encoder(tokenizer).ids
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                ids = ids_of(text or "") + END
+            for at, text in enumerate(batch.column("text")):
+                ids = ids_of(text.as_py() or "") + END
                 total = len(ids) // 4
                 start, end = 0, total % capacity or min(total, capacity)
                 piece = 0

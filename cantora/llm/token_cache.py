@@ -41,7 +41,7 @@ def encode_misses(misses: DataFrame, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = encoder(tokenizer).count
         for batch in batches:
-            counts = [count(text) for text in batch.column("text").to_pylist()]
+            counts = [count(text.as_py()) for text in batch.column("text")]
             yield pa.record_batch({"digest": batch.column("digest").cast(pa.binary()), "n_tokens": pa.array(counts, pa.int64())})
 
     return misses.select("digest", "text").mapInArrow(encode, CACHE_SCHEMA)

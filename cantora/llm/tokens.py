@@ -14,7 +14,7 @@ import json
 import re
 from array import array
 
-CACHE = 400_000  # chunks, and words, a worker remembers
+CACHE = 250_000  # chunks, and words, a worker remembers
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[!-~\n{_LETTER}]*\Z").match

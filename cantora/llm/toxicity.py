@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +27,7 @@ SUPPORT = 5  # toxic texts that must hold a lexicon entry
 LIFT = 8.0  # times likelier on toxic texts than on others
 GAIN = 14.0  # log-likelihood gain over chance that an entry needs; chance passes once in e^14
 STEMS = (4, 5, 6)  # lengths of word stems
-CACHE = 200_000  # words a worker remembers
+CACHE = 100_000  # words a worker remembers
 
 # Fixed patterns that vote beside the lexicon.
 PATTERNS = (
@@ -145,9 +144,9 @@ def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     counts: Counter[str] = Counter()
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update({e for w in words_of(text) for e in entries_of(w)})
-            if len(counts) > 500_000:
+        for text in batch.column("text"):
+            counts.update({e for w in words_of(text.as_py()) for e in entries_of(w)})
+            if len(counts) > 200_000:
                 yield rows(counts)
                 counts.clear()
     yield rows(counts)
@@ -190,9 +189,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     voters = {e: i for i, e in enumerate([*entries, *(f"#{n}" for n, _ in PATTERNS)])}
     held = spark.sparkContext.broadcast(Scorer(voters, np.zeros(len(voters)), 0.0))
 
-    @F.pandas_udf("array<int>")
-    def votes(texts: pd.Series) -> pd.Series:
-        return pd.Series([held.value.votes(t) for t in texts], dtype=object)
+    @F.arrow_udf("array<int>")
+    def votes(texts: pa.Array) -> pa.Array:
+        return pa.array([held.value.votes(t.as_py()) for t in texts], pa.list_(pa.int32()))
 
     voted = rows.select(votes("text").alias("votes"), "toxic").toPandas()
     cast = [list(v) for v in voted["votes"]]
@@ -204,9 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
 def score_column(docs: DataFrame, scorer: Scorer, text: str = "text") -> Column:
     held = docs.sparkSession.sparkContext.broadcast(scorer)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([held.value.score(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([held.value.score(t.as_py()) for t in texts], pa.float64())
 
     return score(F.col(text))
 
