@@ -109,20 +109,18 @@ class Model:
         artists = self.artists().select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
         return lyrics.join(tracks, "track_id").join(albums, "album_id").join(artists, "artist_id")
 
-    # ---- matching: navigation items as track titles, opening words of documents as files ----
+    # ---- matching: whole part names, those of small parts as tracks, of large ones as files -----
 
     def titles(self) -> DataFrame:
-        items = F.regexp_extract_all("html", F.lit(r"<li><a[^>]*>([^<]*)</a>"), F.lit(1))
-        return (
-            self.raw("pages")
-            .select("page_id", F.regexp_extract("html", r'lang="([a-z]+)"', 1).alias("lang"), F.posexplode(items).alias("pos", "title"))
-            .select("page_id", "lang", (F.col("pos") + 1).cast("bigint").alias("n"), "title", title_key(F.col("title")).alias("title_key"))
+        return self.raw("part").where("p_size <= 25").select(
+            F.col("p_partkey").alias("part"), F.col("p_brand").alias("brand"), F.col("p_name").alias("title"),
+            title_key(F.col("p_name")).alias("title_key"),
         )
 
     def files(self) -> DataFrame:
-        opening = F.regexp_extract("text", r"^(\S+\s+\S+)", 1)
-        return self.raw("documents").select(
-            "lang", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), stem_key(F.translate(opening, "\n\t|", "   ")).alias("stem_key")
+        return self.raw("part").where("p_size > 25").select(
+            F.col("p_brand").alias("brand"), F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("path"),
+            stem_key(F.col("p_name")).alias("stem_key"), F.concat_ws(" ", "p_name", "p_type").alias("text"),
         )
 
 

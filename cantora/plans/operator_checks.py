@@ -91,13 +91,6 @@ def a16(m):
     )
 
 
-@check("a19_match_audit")
-def a19(m):
-    return landed.match_audit(
-        matching.match_lyrics(m.titles(), m.files(), scope=("lang",)), ["page_id", "lang", "n"], "title"
-    )
-
-
 @check(
     "a20_skipped",
     """SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'new') OR contains(lower(p_name), 'ring')""",
@@ -208,52 +201,88 @@ def c3(m):
     return matching.passage_hits(_docs(m), passages, "doc_id", "item_id")
 
 
-_TITLES = """titles AS (SELECT page_id, lang, CAST(generate_subscripts(items, 1) AS BIGINT) AS n, unnest(items) AS title FROM
-    (SELECT page_id, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang, regexp_extract_all(html, '<li><a[^>]*>([^<]*)</a>', 1) AS items FROM pages)),
-    keyed AS (SELECT *, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS title_key FROM titles),
-    files AS (SELECT lang, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path,
-    regexp_replace(regexp_replace(lower(regexp_extract(text, '^(\\S+\\s+\\S+)', 1)), '[\\n\\t|]', ' ', 'g'), '[ _-]', '', 'g') AS stem_key FROM documents),
-    wanted AS (SELECT DISTINCT lang, title_key FROM keyed WHERE title_key <> ''),
-    stems AS (SELECT lang, stem_key, min(path) AS path FROM files WHERE stem_key <> '' GROUP BY lang, stem_key)"""
+_TITLES = """keyed AS (SELECT p_partkey AS part, p_brand AS brand, p_name AS title,
+    regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS title_key FROM part WHERE p_size <= 25),
+    files AS (SELECT p_brand AS brand, lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS path, p_name || ' ' || p_type AS text,
+    regexp_replace(lower(p_name), '[ _-]', '', 'g') AS stem_key FROM part WHERE p_size > 25),
+    wanted AS (SELECT DISTINCT brand, title_key FROM keyed WHERE title_key <> ''),
+    stems AS (SELECT brand, stem_key, min(path) AS path FROM files WHERE stem_key <> '' GROUP BY brand, stem_key)"""
+
+# Ratcliff/Obershelp by its definition: the longest common block (ties: first in a, then first in b),
+# then the same to its left and right; the similarity is twice the letters in blocks over all letters.
+_BLOCK = """list_filter(flatten(list_transform(range(length(x), 0, -1), lambda k: list_transform(range(1, length(x) - k + 2),
+    lambda i: {'k': k, 'i': i}))), lambda s: contains(y, substr(x, s.i, s.k)))[1]"""
+_RATIOS = f"""pairs AS (SELECT DISTINCT stem_key AS a, title_key AS b FROM wanted w JOIN stems s ON w.brand = s.brand
+      AND 2.0 * least(length(title_key), length(stem_key)) / (length(title_key) + length(stem_key)) >= 0.7),
+    rests AS (SELECT a, b, a AS x, b AS y, 0 AS k FROM pairs
+      UNION ALL
+      SELECT a, b, CASE side WHEN 1 THEN substr(x, 1, CAST(block.i - 1 AS BIGINT)) WHEN 2 THEN substr(x, CAST(block.i + block.k AS BIGINT)) ELSE '' END,
+        CASE side WHEN 1 THEN substr(y, 1, CAST(spot - 1 AS BIGINT)) WHEN 2 THEN substr(y, CAST(spot + block.k AS BIGINT)) ELSE '' END,
+        CASE side WHEN 0 THEN CAST(block.k AS INTEGER) ELSE 0 END
+      FROM (SELECT *, strpos(y, substr(x, block.i, block.k)) AS spot FROM (SELECT a, b, x, y, {_BLOCK} AS block FROM rests WHERE x <> '' AND y <> '') q1
+            WHERE block IS NOT NULL) q2 CROSS JOIN (VALUES (0), (1), (2)) sides(side)),
+    ratios AS (SELECT a, b, 2.0 * CAST(sum(k) AS DOUBLE) / (length(a) + length(b)) AS score FROM rests GROUP BY a, b)"""
+_MATCHES = f"""{_RATIOS},
+    contained AS (SELECT w.brand, w.title_key, min(path) AS path FROM wanted w
+      JOIN stems s ON w.brand = s.brand AND contains(stem_key, title_key) GROUP BY w.brand, w.title_key),
+    ranked AS (SELECT w.brand, w.title_key, s.path, score,
+      row_number() OVER (PARTITION BY w.brand, w.title_key ORDER BY score DESC, stem_key DESC) AS place
+      FROM wanted w JOIN stems s ON w.brand = s.brand JOIN ratios ON a = stem_key AND b = title_key WHERE score >= 0.7),
+    likest AS (SELECT * FROM ranked WHERE place = 1),
+    matched AS (SELECT t.part, t.brand, t.title, t.title_key, coalesce(c.path, f.path) AS match_path,
+      CASE WHEN c.path IS NOT NULL THEN 'contains' WHEN f.path IS NOT NULL THEN 'fuzzy' ELSE 'missing' END AS tier,
+      CASE WHEN c.path IS NOT NULL THEN CAST(1.0 AS DOUBLE) ELSE f.score END AS score FROM keyed t
+      LEFT JOIN contained c ON t.brand = c.brand AND t.title_key = c.title_key
+      LEFT JOIN likest f ON t.brand = f.brand AND t.title_key = f.title_key)"""
+
+
+@check(
+    "a19_match_audit",
+    f"""WITH RECURSIVE {_TITLES}, {_MATCHES} SELECT part, brand, CASE WHEN match_path IS NULL THEN 'missing' ELSE 'matched' END AS outcome,
+    CASE WHEN match_path IS NULL THEN title ELSE title || ' --> ' || match_path END AS line, tier, score FROM matched""",
+)
+def a19(m):
+    return landed.match_audit(matching.match_lyrics(m.titles(), m.files(), scope=("brand",)), ["part", "brand"], "title")
 
 
 @check(
     "c3_title_match",
-    f"""WITH {_TITLES} SELECT w.lang, w.title_key, min(path) AS path FROM wanted w
-    JOIN stems s ON w.lang = s.lang AND contains(stem_key, title_key) GROUP BY w.lang, w.title_key""",
+    f"""WITH {_TITLES} SELECT w.brand, w.title_key, min(path) AS path FROM wanted w
+    JOIN stems s ON w.brand = s.brand AND contains(stem_key, title_key) GROUP BY w.brand, w.title_key""",
 )
 def c3_title(m):
-    return matching.containment_hits(m.titles(), m.files(), scope=("lang",))
+    return matching.containment_hits(m.titles(), m.files(), scope=("brand",))
 
 
 @check(
     "c4_quick_ratio",
-    f"""WITH {_TITLES}, pairs AS (SELECT w.lang, title_key, stem_key FROM wanted w JOIN stems s ON w.lang = s.lang
+    f"""WITH {_TITLES}, pairs AS (SELECT w.brand, title_key, stem_key FROM wanted w JOIN stems s ON w.brand = s.brand
       AND 2.0 * least(length(title_key), length(stem_key)) / (length(title_key) + length(stem_key)) >= 0.7),
-    scored AS (SELECT lang, title_key, stem_key, CAST(2 * list_sum(list_transform(list_distinct(string_split(title_key, '')),
+    scored AS (SELECT brand, title_key, stem_key, CAST(2 * list_sum(list_transform(list_distinct(string_split(title_key, '')),
       lambda c: least(length(title_key) - length(replace(title_key, c, '')), length(stem_key) - length(replace(stem_key, c, ''))))) AS DOUBLE)
       / (length(title_key) + length(stem_key)) AS bound FROM pairs)
-    SELECT lang, title_key, count(*) AS candidates, round(max(bound), 6) AS best_bound FROM scored WHERE bound >= 0.7 GROUP BY lang, title_key""",
+    SELECT brand, title_key, count(*) AS candidates, round(max(bound), 6) AS best_bound FROM scored WHERE bound >= 0.7 GROUP BY brand, title_key""",
 )
 def c4_quick(m):
-    scope = ("lang",)
-    titles = m.titles().where("title_key <> ''").select("lang", "title_key").distinct()
-    stems = m.files().where("stem_key <> ''").groupBy("lang", "stem_key").agg(F.min("path").alias("path"))
-    return matching.fuzzy_candidates(titles, stems, scope).groupBy("lang", "title_key").agg(
+    titles = m.titles().where("title_key <> ''").select("brand", "title_key").distinct()
+    stems = m.files().where("stem_key <> ''").groupBy("brand", "stem_key").agg(F.min("path").alias("path"))
+    return matching.fuzzy_candidates(titles, stems, ("brand",)).groupBy("brand", "title_key").agg(
         F.count(F.lit(1)).alias("candidates"), F.round(F.max("bound"), 6).alias("best_bound")
     )
 
 
-@check("c4_fuzzy")
+@check("c4_fuzzy", f"WITH RECURSIVE {_TITLES}, {_MATCHES} SELECT brand, title_key, path, score FROM likest")
 def c4(m):
-    return matching.fuzzy_hits(m.titles(), m.files(), scope=("lang",))
+    return matching.fuzzy_hits(m.titles(), m.files(), scope=("brand",))
 
 
-@check("c5_match")
+@check(
+    "c5_match",
+    f"""WITH RECURSIVE {_TITLES}, {_MATCHES} SELECT m.*, coalesce(files.text, '') AS "Lyrics" FROM matched m
+    LEFT JOIN files ON m.match_path = files.path""",
+)
 def c5(m):
-    matched = matching.match_lyrics(m.titles(), m.files(), scope=("lang",))
-    bodies = m.raw("documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), "text")
-    return matching.attach_text(matched, bodies)
+    return matching.attach_text(matching.match_lyrics(m.titles(), m.files(), scope=("brand",)), m.files())
 
 
 @check(
