@@ -87,7 +87,9 @@ class Model:
         return wordfreq.track_words(spread(self.lyrics(), "track_id"))
 
     def album_words(self) -> DataFrame:
-        return wordfreq.album_words(self.track_words(), self.tracks())
+        """Words counted per album in one shuffle: texts meet their album before they are split."""
+        placed = self.lyrics().join(self.tracks().select(F.col("id").alias("track_id"), "album_id"), "track_id")
+        return wordfreq.track_words(placed, key="album_id")
 
     def track_words_of(self, tracks: DataFrame) -> DataFrame:
         """Word counts of some tracks (by track_id): only their texts are split."""
