@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +71,27 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
     )
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(scan: Callable[[Batches], Batches], *caches: Callable[[], None]) -> Callable[[Batches], Batches]:
+    """``scan``, with its caches emptied and unused memory given back when a task ends.
+
+    Python workers are reused by later stages, next to which a full cache would only take room.
+    """
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from scan(batches)
+        finally:
+            for clear in caches:
+                clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else untouched."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -17,14 +17,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import document_key, stored
+from cantora.llm.common import document_key, stored, tidy
 
 WINDOW = 8  # tokens
 MATCHED = 6  # distinct windows of an item a document must hold, or all if the item has fewer: 13 tokens in a row
 SHORTEST = 5  # tokens; shorter items are no evidence and are left out
 LITERAL = 3  # tokens of a full template window that must not be slots, in proportion for shorter ones
 FILTER_WORDS = 1 << 16  # 64-bit words of the window filter: 512 KB, whatever the benchmark's size
-CACHE = 200_000  # chunks a worker remembers
+CACHE = 150_000  # chunks a worker remembers
 
 # Unit words that are slots after a number.
 UNITS = frozenset("""
@@ -172,7 +172,7 @@ def windows(texts: DataFrame, sizes: list[int], bits: np.ndarray | None = None)
             columns = list(zip(*rows)) if rows else [[], [], [], [], []]
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return texts.select("key", "text").mapInArrow(scan, HIT_SCHEMA)
+    return texts.select("key", "text").mapInArrow(tidy(scan), HIT_SCHEMA)
 
 
 def _n_tokens(text: Column) -> Column:

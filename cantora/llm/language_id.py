@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantora.llm.common import tidy
+
 BUCKETS = 1 << 14  # per n-gram length
 ORDERS = (1, 2, 3)
 PIECE = 1 << 20  # code points handled at once; pieces overlap, so no n-gram is lost
@@ -103,7 +105,7 @@ def train(labelled: DataFrame) -> NaiveBayes:
     """
     counted = (
         labelled.where("lang IS NOT NULL").select("text", "lang")
-        .mapInArrow(_partial_counts, "lang string, bucket int, n long")
+        .mapInArrow(tidy(_partial_counts), "lang string, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     )
     table = counted.toPandas()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import document_key, stored
+from cantora.llm.common import document_key, stored, tidy
 from cantora.llm.components import connected_components
 
 SHINGLE = 5  # words
@@ -32,7 +32,7 @@ SKETCH_WORDS = 8  # 64-bit words of an odd sketch
 SIGMAS = 5.0  # standard errors of the estimate a pair may lie below the threshold before it is dropped
 FILTER_BITS = 1 << 26  # 8 MB, the fixed size of the filter of candidate classes
 COUNT_BITS = 20  # buckets of the shingle counts, a table of fixed size
-WORD_CACHE = 200_000  # words a worker remembers
+WORD_CACHE = 150_000  # words a worker remembers
 
 _VALUES = BANDS * ROWS
 _random = np.random.default_rng(5)
@@ -159,13 +159,14 @@ def signatures(docs: DataFrame) -> DataFrame:
             })
 
     return docs.select("doc_id", "key", "text").mapInArrow(
-        scan, f"doc_id {kinds['doc_id']}, key {kinds['key']}, class binary, n long, bands array<long>, sketch array<long>"
+        tidy(scan), f"doc_id {kinds['doc_id']}, key {kinds['key']}, class binary, n long, bands array<long>, sketch array<long>"
     )
 
 
 def _filter_of(classes: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size over the classes' names: no false absence."""
-    bit = F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS))
+    """Bitmap of fixed size over the first bytes of the classes' names: no false absence."""
+    head = F.conv(F.hex(F.substring("class", 1, 4)), 16, 10).cast("long")
+    bit = head.bitwiseAND(F.lit(FILTER_BITS - 1))
     words = classes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")
     )
@@ -192,7 +193,8 @@ def shingle_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 if not len(shingles):
                     continue
                 name = xxhash.xxh3_128_digest(shingles.tobytes())
-                if name in seen:
+                bit = int.from_bytes(name[:4], "big") & (FILTER_BITS - 1)
+                if not (int(held.value[bit >> 6]) >> (bit & 63)) & 1 or name in seen:
                     continue
                 if len(seen) < 100_000:
                     seen.add(name)
@@ -200,13 +202,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 sets.append(shingles.tobytes())
             yield pa.record_batch({"class": pa.array(names, pa.binary()), "shingles": pa.array(sets, pa.binary())})
 
-    @F.pandas_udf("boolean")
-    def wanted(bits):
-        at = bits.to_numpy(dtype=np.int64)
-        return type(bits)((held.value[at >> 6] >> (at & 63)) & 1 > 0)
-
-    bit = F.pmod(F.xxhash64("class"), F.lit(FILTER_BITS))
-    sets = docs.select("text").mapInArrow(scan, "class binary, shingles binary").where(wanted(bit))
+    sets = docs.select("text").mapInArrow(tidy(scan), "class binary, shingles binary")
     return sets.join(classes.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
 
 
@@ -232,7 +228,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("xa"))
     two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("xb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(compare, "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(tidy(compare), "a binary, b binary")
 
 
 def _count_table(sets: DataFrame) -> np.ndarray:
@@ -246,7 +242,7 @@ def _count_table(sets: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.record_batch({"bucket": pa.array(used.astype(np.int32)), "n": pa.array(total[used])})
 
-    counted = sets.select("shingles").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counted = sets.select("shingles").mapInArrow(tidy(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(1 << COUNT_BITS, np.int64)
     table[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
     return table
@@ -288,7 +284,7 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
             })
 
     rows = stored(sets.select("class", "component", "shingles").mapInArrow(
-        emit, "token long, class binary, component binary, n long, index boolean"
+        tidy(emit), "token long, class binary, component binary, n long, index boolean"
     ))
     # only tokens that several components share, and an index row among them, can lead to a pair
     useful = rows.groupBy("token").agg(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import stored, with_position
+from cantora.llm.common import stored, tidy, with_position
 from cantora.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -144,7 +144,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
             })
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+        tidy(cut, lambda: encoder(tokenizer).forget()), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     )
 
 

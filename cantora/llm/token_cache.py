@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantora.llm.common import scratch_folder, stored
+from cantora.llm.common import scratch_folder, stored, tidy
 from cantora.llm.tokens import encoder, file_digest
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
@@ -44,7 +44,7 @@ def encode_misses(misses: DataFrame, tokenizer: str) -> DataFrame:
             counts = [count(text.as_py()) for text in batch.column("text")]
             yield pa.record_batch({"digest": batch.column("digest").cast(pa.binary()), "n_tokens": pa.array(counts, pa.int64())})
 
-    return misses.select("digest", "text").mapInArrow(encode, CACHE_SCHEMA)
+    return misses.select("digest", "text").mapInArrow(tidy(encode, lambda: encoder(tokenizer).forget()), CACHE_SCHEMA)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = LIMIT) -> DataFrame:

@@ -14,7 +14,7 @@ import json
 import re
 from array import array
 
-CACHE = 250_000  # chunks, and words, a worker remembers
+CACHE = 200_000  # chunks, and words, a worker remembers
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[!-~\n{_LETTER}]*\Z").match
@@ -45,6 +45,9 @@ class Encoder:
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
 
+    def forget(self) -> None:
+        """Drop what is remembered."""
+
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         found = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -64,6 +67,9 @@ class _ChunkedEncoder(Encoder):
         self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.chunks, self.known = {}, {}
+
     def _chunk(self, chunk: str) -> bytes:
         if "<|" in chunk or not _PLAIN(chunk.lstrip(" ")):
             return super().ids(chunk)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import stored
+from cantora.llm.common import stored, tidy
 
 SAMPLE = 24_000  # labelled rows to fit on, the least hashes of their ids: a documented bound
 VOTERS = 3_000  # lexicon voters, those with the highest gain; bounds model, broadcast and fit
@@ -27,7 +27,7 @@ SUPPORT = 5  # toxic texts that must hold a lexicon entry
 LIFT = 8.0  # times likelier on toxic texts than on others
 GAIN = 14.0  # log-likelihood gain over chance that an entry needs; chance passes once in e^14
 STEMS = (4, 5, 6)  # lengths of word stems
-CACHE = 100_000  # words a worker remembers
+CACHE = 50_000  # words a worker remembers
 
 # Fixed patterns that vote beside the lexicon.
 PATTERNS = (
@@ -146,7 +146,7 @@ def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for text in batch.column("text"):
             counts.update({e for w in words_of(text.as_py()) for e in entries_of(w)})
-            if len(counts) > 200_000:
+            if len(counts) > 100_000:
                 yield rows(counts)
                 counts.clear()
     yield rows(counts)
@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
         return Scorer({}, np.zeros(0), 40.0 if toxic and not clean else -40.0)
 
     def counted(part: DataFrame, name: str) -> DataFrame:
-        return part.select("text").mapInArrow(_entry_counts, "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
+        return part.select("text").mapInArrow(tidy(_entry_counts), "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
 
     on = counted(rows.where("toxic = 1"), "on").where(F.col("on") >= SUPPORT)
     both = on.join(counted(rows.where("toxic = 0"), "off"), "entry", "left").fillna(0, ["off"])
