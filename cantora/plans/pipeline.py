@@ -182,3 +182,6 @@ def run(
 
     load(spark, merged, final, database, buckets)
     analyze(spark, database, rules, buckets)
+    tables = {name: sinks.stored(spark, name, database) for name in schemas.TABLES}
+    found = loading.violations(tables, schemas.RULES).withColumn("audit_ts", F.current_timestamp())
+    found.write.mode("append").parquet(f"{out}/audit/integrity")

@@ -215,3 +215,9 @@ def test_tracks_are_inserted_without_texts(spark, layout, model, monkeypatch):
     pipeline.load(spark, spark.read.parquet(f"{layout.stages}/artists"), final, DB)
     assert "Lyrics#" not in plans["tracks"] and "Lyrics#" in plans["lyrics"]
     assert "<=>" not in plans["tracks"] and "<=>" not in plans["lyrics"]
+
+
+def test_integrity_is_audited(spark, layout, model):
+    found = spark.read.parquet(f"{layout.stages}/audit/integrity")
+    assert found.select("table_name", "rule", "columns").distinct().count() == len(RULES)
+    assert found.where("violations > 0").count() == 0

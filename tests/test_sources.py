@@ -73,3 +73,25 @@ def test_resolve_albums(spark):
         "request_id int, pos int, id string, name string, artists array<struct<name: string>>",
     )
     assert {tuple(r)[0]: r.album_id for r in resolve.resolve_albums(requests, hits).collect()} == {1: "c", 2: None}
+
+
+def test_final_and_merged_csvs_are_read_back(spark, tmp_path):
+    """Cells with line breaks and quotes, numbered rows, and the first row of each artist."""
+    from tests.landed_fixture import write_text
+
+    song, lyrics = (f.name for f in (schemas.FINAL_CSV.fields[0], schemas.FINAL_CSV["Lyrics"]))
+    names = schemas.FINAL_CSV.fieldNames()
+    cells = [["" for _ in names] for _ in range(2)]
+    for i, text in enumerate(('one\n""two""', "three")):
+        cells[i][names.index(song)], cells[i][names.index(lyrics)] = f"Song {i}", f'"{text}"'
+    body = "\n".join([",".join(names), *(",".join(c) for c in cells)]) + "\n"
+    write_text(tmp_path / "Art" / "Alb" / "Alb_final.csv", body)
+    rows = sorted(landed.read_final_albums(spark, str(tmp_path)).collect(), key=lambda r: r["row_no"])
+    assert [(r["row_no"], r[song], r[lyrics]) for r in rows] == [(1, "Song 0", 'one\n"two"'), (2, "Song 1", "three")]
+    assert {(r["artist_dir"], r["album_dir"]) for r in rows} == {("Art", "Alb")}
+
+    names = schemas.MERGED_ARTIST_CSV.fieldNames()
+    lines = [",".join(names), *(",".join([f"Artist {i}", *[""] * (len(names) - 1)]) for i in range(2))]
+    write_text(tmp_path / "Art" / "Art_merged_metadata.csv", "\n".join(lines) + "\n")
+    merged = landed.read_merged_artists(spark, str(tmp_path)).collect()
+    assert [(r[names[0]], r["artist_dir"]) for r in merged] == [("Artist 0", "Art")]
