@@ -47,28 +47,36 @@ def sanitize_hyphen(x: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _folds() -> tuple[str, tuple[str, ...]]:
-    """All characters whose compatibility fold holds ASCII, and their folds, from the Unicode database."""
-    found = {}
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility fold is one ASCII character, and those where it is more, from the
+    Unicode database."""
+    single, several = {}, {}
     for cp in range(0x80, sys.maxunicode + 1):
         folded = unicodedata.normalize("NFKD", chr(cp)).encode("ascii", "ignore").decode("ascii")
         if folded:
-            found[chr(cp)] = folded
-    return "".join(found), tuple(found.values())
+            (single if len(folded) == 1 else several)[chr(cp)] = folded
+    return single, several
 
 
 def fold_ascii(x: Column) -> Column:
     """Drop accents and everything else outside ASCII, as the compatibility fold of each character has it.
 
-    Rows of plain ASCII pass; the others are rebuilt in one pass over their characters.
+    Rows of plain ASCII pass, the others are translated; those with a character that folds to several
+    are rebuilt in one pass over their characters.
     """
-    letters, folds = _folds()
-    table = F.split(F.lit("\x00".join(folds)), "\x00")
-
-    def fold(c: Column) -> Column:
-        return F.when(c.rlike(r"^\p{ASCII}$"), c).otherwise(F.coalesce(F.get(table, F.instr(F.lit(letters), c) - 1), F.lit("")))
-
-    return F.when(x.rlike(r"^\p{ASCII}*$"), x).otherwise(F.array_join(F.transform(F.split(x, ""), fold), ""))
+    single, several = _folds()
+    one = F.translate(x, "".join(single), "".join(single.values()))
+    letters, table = F.lit("".join(several)), F.split(F.lit("\x00".join(several.values())), "\x00")
+
+    def unfold(c: Column) -> Column:
+        return F.when(c.rlike(r"^\p{ASCII}$"), c).otherwise(F.coalesce(F.get(table, F.instr(letters, c) - 1), F.lit("")))
+
+    simple = F.char_length(F.translate(one, "".join(several), "")) == F.char_length(one)
+    return (
+        F.when(x.rlike(r"^\p{ASCII}*$"), x)
+        .when(simple, F.regexp_replace(one, r"[^\p{ASCII}]+", ""))
+        .otherwise(F.array_join(F.transform(F.split(one, ""), unfold), ""))
+    )
 
 
 def slugify(x: Column) -> Column:
