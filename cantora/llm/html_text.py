@@ -39,7 +39,7 @@ BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog
 
 SHORT = 70  # characters below which a block cannot decide for itself
 LINKED = 0.5  # share of linked characters from which a block is a menu
-RICH, POOR = 0.30, 0.10  # stop-word shares of running text and of lists
+RICH, POOR = 0.15, 0.05  # stop-word shares that show running text outside an article, and anywhere else
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)
@@ -57,7 +57,7 @@ class Block:
     linked: int  # characters inside links
     boilerplate: bool  # inside a menu, footer, advert ...
     main: bool  # inside the article
-    label: str = ""  # good, bad or short
+    label: str = ""  # good, bad, short or unsure
 
 
 def _names_bad(tag: str, attrs: str) -> bool:
@@ -148,37 +148,54 @@ def blocks_of(page: str) -> Iterator[Block]:
     yield from flush()
 
 
+def _stops(text: str) -> tuple[int, int]:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), max(1, len(words))
+
+
 def classify(blocks: list[Block]) -> None:
-    """First pass: what a block shows by itself. Second pass: short ones follow decided neighbours.
+    """First pass: what a block shows by itself. Second pass: undecided ones follow decided neighbours.
+
+    By itself, a block is bad inside boilerplate or when mostly links. Else short ones are undecided, and
+    long ones are good by their stop words, or undecided too. A page whose long texts together hold
+    hardly any is in a language without a list: there, long ones are good.
 
-    By itself, a block is bad inside boilerplate, when mostly links, or, on a page that marks its
-    article, outside it. Else long blocks are good by their stop words, and inside the article without
-    them; short ones are undecided. These take the label of the nearest decided block in the same part
-    of the page, good where the two sides tie; with none, they are good inside an article or when no
-    block of the page is good.
+    ``<article>`` and ``<main>`` are a hint, followed where they hold as much text as the running text
+    outside them (a teaser card does not): then a long block outside needs more stop words, and a short
+    one outside a good neighbour outside.
+
+    Undecided blocks take the label of the nearest decided block in the same part of the page, long ones
+    only of one outside boilerplate; good where the two sides tie. With none, they are good inside an
+    article; outside it bad; on a page without one, long ones are good, and short ones when no block of
+    the page is good.
     """
-    marked = any(b.main and not b.boilerplate for b in blocks)
-    for b in blocks:
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
-        if b.boilerplate or b.linked >= LINKED * len(b.text) or marked and not b.main:
+    free = [not b.boilerplate and b.linked < LINKED * len(b.text) for b in blocks]
+    stops = [_stops(b.text) if f and len(b.text) >= SHORT else (0, 0) for b, f in zip(blocks, free)]
+    known = sum(n for n, _ in stops) >= POOR * sum(words for _, words in stops)
+    rich = [words > 0 and (not known or n >= RICH * words) for n, words in stops]
+    inside = sum(len(b.text) for b, f in zip(blocks, free) if f and b.main)
+    marked = 0 < inside >= sum(len(b.text) for b, r in zip(blocks, rich) if r and not b.main)
+    regions = [marked and b.main and not b.boilerplate for b in blocks]
+    for i, b in enumerate(blocks):
+        n, words = stops[i]
+        if not free[i]:
             b.label = "bad"
         elif len(b.text) < SHORT:
             b.label = "short"
-        elif b.main or stops >= RICH:
+        elif rich[i] or n >= POOR * words and (regions[i] or not marked):
             b.label = "good"
         else:
-            b.label = "bad" if stops < POOR else "short"
-    regions = [(b.main and not b.boilerplate) for b in blocks]
+            b.label = "unsure"
     before = _nearest(blocks, regions, range(len(blocks)))
     after = _nearest(blocks, regions, range(len(blocks) - 1, -1, -1))
     any_good = any(b.label == "good" for b in blocks)
     for i, b in enumerate(blocks):
-        if b.label != "short":
+        if b.label not in ("short", "unsure"):
             continue
         (d1, l1), (d2, l2) = before[i], after[i]
         if l1 is None and l2 is None:
-            b.label = "good" if regions[i] or not any_good else "bad"
+            alone = not marked and (b.label == "unsure" or not any_good)
+            b.label = "good" if regions[i] or alone else "bad"
         elif d1 == d2:
             b.label = "good" if "good" in (l1, l2) else "bad"
         else:
@@ -187,15 +204,18 @@ def classify(blocks: list[Block]) -> None:
 
 def _nearest(blocks: list[Block], regions: list[bool], order: range) -> list[tuple[float, str | None]]:
     found: list[tuple[float, str | None]] = [(float("inf"), None)] * len(blocks)
-    last: dict[bool, tuple[int, str]] = {}
+    last: dict[tuple[bool, str], tuple[int, str]] = {}  # by region and kind of block that asks
     for i in order:
-        if blocks[i].label == "bad" and regions[i]:
+        label, region = blocks[i].label, regions[i]
+        if label == "bad" and region:
             continue  # a list of links inside the article says nothing of the paragraph beside it
-        if blocks[i].label != "short":
-            last[regions[i]] = (i, blocks[i].label)
-        elif regions[i] in last:
-            at, label = last[regions[i]]
-            found[i] = (abs(i - at), label)
+        if label not in ("short", "unsure"):
+            last[region, "short"] = (i, label)
+            if not blocks[i].boilerplate:
+                last[region, "unsure"] = (i, label)
+        elif (region, label) in last:
+            at, near = last[region, label]
+            found[i] = (abs(i - at), near)
     return found
 
 

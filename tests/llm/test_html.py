@@ -37,3 +37,34 @@ def test_long_malformed_page_is_linear():
     html_text.main_text("<a href=\"" * 20_000)
     html_text.main_text("<" * 200_000)
     assert time.perf_counter() - start < 20
+
+
+PROSE = [
+    "Granite forms where magma cools slowly below ground, giving crystals time to grow. Quartz, feldspar, mica and "
+    "hornblende together give most granites their speckled look, from pale grey or pink to nearly black stone.",
+    "Between 1850 and 1900, steam engines replaced horses on farms across northern Europe. Threshing machines moved "
+    "between villages every autumn, hired by several families who shared both costs and labour during harvest.",
+]
+POLISH = (
+    "Granit powstaje tam, gdzie magma powoli stygnie pod ziemią, dzięki czemu kryształy mają czas urosnąć. Kwarc, skaleń "
+    "oraz łyszczyki nadają większości granitów nakrapiany wygląd, od jasnoszarego lub różowego po niemal czarny."
+)
+LINKS = "<div><a href=x>one link here</a></div>" * 3
+PARTS = "Bolt M4, washer M4, nut M4, bolt M5, washer M5, nut M5, bracket left, bracket right, hinge, screw M3."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"{LINKS}<div>{PROSE[0]}</div>{LINKS}", PROSE[0]),
+    (f"{LINKS}<div>{PROSE[1]}</div><div>{PROSE[0]}</div><footer>foo</footer>", PROSE[1] + "\n" + PROSE[0]),
+    (f"{LINKS}<div>{POLISH}</div>{LINKS}", POLISH),
+    (f"<nav>x</nav><div>{PROSE[0]}</div><div>{PARTS}</div><footer>{RUN * 2}</footer>", PROSE[0] + "\n" + PARTS),
+    # the article is a teaser card, the body lies outside it
+    (f"<div><h1>Title</h1><p>{RUN * 3}</p><p>{PROSE[0]}</p></div><article><a href=x>Read this next</a></article>",
+     f"Title\n{(RUN * 3).strip()}\n{PROSE[0]}"),
+    (f"<p>{RUN * 3}</p><article><p>A card.</p></article><p>{PROSE[0]}</p>", f"{(RUN * 3).strip()}\nA card.\n{PROSE[0]}"),
+    # running text before the article stays, short text and lists outside it do not
+    (f"<p>{RUN}</p><footer>x</footer><article><p>{RUN * 3}</p></article>", f"{RUN.strip()}\n{(RUN * 3).strip()}"),
+    (f"<div>{PARTS}</div><article><p>{RUN * 3}</p><p>{PARTS}</p></article><p>out</p>", f"{(RUN * 3).strip()}\n{PARTS}"),
+])
+def test_densities_decide(page, text):
+    assert html_text.main_text(page) == text
