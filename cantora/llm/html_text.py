@@ -26,15 +26,24 @@ frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
 summary table tbody td tfoot th thead title tr ul
 """.split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea title iframe object svg math canvas xmp noembed noframes".split())
+RAW_TAGS = frozenset("script style noscript template textarea title iframe object svg annotation annotation-xml canvas xmp noembed noframes".split())
+INLINE_RAW = frozenset("svg annotation annotation-xml".split())
 BAD_TAGS = frozenset("nav footer aside form menu dialog button select datalist search fieldset head".split())
 MAIN_TAGS = frozenset("article main".split())
 NEVER_BAD = frozenset("html body article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BAD_NAMES = frozenset("""
 ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies
 disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pagination
 popup promo promoted promotion related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar
 """.split())
+# Names that are also words of an article, or of its own parts; and those that, as a class of their own, never are.
+AMBIGUOUS = frozenset("""
+banner comment cookie cookies header login menu navigation notice notices overlay promotion related share sharing skip social
+""".split())
+SURE_NAMES = frozenset("ad ads advert adverts advertisement advertising comments disqus sponsored".split())
+OWN_NAMES = frozenset("header notice notices".split())  # of parts of an article itself
+LAYOUT_NAMES = frozenset("has no with without".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
 
 SHORT = 70  # characters below which a block cannot decide for itself
@@ -57,30 +66,89 @@ class Block:
     linked: int  # characters inside links
     boilerplate: bool  # inside a menu, footer, advert ...
     main: bool  # inside the article
+    suspect: int = -1  # the innermost element that its name alone makes boilerplate only on evidence
     label: str = ""  # good, bad, short or unsure
 
 
-def _names_bad(tag: str, attrs: str) -> bool:
+@dataclass
+class Suspect:
+    """What an element holds, whose name is that of boilerplate but may be that of a part of the article."""
+
+    outer: int
+    short_too: bool  # few characters are evidence as well as links
+    chars: int = 0
+    linked: int = 0
+    heading: bool = False
+
+
+def _verdict(tag: str, attrs: str, main: bool) -> str | None:
+    """What the names of an element make of it: ``bad``, ``linked`` or ``short`` (bad if so), or nothing.
+
+    A class that is the name of boilerplate is bad, and outside the article also a class or id that ends
+    in one (user-comments), unless that is an ordinary word; other parts of names need evidence. Inside
+    the article only whole classes count, and but for the surest they need evidence; so do only the
+    surest for headings and paragraphs.
+    """
     if not attrs or "=" not in attrs or tag in NEVER_BAD:
-        return False
+        return None
+    found = None
     for key, a, b, c in _NAMING.findall(attrs):
         key, value = key.lower(), (a or b or c).lower()
         if key == "role" and value in BAD_ROLES or key == "aria-hidden" and value == "true":
-            return True
-        if key in ("class", "id") and not BAD_NAMES.isdisjoint(_WORD_BREAK.split(value)):
-            return True
-    return False
+            return "bad"
+        if key not in ("class", "id"):
+            continue
+        for token in value.split():
+            parts = [x for x in _WORD_BREAK.split(token) if x]
+            bad = [x for x in parts if x in BAD_NAMES]
+            if not bad or not LAYOUT_NAMES.isdisjoint(parts):
+                continue
+            whole = len(parts) == 1
+            if whole and key == "class" and token in SURE_NAMES:
+                return "bad"
+            if tag == "p" or tag in HEADINGS:
+                continue
+            if main:
+                if whole and key == "class" and token not in OWN_NAMES and tag in BLOCK_TAGS:
+                    found = found or "linked"
+            elif parts[-1] in BAD_NAMES and (parts[-1] not in AMBIGUOUS or tag in BLOCK_TAGS and len(bad) == len(parts)):
+                return "bad"
+            elif tag in BLOCK_TAGS:
+                found = "short"
+    return found
 
 
-def blocks_of(page: str) -> Iterator[Block]:
+def blocks_of(page: str) -> list[Block]:
     """Blocks of text between block-level tags, in page order. Unclosed tags end where HTML ends them."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, main: each with what it inherits
+    suspects: list[Suspect] = []
+    blocks = list(_blocks(page, suspects))
+    for b in blocks:
+        if b.suspect >= 0:
+            suspects[b.suspect].chars += len(b.text)
+            suspects[b.suspect].linked += b.linked
+    for x in reversed(suspects):  # inner ones come after outer ones
+        if x.outer >= 0:
+            suspects[x.outer].chars += x.chars
+            suspects[x.outer].linked += x.linked
+            suspects[x.outer].heading |= x.heading
+    total = sum(len(b.text) for b in blocks if not b.boilerplate)
+    confirmed: list[bool] = []
+    for x in suspects:
+        few = x.short_too and not x.heading and x.chars < SHORT and 2 * x.chars < total
+        confirmed.append(few or x.linked > 0 and x.linked >= LINKED * x.chars or x.outer >= 0 and confirmed[x.outer])
+    for b in blocks:
+        b.boilerplate |= b.suspect >= 0 and confirmed[b.suspect]
+    return blocks
+
+
+def _blocks(page: str, suspects: list[Suspect]) -> Iterator[Block]:
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, main, suspect: each with what it inherits
     parts: list[str] = []
     linked, in_link = 0, 0
     at, size = 0, len(page)
 
-    def state() -> tuple[bool, bool]:
-        return stack[-1][1:] if stack else (False, False)
+    def state() -> tuple[bool, bool, int]:
+        return stack[-1][1:] if stack else (False, False, -1)
 
     def flush() -> Iterator[Block]:
         nonlocal linked
@@ -114,7 +182,7 @@ def blocks_of(page: str) -> Iterator[Block]:
         if tag == "br":
             take("\n")
             continue
-        if tag in BLOCK_TAGS or tag in RAW_TAGS and tag not in ("svg", "math"):
+        if tag in BLOCK_TAGS or tag in RAW_TAGS and tag not in INLINE_RAW:
             yield from flush()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
@@ -139,12 +207,18 @@ def blocks_of(page: str) -> Iterator[Block]:
             if stack and stack[-1][0] == "p" or stack and stack[-1][0] == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
                 stack.pop()
             in_link = 0
-        bad, main = state()
-        here = bad or tag in BAD_TAGS or tag == "header" and not main or _names_bad(tag, attrs)
+        bad, main, suspect = state()
+        if suspect >= 0 and tag in HEADINGS:
+            suspects[suspect].heading = True
+        verdict = None if bad else _verdict(tag, attrs, main)
+        here = bad or tag in BAD_TAGS or tag == "header" and not main or verdict == "bad"
+        if verdict and not here:
+            suspects.append(Suspect(suspect, verdict == "short"))
+            suspect = len(suspects) - 1
         if tag in BLOCK_TAGS or here != bad:  # other inline elements change nothing
             if here != bad and tag not in BLOCK_TAGS:
                 yield from flush()
-            stack.append((tag, here, main or tag in MAIN_TAGS))
+            stack.append((tag, here, main or tag in MAIN_TAGS, suspect))
     yield from flush()
 
 
@@ -220,7 +294,7 @@ def _nearest(blocks: list[Block], regions: list[bool], order: range) -> list[tup
 
 
 def main_text(page: str | None) -> str:
-    blocks = list(blocks_of(page or ""))
+    blocks = blocks_of(page or "")
     classify(blocks)
     return "\n".join(b.text for b in blocks if b.label == "good")
 

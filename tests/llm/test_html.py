@@ -68,3 +68,38 @@ PARTS = "Bolt M4, washer M4, nut M4, bolt M5, washer M5, nut M5, bracket left, b
 ])
 def test_densities_decide(page, text):
     assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("head, part", [
+    ('<h2 id="related-work">', "Related work"), ('<h2 id="social-history">', "Social history"), ('<p id="notice-period">', RUN.strip()),
+    ('<div class="article-header"><h1>', "Title"), ('<section class="related-work"><p>', (RUN * 2).strip()),
+    ('<section id="market-share"><p>', (RUN * 2).strip()), ('<div class="comment-on-method">', (RUN * 2).strip()),
+    ('<div class="page no-sidebar">', (RUN * 2).strip()),
+])
+def test_names_of_parts_of_an_article(head, part):
+    tags = [t[1:].split()[0].rstrip(">") for t in head.split(">") if t]
+    inner = head + part + "".join(f"</{t}>" for t in reversed(tags)) + f"<p>{RUN * 3}</p>"
+    text = part + "\n" + (RUN * 3).strip()
+    assert html_text.main_text(f"<nav>x</nav><article>{inner}</article>") == text
+    assert html_text.main_text(f"<nav>x</nav><div>{inner}</div>") == text
+
+
+@pytest.mark.parametrize("junk", [
+    f'<div class="ad">{RUN}</div>', '<p class="ad">Buy now</p>', f'<section class="comments"><p>{RUN * 3}</p></section>',
+    '<div class="share">Share: <a href=x>on one site</a> <a href=y>on another one</a></div>',
+])
+def test_junk_inside_the_article(junk):
+    assert html_text.main_text(f"<article><p>{RUN * 2}</p>{junk}<p>{RUN}</p></article>") == (RUN * 2).strip() + "\n" + RUN.strip()
+
+
+@pytest.mark.parametrize("junk", [
+    f'<div class="user-comments">{RUN * 3}</div>', f'<div id="cookie-notice">{RUN * 2}</div>', '<div class="share-buttons">Share this</div>',
+    f'<div class="sidebar">{RUN * 2}</div>', '<div class="related-posts">More: <a href=x>One long title of a post</a></div>',
+])
+def test_junk_of_pages_without_article(junk):
+    assert html_text.main_text(f"<div><p>{RUN * 2}</p>{junk}<p>{RUN * 2}</p></div>") == "\n".join([(RUN * 2).strip()] * 2)
+
+
+def test_text_of_formulas():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>x = {1}</annotation></math>"
+    assert html_text.main_text(f"<article><p>{RUN}Here {formula} holds.</p></article>") == RUN + "Here x=1 holds."
