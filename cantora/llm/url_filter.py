@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,10 +53,65 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` in the plan once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _folded(path: Column) -> Column:
+    """An absolute path without its ``.`` and ``..`` segments; ``..`` at the root is dropped."""
+
+    def fold(segments: Column) -> Column:
+        return F.aggregate(
+            segments,
+            F.array().cast("array<string>"),
+            lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(x == ".", done)
+            .otherwise(F.concat(done, F.array(x))),
+        )
+
+    # a last segment of dots is a folder: its slash stays
+    segments = F.split(F.regexp_replace(F.substring(path, 2, 1 << 30), r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    dotted = path.rlike(r"/\.\.?(/|$)")
+    return F.when(dotted, F.concat(F.lit("/"), F.array_join(fold(segments), "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The page a URL names, whatever its scheme and fragment: host, path and query."""
+    """The page a URL names, whatever its scheme and fragment: host, path without dot segments, and query."""
     query = F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path_of(url), query))
+    return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), _folded(path_of(url)), query))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute URL of a link's target on the page ``url``; NULL where it names no page.
+
+    Targets may be absolute, without a scheme, from the root of the host, from the directory of the
+    page, or a query or fragment of the page itself. Empty ones and other schemes without a host
+    (``mailto:``) name no page. Dot segments are left for ``node_of``.
+    """
+    named = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"
+
+    def against(host: Column, path: Column, query: Column, bare: Column) -> Column:
+        directory = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^(.*/)", 1))
+        return (
+            F.when(bare == "", None)
+            .when(bare.rlike(named + "//"), bare)
+            .when(bare.rlike(named), None)
+            .when(bare.startswith("//"), F.concat(F.lit("http:"), bare))
+            .when(bare.startswith("/"), F.concat(host, bare))
+            .when(bare.startswith("?"), F.concat(host, path, bare))
+            .when(bare.startswith("#"), F.concat(host, path, query))
+            .otherwise(F.concat(host, directory, bare))
+        )
+
+    def on(url: Column) -> Column:
+        query = F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
+        bare = F.regexp_replace(target, r"^(?i:https?):(?!//)", "")  # http:x is x
+        parts = F.struct(
+            F.concat(F.lit("http://"), host_of(url)).alias("host"), path_of(url).alias("path"), query.alias("query"), bare.alias("bare"))
+        return F.when(url.contains("://"), _with(parts, lambda p: against(p["host"], p["path"], p["query"], p["bare"])))
+
+    return _with(url, on)
 
 
 def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
@@ -73,8 +129,8 @@ def page_links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between the nodes of pages and of their canonical links and refresh redirects.
 
     Both come from the whole html: every ``<link rel=canonical href=...>`` and every
-    ``<meta http-equiv=refresh content="n; url=...">``. Absolute targets, those without a scheme and
-    those from the root of the host are followed; other relative ones name no page here and are left out.
+    ``<meta http-equiv=refresh content="n; url=...">``. Relative targets of every form are resolved
+    against the first ``<base href=...>``, where there is one, and the page's url.
     """
     html, url = F.coalesce(F.col("html"), F.lit("")), F.col("url")
     links = F.when(html.rlike(r"(?i)canonical"), F.regexp_extract_all(html, F.lit(r"(?i)(<link\s[^>]*>)"), 1))
@@ -89,14 +145,13 @@ def page_links(pages: DataFrame) -> DataFrame:
         lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1),
     )
     targets = F.concat(F.coalesce(canonical, F.array()), F.coalesce(redirects, F.array()))
-    found = pages.where(url.contains("://")).select("url", F.explode(targets).alias("target"))
-    target = F.replace(F.col("target"), F.lit("&amp;"), F.lit("&"))
-    absolute = (
-        F.when(target.contains("://") & ~target.startswith("/"), target)
-        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(url), target))
-    )
-    return found.select(node_of(url).alias("a"), node_of(absolute).alias("b")).where("b IS NOT NULL").distinct()
+    bases = F.when(html.rlike(r"(?i)<base\s"), F.regexp_extract_all(html, F.lit(r"(?i)(<base\s[^>]*>)"), 1))
+    base = F.get(F.filter(F.transform(bases, lambda t: F.regexp_extract(t, attribute % "href", 1)), lambda t: t != ""), F.lit(0))
+    plain = lambda text: F.replace(text, F.lit("&amp;"), F.lit("&"))
+    found = pages.where(url.contains("://")).select("url", plain(base).alias("base"), F.explode(targets).alias("target"))
+    based = found.select("url", plain(F.col("target")).alias("target"), F.coalesce(resolved(F.col("base"), url), url).alias("base"))
+    named = _with(resolved(F.col("target"), F.col("base")), node_of)
+    return based.select(node_of(url).alias("a"), named.alias("b")).where("b IS NOT NULL").distinct()
 
 
 def redirect_filter(
@@ -117,7 +172,7 @@ def redirect_filter(
     pages = pages.select("page_id", "url", "html")
     edges = page_links(pages)
     if redirects is not None:
-        edges = edges.union(redirects.select(node_of(F.col("source")), node_of(F.col("target"))))
+        edges = edges.union(redirects.select(node_of(F.col("source")), _with(resolved(F.col("target"), F.col("source")), node_of)))
     groups = connected_components(edges)
     slash = F.regexp_extract("node", r"^[^/?#]*", 0), F.regexp_extract("node", r"^[^/?#]*([^?]*)", 1)
     decided = groups.withColumn("own", best_rule(*slash, rules)["verdict"])

@@ -67,3 +67,41 @@ def test_no_python_on_the_main_path(frame):
     pages = frame([(1, "http://x.org/1", link("http://bad.net/"))], "page_id long, url string, html string")
     plan = url_filter.redirect_filter(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_relative_targets(frame):
+    page = "http://X.org/a/b/page.html?q=1#f"
+    expected = {
+        "index.html": "x.org/a/b/index.html", "./c": "x.org/a/b/c", "../c": "x.org/a/c", "../../../c": "x.org/c", "..": "x.org/a/",
+        ".": "x.org/a/b/", "?id=2&amp;n=3": "x.org/a/b/page.html?id=2&n=3", "#top": "x.org/a/b/page.html?q=1", "/r/../s": "x.org/s",
+        "//Y.org/z": "y.org/z", "https://y.org/../z?u=../v": "y.org/z?u=../v", "login?next=http://z.org/": "x.org/a/b/login?next=http://z.org/",
+        "c/d//..;p/e...": "x.org/a/b/c/d//..;p/e...", "http:g": "x.org/a/b/g",
+    }
+    pages = frame([(i, page, link(t)) for i, t in enumerate(expected)] + [
+        (90, page, link("mailto:a@b.org")), (91, page, "<link rel=canonical href=''><meta http-equiv=refresh content=5>"),
+        (92, "no scheme", link("x")),
+    ], "page_id long, url string, html string")
+    edges = url_filter.page_links(pages).collect()
+    assert {r["a"] for r in edges} == {"x.org/a/b/page.html?q=1"} and {r["b"] for r in edges} == set(expected.values())
+    rooted = frame([
+        (1, "http://x.org", link("index.html")), (2, "http://w.org", link("?id=2")),
+        (3, "http://v.org/a/b", '<base target=_top><base href="../c/"><meta http-equiv="refresh" content="0; url=new.html">'),
+    ], "page_id long, url string, html string")
+    got = {(r["a"], r["b"]) for r in url_filter.page_links(rooted).collect()}
+    assert got == {("x.org", "x.org/index.html"), ("w.org", "w.org?id=2"), ("v.org/a/b", "v.org/c/new.html")}
+
+
+def test_relative_aliases_share_verdicts(frame):
+    # x.org/s/hub, whose own link leads to a blocked page, is named by every form; w.org/s/ok leads to an allowed one
+    pages = frame([
+        (1, "http://x.org/s/hub", link("http://bad.net/1")), (2, "http://x.org/s/t", link("hub")), (3, "http://x.org/s/u/t", link("../hub")),
+        (4, "http://x.org/s/u/t?x", "<meta http-equiv=refresh content='0; url=../t'>"), (5, "http://x.org/s/t?id=2", link("t")),
+        (6, "http://x.org/s/t?id=3", link("?id=2")), (7, "http://x.org/s/v/../w", link("hub")), (8, "http://x.org/s/w", ""),
+        (9, "http://x.org/other", link("hub")),
+        (20, "http://w.org/s/a", link("http://bad.net/2")), (21, "http://w.org/s/a", link("ok")), (22, "http://w.org/s/ok", link("http://q.org/fr/2")),
+    ], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.redirect_filter(pages).collect()}
+    assert got == {**{i: "block" for i in range(1, 9)}, 9: "allow", 20: "allow", 21: "allow", 22: "allow"}
+    moved = frame([("http://x.org/a/1", "../b")], "source string, target string")
+    one = frame([(1, "http://x.org/a/1", link("http://bad.net/")), (2, "http://x.org/b", "")], "page_id long, url string, html string")
+    assert {r["verdict"] for r in url_filter.redirect_filter(one, redirects=moved).collect()} == {"block"}
