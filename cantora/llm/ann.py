@@ -243,7 +243,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 5, block_rows: int =
     """query_id, rank, vec_id and score of the ``k`` nearest rows found for each query (vec_id, embedding).
 
     Blocks of queries meet every shard, one block and one shard in a task; each returns its own ``k``
-    best by exact double-precision cosine, and a ranking per query merges them.
+    best by exact double-precision cosine of all its graph found, and a ranking per query merges them.
     """
     shards = index.select(F.col("dim").alias("shard_dim"), F.col("shard").alias("shard_no"))
     dim_of = F.size("embedding")
@@ -263,12 +263,22 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 5, block_rows: int =
         members = shard.iloc[0]["members"]
         points = np.vstack(asked["embedding"].to_numpy()).astype(np.float64)
         norms = np.linalg.norm(points, axis=1)
-        found = search(graph, (points / norms[:, None]).astype(np.float32), k + 1)
+        # the whole beam: single precision cannot rank vectors of nearly one direction
+        found = search(graph, (points / norms[:, None]).astype(np.float32), max(BEAM_SEARCH, k + 1))
+        # and all nodes of the directions in it: links among equal directions do not reach all of them
+        direction = np.unique(graph.unit, axis=0, return_inverse=True)[1].reshape(-1)
+        by_direction = np.argsort(direction, kind="stable")
+        ends = np.cumsum(np.bincount(direction))
+        lengths: dict[int, float] = {}
         out = []
         for i, query in enumerate(asked["query_id"].tolist()):
-            nodes = found[i][found[i] >= 0]
+            met = np.unique(direction[found[i][found[i] >= 0]])
+            nodes = [n for d in met.tolist() for n in by_direction[ends[d - 1] if d else 0 : ends[d]].tolist()]
             wide = vectors[nodes].astype(np.float64)
-            scores = [float(np.dot(points[i], w) / (norms[i] * np.linalg.norm(w))) for w in wide]
+            for node, w in zip(nodes, wide):
+                if node not in lengths:
+                    lengths[node] = np.linalg.norm(w)
+            scores = [float(np.dot(points[i], w) / (norms[i] * lengths[node])) for node, w in zip(nodes, wide)]
             near = sorted((-s, m) for s, node in zip(scores, nodes) for m in members[node] if m != query)[:k]
             out += [(query, m, -s) for s, m in near]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else empty

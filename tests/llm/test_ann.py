@@ -71,3 +71,17 @@ def test_several_shards(frame):
     expected = brute(rows, 50, 5)
     hits = sum(r["vec_id"] in {i for _, i in expected[r["query_id"]]} for r in found)
     assert len(found) == 90 and hits >= 88
+
+
+def test_scaled_copies_are_ranked_exactly(frame):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(200, 8)).astype(np.float32)
+    scales = 2.0 ** rng.permutation(np.arange(-20, 21))
+    vectors[1:42] = vectors[0] * scales[:, None]  # one direction, equal scores
+    near = vectors[50] + 1e-5 * rng.normal(size=(30, 8))  # near copies of another
+    vectors[60:90] = near.astype(np.float32)
+    rows = rows_of(vectors)
+    found = ann.search_every(frame(rows, "vec_id long, embedding array<float>, n int")).collect()
+    got = {q: [r["vec_id"] for r in sorted(found) if r["query_id"] == q] for q in (0, 50)}
+    assert len(set(scales)) == 41 and got[0] == [1, 2, 3, 4, 5]
+    assert got[50] == [i for _, i in brute(rows, 50, 5)[50]]
