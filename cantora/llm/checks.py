@@ -62,7 +62,45 @@ FROM split s LEFT JOIN best b ON s.host = b.host AND s.path = b.path AND b.n = 1
 """.replace("WITH RECURSIVE", "WITH")
 
 
+#: All phrases of all pieces are counted, then cut, compared with longer ones and ranked.
+OP13 = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+), kept AS (
+  SELECT * FROM f p WHERE k >= 2 AND NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = p.lang AND q.k > p.k AND 100 * q.a >= 100 * p.a
+      AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))
+), cuts AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM kept
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, t.n,
+    CAST((1000::HUGEINT * c.a * t.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score, c.cut
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), weakest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM scored
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM weakest WHERE nth = 1
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_collocations": OP13,
         "op10_redirect_filter": OP10,
     }
