@@ -99,8 +99,55 @@ SELECT * FROM ranked WHERE rank <= 2000
 """
 
 
+#: Rebuilt conversations as lists of turn digests; nodes and their descendants by the paths of their smallest members.
+OP11 = """
+WITH bits AS (
+  SELECT list_transform(range(0, 256), lambda b: list_reduce([b] || range(0, 8),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+), own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), members AS (
+  SELECT c, c - c % 100 AS base, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda s, b: xor(s >> 8, crc[(xor(s, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM own), bits
+), counted AS (
+  SELECT m.*, least(h, coalesce(n, 0)) AS heads FROM members m LEFT JOIN (SELECT c AS base, count(*) AS n FROM own GROUP BY c) USING (base)
+), turns AS (
+  SELECT m.c, o.pos - m.h + m.heads AS d, role, text FROM counted m JOIN own o ON o.c = m.c AND o.pos > m.h
+  UNION ALL
+  SELECT m.c, o.pos, role, text FROM counted m JOIN own o ON o.c = m.base AND o.pos <= m.h
+), paths AS (
+  SELECT c, d, length(text) AS size,
+    string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS key
+  FROM turns
+  UNION ALL
+  SELECT c, 0, 0, '' FROM members
+), nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM paths GROUP BY d, key
+), kids AS (
+  SELECT d - 1 AS d, left(key, -32) AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * size AS saved
+  FROM nodes n LEFT JOIN kids USING (d, key)
+), sums AS (
+  SELECT p.d, p.key, sum(v.leaf) AS n_leaves, sum(v.saved) AS saved_tokens
+  FROM valued v JOIN paths p ON p.c = v.conv_id AND p.d <= v.d GROUP BY p.d, p.key
+), ends AS (
+  SELECT d, key, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT * FROM paths QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY d, key
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM valued v JOIN sums USING (d, key) LEFT JOIN ends USING (d, key)
+LEFT JOIN nodes p ON v.d > 0 AND p.d = v.d - 1 AND p.key = left(v.key, -32)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_prefix_trie": OP11,
         "op13_collocations": OP13,
         "op10_redirect_filter": OP10,
     }
