@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import ann, collocations, decontaminate, html_text, language_id, near_dedup, packing, prefix_trie, sharding, token_cache, toxicity, url_filter
+from cantora.llm import ann, collocations, decontaminate, html_text, language_id, near_dedup, packing, prefix_trie, sharding, suffix_dedup, token_cache, toxicity, url_filter
 from cantora.llm.common import read_table
 
 
@@ -56,6 +56,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_redirect_filter": op10_redirect_filter,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_repeated_strings": op12_repeated_strings,
         "op13_collocations": op13_collocations,
     }
 
