@@ -13,6 +13,7 @@ import hashlib
 import json
 import re
 from array import array
+from collections.abc import Callable
 
 CACHE = 200_000  # chunks, and words, a worker remembers
 
@@ -57,18 +58,33 @@ class Encoder:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+class _Chunks(dict):
+    """Ids of the chunks seen so far, with what stands before each; a bounded memory."""
+
+    def __init__(self, encode: Callable[[str], bytes], lead: str):
+        super().__init__()
+        self.encode, self.lead = encode, lead
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        ids = self[chunk] = self.encode(self.lead + chunk)
+        return ids
+
+
 class _ChunkedEncoder(Encoder):
     words: re.Pattern
+    lead = ""
 
     def __init__(self, tokenizer):
         super().__init__(tokenizer)
         self.model = tokenizer.model
         self.letters = _byte_letters()
-        self.chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
     def forget(self) -> None:
-        self.chunks, self.known = {}, {}
+        self.chunks = _Chunks(self._chunk, self.lead)
+        self.known: dict[str, bytes] = {}
 
     def _chunk(self, chunk: str) -> bytes:
         if "<|" in chunk or not _PLAIN(chunk.lstrip(" ")):
@@ -87,17 +103,6 @@ class _ChunkedEncoder(Encoder):
     def prepared(self, chunk: str) -> str:
         return chunk
 
-    def _look_up(self, chunks: list[str], lead: str) -> list[bytes]:
-        held, found = self.chunks, []
-        for chunk in chunks:
-            ids = held.get(chunk)
-            if ids is None:
-                if len(held) >= CACHE:
-                    held.clear()
-                ids = held[chunk] = self._chunk(lead + chunk)
-            found.append(ids)
-        return found
-
 
 class ByteLevelEncoder(_ChunkedEncoder):
     """Byte-level vocabulary whose words may begin with one space.
@@ -105,13 +110,14 @@ class ByteLevelEncoder(_ChunkedEncoder):
     A space between two visible characters always begins a word, so the text is cut before each.
     """
 
+    lead = " "
     words = re.compile(rf"{_SUFFIXES}| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 
     def ids(self, text: str) -> bytes:
         chunks = text.split(" ")
         if "" in chunks or _BESIDE(text):
             chunks = _BETWEEN(text)
-        return b"".join([self._chunk(chunks[0]), *self._look_up(chunks[1:], " ")])
+        return b"".join([self._chunk(chunks[0]), *map(self.chunks.__getitem__, chunks[1:])])
 
     def count(self, text: str) -> int:
         return len(self.ids(text)) // 4
@@ -127,7 +133,7 @@ class WordLevelEncoder(_ChunkedEncoder):
         return chunk.lower()
 
     def ids(self, text: str) -> bytes:
-        return b"".join(self._look_up(text.replace("\n", " ").split(" "), ""))
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
     def count(self, text: str) -> int:
         return len(self.ids(text)) // 4
