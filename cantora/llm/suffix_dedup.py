@@ -40,10 +40,10 @@ LENGTH = 50  # bytes of a string that counts as repeated
 SEED = 20  # bytes of a sampled string
 REACH = LENGTH - SEED + 1  # places among which one is sampled
 GROUP_BYTES = 1 << 20  # text looked at at once; places in it take 20 bits
-LOCAL_BYTES = 8 << 20  # text whose suffixes a task settles among themselves
-RANK_BUCKET_BYTES = 64 << 20  # text per bucket of sampled strings
-SUFFIX_BUCKET_BYTES = 16 << 20  # text per bucket of suffixes
-SORT_AT_ONCE = 4 << 20  # suffixes
+LOCAL_BYTES = 4 << 20  # text whose suffixes a task settles among themselves
+RANK_BUCKET_BYTES = 32 << 20  # text per bucket of sampled strings
+SUFFIX_BUCKET_BYTES = 8 << 20  # text per bucket of suffixes
+SORT_AT_ONCE = 1 << 20  # suffixes
 
 _LAST = (1 << 63) - 1  # stands for a null doc_id
 _BYTES = np.random.default_rng(12).integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
@@ -138,14 +138,38 @@ def _binary(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+# ---- texts on their way through a shuffle ---------------------------------------------------
+
+
+def packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def with_packed(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the bytes column ``text`` compressed: it is what makes a shuffle of documents large."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [None if t is None else packed(t) for t in _binary(batch, text)]
+            yield batch.set_column(batch.schema.get_field_index(text), text, pa.array(held, pa.binary()))
+
+    return rows.mapInArrow(scan, rows.schema)
+
+
 # ---- ranks of the cover sample ------------------------------------------------------------
 
 
+_RANKS = pa.schema([("bucket", pa.int32()), ("ranks", pa.binary()), ("docs", pa.binary())])
+
+
 def shared_ranks(texts: DataFrame, buckets: int) -> DataFrame:
     """(doc, ranks): per document the ranks of its sampled strings that another document also holds."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int32()), ("ranks", pa.binary()), ("docs", pa.binary())])
         for batch in batches:
             docs = batch.column("doc").to_numpy()
             found = [(s.rank, docs[s.text]) for _, s in groups(_binary(batch, "text"))]
@@ -153,7 +177,7 @@ def shared_ranks(texts: DataFrame, buckets: int) -> DataFrame:
                 continue
             ranks, owners = (np.concatenate(x) for x in zip(*found))
             rows = [(b, _short(ranks[i]), owners[i].tobytes()) for b, i in _by_bucket(ranks, buckets)]
-            yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _RANKS)], schema=_RANKS)
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _buckets(batches, ["ranks", "docs"]):
@@ -165,16 +189,27 @@ def shared_ranks(texts: DataFrame, buckets: int) -> DataFrame:
             several = np.minimum.reduceat(docs, begins) != np.maximum.reduceat(docs, begins)
             kept = np.repeat(several, np.diff(np.r_[begins, len(ranks)]))
             ranks, docs = ranks[kept], docs[kept]
+            rows = [(g, _short(ranks[i]), docs[i].tobytes()) for g, i in _by_bucket(_mixed(docs.view(np.uint64)), buckets)]
+            if rows:
+                yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _RANKS)], schema=_RANKS)
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _buckets(batches, ["ranks", "docs"]):
+            ranks = _long(b"".join(r for r, _ in rows))
+            docs = np.frombuffer(b"".join(d for _, d in rows), np.int64)
             order = np.argsort(docs, kind="stable")
             ranks, docs = ranks[order], docs[order]
-            if len(docs):
-                cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True])
-                packed = _short(ranks)
-                parts = [packed[6 * a : 6 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-                yield pa.record_batch([pa.array(docs[cuts[:-1]]), pa.array(parts, pa.binary())], names=["doc", "ranks"])
+            cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1], True])
+            all_ = _short(ranks)
+            parts = [all_[6 * a : 6 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.record_batch([pa.array(docs[cuts[:-1]]), pa.array(parts, pa.binary())], names=["doc", "ranks"])
+
+    def dealt(blocks: DataFrame) -> DataFrame:
+        return blocks.repartition("bucket").sortWithinPartitions("bucket")
 
-    blocks = texts.select("doc", "text").mapInArrow(tidy(sample), "bucket int, ranks binary, docs binary")
-    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(shared), "doc long, ranks binary")
+    ddl = "bucket int, ranks binary, docs binary"
+    several = dealt(texts.select("doc", "text").mapInArrow(tidy(sample), ddl)).mapInArrow(tidy(shared), ddl)
+    return dealt(several).mapInArrow(tidy(by_document), "doc long, ranks binary")
 
 
 def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, list[tuple]]]:
@@ -216,17 +251,15 @@ class Suffixes:
         buf = self.buf[_ragged(self.begins()[which] + skip, n + LENGTH - 1)]
         return Suffixes(buf, n, self.rank[which], self.doc[which], self.digest[which], self.place[which] + skip)
 
-    def packed(self) -> bytes:
+    def block(self) -> bytes:
         head = np.array([len(self.n)], np.int64).tobytes()
         parts = [x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (self.n, self.rank.view(np.int64), self.doc, self.digest, self.place)]
-        data = head + b"".join(parts) + self.buf.tobytes()
-        return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+        return packed(head + b"".join(parts) + self.buf.tobytes())
 
     @staticmethod
-    def joined(packed: list[bytes]) -> Suffixes:
+    def joined(blocks: list[bytes]) -> Suffixes:
         parts = []
-        for one in packed:
-            data = pa.decompress(one[8:], decompressed_size=int.from_bytes(one[:8], "little"), codec="zstd", asbytes=True)
+        for data in map(unpacked, blocks):
             m = int(np.frombuffer(data, np.int64, 1)[0])
             columns = [
                 np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * m, 8 + 8 * m * i).reshape(8, m).T).view("<i8").reshape(-1)
@@ -318,7 +351,7 @@ def suffix_blocks(joined: DataFrame, buckets: int) -> DataFrame:
             yield _spans(found, settled)
             which, skip, n = found.stretches(~settled)
             left = found.pick(which, skip, n)
-            rows = [(b, left.pick(i).packed(), None, None, None, None) for b, i in _by_bucket(left.rank, buckets)]
+            rows = [(b, left.pick(i).block(), None, None, None, None) for b, i in _by_bucket(left.rank, buckets)]
             if rows:
                 yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _FOUND)], schema=_FOUND)
 
@@ -326,7 +359,7 @@ def suffix_blocks(joined: DataFrame, buckets: int) -> DataFrame:
             docs, digests = batch.column("doc").to_numpy(), batch.column("digest").to_numpy()
             known = [_long(b"".join(x or [])) for x in batch.column("ranks").to_pylist()]
             copies = [set(x or []) for x in batch.column("copies").to_pylist()]
-            texts = _binary(batch, "text")
+            texts = [unpacked(t) for t in _binary(batch, "text")]
             whole = [digests[i] in copies[i] for i in range(len(texts))]
             if any(whole):
                 rows = [(d % 65_521, None, d, g, 0, len(t)) for d, g, t, w in zip(docs.tolist(), digests.tolist(), texts, whole) if w]
@@ -394,7 +427,7 @@ def remaining(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, byte
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text, and the spans (start, stop) to remove, in bytes."""
+    """One row per row of ``docs``: doc_id, its packed text, and the spans (start, stop) to remove, in bytes."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc")
     texts = docs.select("doc_id", doc, F.xxhash64("text").alias("digest"), F.col("text").cast("binary").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -407,9 +440,9 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
     ranks = shared_ranks(long, max(1, -(-total // RANK_BUCKET_BYTES)))
     known = ranks.groupBy("doc").agg(F.collect_list("ranks").alias("ranks")).join(copies, "doc", "full")
-    blocks = suffix_blocks(long.join(known, "doc"), max(1, -(-total // SUFFIX_BUCKET_BYTES)))
+    blocks = suffix_blocks(with_packed(long.select("doc", "digest", "text"), "text").join(known, "doc"), max(1, -(-total // SUFFIX_BUCKET_BYTES)))
     spans = repeated_spans(blocks).groupBy("doc", "digest").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    return texts.join(spans, ["doc", "digest"], "left").select("doc_id", "text", "spans")
+    return with_packed(texts, "text").join(spans, ["doc", "digest"], "left").select("doc_id", "text", "spans")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -420,8 +453,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             starts, stops = ([x for x in batch.column(c).to_pylist()] for c in ("starts", "stops"))
             rows = []
             for text, a, b in zip(_binary(batch, "text"), starts, stops):
-                removed, runs, left = remaining(text or b"", list(zip(a or [], b or [])))
-                rows.append((len(text or b""), removed, runs, hashlib.sha256(left).hexdigest()))
+                text = unpacked(text) if text else b""
+                removed, runs, left = remaining(text, list(zip(a or [], b or [])))
+                rows.append((len(text), removed, runs, hashlib.sha256(left).hexdigest()))
             columns = list(zip(*rows)) if rows else [[]] * 4
             yield pa.record_batch(
                 [batch.column("doc_id"), *[pa.array(list(c), pa.int64()) for c in columns[:3]], pa.array(list(columns[3]), pa.string())],

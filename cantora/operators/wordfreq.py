@@ -11,17 +11,19 @@ from cantora.functions.metrics import is_stopword, word_tokens
 from cantora.functions.wordlists import STOPWORDS
 
 
+def words(lyrics: DataFrame, key: str = "track_id", stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
+    """(key, word): every occurrence of the words that count."""
+    found = lyrics.where(F.col("text").isNotNull()).select(key, F.explode(word_tokens(F.col("text"))).alias("word"))
+    return found.where(~is_stopword(F.col("word"), stopwords))
+
+
 def track_words(lyrics: DataFrame, key: str = "track_id", stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """(track, word, count) of the words that count.
 
     Stopwords go right after the explode, inside the same generated stage as the map-side
     count, so only (track, word) sums are shuffled.
     """
-    words = lyrics.where(F.col("text").isNotNull()).select(key, F.explode(word_tokens(F.col("text"))).alias("word"))
-    return (
-        words.where(~is_stopword(F.col("word"), stopwords))
-        .groupBy(key, "word").agg(F.count(F.lit(1)).alias("count"))
-    )
+    return words(lyrics, key, stopwords).groupBy(key, "word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def album_words(per_track: DataFrame, tracks: DataFrame) -> DataFrame:

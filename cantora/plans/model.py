@@ -86,10 +86,18 @@ class Model:
     def track_words(self) -> DataFrame:
         return wordfreq.track_words(spread(self.lyrics(), "track_id"))
 
+    def placed_lyrics(self) -> DataFrame:
+        """(album_id, text): spread before the join, so that a small table of tracks does not leave all texts in one task."""
+        albums = self.tracks().select(F.col("id").alias("track_id"), "album_id")
+        return spread(self.lyrics(), "track_id").join(albums, "track_id").select("album_id", "text")
+
     def album_words(self) -> DataFrame:
         """Words counted per album in one shuffle: texts meet their album before they are split."""
-        placed = self.lyrics().join(self.tracks().select(F.col("id").alias("track_id"), "album_id"), "track_id")
-        return wordfreq.track_words(placed, key="album_id")
+        return wordfreq.track_words(self.placed_lyrics(), key="album_id")
+
+    def words_of_albums(self) -> DataFrame:
+        """(album_id, word), with repeats: for counts that need no sums of their own."""
+        return wordfreq.words(self.placed_lyrics(), key="album_id")
 
     def track_words_of(self, tracks: DataFrame) -> DataFrame:
         """Word counts of some tracks (by track_id): only their texts are split."""

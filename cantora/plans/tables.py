@@ -32,6 +32,9 @@ class StoredModel:
     def track_words(self) -> DataFrame:
         return self._table("word_frequencies_track")
 
+    def words_of_albums(self) -> DataFrame:
+        return self.album_words().select("album_id", "word")
+
     def album_words(self) -> DataFrame:
         return self._table("word_frequencies_album")
 

@@ -97,7 +97,7 @@ def test_every_string_has_a_place_and_equal_strings_the_same(prose):
 def test_packed_blocks_round_trip(prose):
     raw = np.frombuffer(prose(60, 4).encode()[:300], np.uint8)
     one = S.Suffixes(raw, np.array([150, 52]), np.array([7, 1 << 63], np.uint64), np.array([-3, S._LAST]), np.array([5, -6]), np.array([0, 9]))
-    two = S.Suffixes.joined([one.pick(np.array([0])).packed(), one.pick(np.array([1])).packed()])
+    two = S.Suffixes.joined([one.pick(np.array([0])).block(), one.pick(np.array([1])).block()])
     for name in ("buf", "n", "rank", "doc", "digest", "place"):
         assert getattr(one, name).tolist() == getattr(two, name).tolist()
 
