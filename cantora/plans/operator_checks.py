@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,6 +16,8 @@ from cantora.operators.enrich import spread
 from cantora.operators.loading import ChildOf, Rule
 from cantora.plans import oracle_parts as O
 from cantora.plans.model import STANDIN_RULES, Model, union_all
+from cantora.plans.refresh import LyricsMarts
+from cantora.session import shared_folder
 from cantora.sources import landed
 
 QUERIES: dict[str, Callable[[Model], DataFrame]] = {}
@@ -476,6 +480,26 @@ def d15(m):
     return loading.update_rows(current.select("doc_id", "score"), computed, "doc_id")
 
 
+@check(
+    "d14_marts_refresh",
+    f"""WITH {O.TRACKS}, changed AS (SELECT d.doc_id, CASE WHEN quality = 0 THEN text || ' encore' ELSE text END AS text
+      FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE toxic IS DISTINCT FROM 1),
+    {O.track_words('changed')}, {O.ALBUM_WORDS} SELECT album_id, word, count FROM album_words""",
+)
+def d14(m):
+    """Album words after changes: poor texts get a word, toxic ones go, and only their partitions are rewritten."""
+    albums = m.tracks().select(F.col("id").alias("track_id"), "album_id")
+    texts = spread(m.lyrics(), "track_id").join(albums, "track_id")
+    labels = m.raw("labels").select(F.col("doc_id").alias("track_id"), "quality", "toxic").where("quality = 0 or toxic = 1")
+    marts = LyricsMarts(f"{shared_folder(m.spark, tempfile.gettempdir())}/marts-{uuid.uuid4().hex}", parts=64, rules=STANDIN_RULES)
+    marts.build(texts)
+    marts.apply(texts.join(labels, "track_id").select(
+        "track_id", "album_id", F.concat("text", F.lit(" encore")).alias("text"), (F.col("toxic") == 1).alias("deleted"),
+        F.lit(1).alias("modified"),
+    ))
+    return marts.read(m.spark, "words_album").select("album_id", "word", "count")
+
+
 # ---- order ------------------------------------------------------------------------------
 
 

@@ -2,13 +2,12 @@
 
 ``append_new_files`` is a stream whose checkpoint remembers the files already seen; a rerun without
 new files does nothing, and a file counts as new however old it claims to be. ``upsert_files`` compares
-the listing with what is stored, so it also takes files that have changed.
+the listing with what is stored, so it also takes files that have changed; ``file_changes`` sees deleted ones
+too and feeds ``LyricsMarts``, as does ``maintain`` for a stream of changes.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +16,10 @@ from cantora.functions import sentiment
 from cantora.functions import text as T
 from cantora.operators.enrich import METRICS_VERSION, with_metrics
 from cantora.operators.loading import first_per_key
+from cantora.operators.numbering import hash_id
+from cantora.plans.refresh import LyricsMarts
 from cantora.sources.landed import with_lyrics_scope
+from cantora.sources.partitioned import exists
 
 
 def lyrics_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
@@ -50,46 +52,67 @@ def append_new_files(stream: DataFrame, out: str, checkpoint: str, rules: sentim
 
 
 def listed(spark: SparkSession, root: str) -> DataFrame:
-    """(path, file, modified) of the lyrics files; no content is read."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("path").alias("file"),
-                F.col("modificationTime").alias("modified"))
-    )
+    """(path, modified) of the lyrics files; no content is read."""
+    return _files(spark, root).select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"))
+
 
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
 
-def upsert_files(
-    spark: SparkSession, root: str, out: str, rules: sentiment.Rules | None = None, max_files: int = 10_000
-) -> int:
+
+def contents(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """(path, modified, text) of the ``wanted`` files (path, modified), in one job.
+
+    The scan opens only files changed in the span of times of the wanted ones; others in that span are
+    dropped by the join. Paths never pass the driver, only the two ends of the span.
+    """
+    span = wanted.agg(F.min("modified").alias("first"), F.max("modified").alias("last")).first()
+    files = _files(spark, root).where(F.col("modificationTime").between(F.lit(span["first"]), F.lit(span["last"])))
+    read = files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"),
+        F.col("content").cast("string").alias("text"))
+    return read.join(wanted.select("path", "modified"), ["path", "modified"], "left_semi")
+
+
+def upsert_files(spark: SparkSession, root: str, out: str, rules: sentiment.Rules | None = None) -> int:
     """Score files that are new, late or changed, and return their number; ``current`` shows the last row per key.
 
-    A file is taken when its path is not stored with its modification time. The work goes in slices of
-    ``max_files``, until nothing is left; each slice is one folder, so no slice rewrites what earlier
-    ones stored and one that fails is taken again.
+    A file is taken when its path is not stored with its modification time: the listing is anti-joined with
+    what is stored. All of them are one folder, so a run that fails is taken again as a whole.
+    """
+    files, batch = listed(spark, root), 0
+    if exists(spark, out):
+        stored = spark.read.parquet(out)
+        files = files.join(stored.select("path", "modified"), ["path", "modified"], "left_anti")
+        batch = (stored.agg(F.max("batch")).first()[0] or 0) + 1
+    if files.isEmpty():
+        return 0
+    rows = enriched(with_lyrics_scope(contents(spark, root, files)), rules)
+    rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    return spark.read.parquet(f"{out}/batch={batch}").count()
+
+
+def file_changes(spark: SparkSession, root: str, ledger: DataFrame) -> DataFrame:
+    """What has happened to the files since ``ledger`` (path, modified): rows for ``LyricsMarts.apply``.
+
+    New and changed files come with their text, files that are gone as ``deleted``.
     """
-    taken = 0
-    while True:
-        files = listed(spark, root)
-        try:
-            stored = spark.read.parquet(out)
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            batch = 0
-        else:
-            files = files.join(stored.select("path", "modified"), ["path", "modified"], "left_anti")
-            batch = stored.agg(F.max("batch")).first()[0] + 1
-        slice_ = files.orderBy("modified", "path").limit(max_files).collect()
-        if not slice_:
-            return taken
-        # as paths, not patterns: what globs would read specially is escaped
-        names = [re.sub(r"([\[\]{}*?\\,])", r"\\\1", r["file"]) for r in slice_]
-        times = spark.createDataFrame([(r["path"], r["modified"]) for r in slice_], "path string, modified timestamp")
-        texts = spark.read.text(names, wholetext=True).select(
-            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-        rows = enriched(with_lyrics_scope(texts), rules).join(times, "path")
-        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
-        taken += len(slice_)
+    now = listed(spark, root)
+    taken = contents(spark, root, now.join(ledger, ["path", "modified"], "left_anti")).withColumn("deleted", F.lit(False))
+    gone = ledger.join(now, "path", "left_anti").select(
+        "path", "modified", F.lit(None).cast("string").alias("text"), F.lit(True).alias("deleted"))
+    scoped = with_lyrics_scope(taken.unionByName(gone)).withColumn("text", T.strip_header(F.col("text")))
+    return scoped.select(
+        hash_id(F.col("path")).alias("track_id"), hash_id(F.col("artist_dir"), F.col("album_dir")).alias("album_id"),
+        "text", "deleted", "modified", "path")
+
+
+def maintain(changes: DataFrame, marts: LyricsMarts, checkpoint: str) -> StreamingQuery:
+    """Apply a stream of changes batch by batch, then stop; a batch taken twice has the same result."""
+    return (
+        changes.writeStream.foreachBatch(lambda rows, _: marts.apply(rows)).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
 
 
 def current(spark: SparkSession, out: str, key: str = "path") -> DataFrame:

@@ -43,7 +43,7 @@ def test_upsert_takes_new_late_and_changed_files(spark, tmp_path):
     album = root / "Art" / "Alb"
     for name, text in (("a", "one"), ("b [x], {y}", "two"), ("c", "three")):
         write_text(album / f"{name}.txt", text)
-    assert incremental.upsert_files(spark, str(root), out, max_files=2) == 3
+    assert incremental.upsert_files(spark, str(root), out) == 3
     assert incremental.upsert_files(spark, str(root), out) == 0
     write_text(album / "a.txt", "changed")
     os.utime(album / "a.txt", (time.time() + 5,) * 2)
