@@ -92,6 +92,15 @@ def tidy(scan: Callable[[Batches], Batches], *caches: Callable[[], None]) -> Cal
     return run
 
 
+def packed(data: bytes) -> bytes:
+    """``data`` compressed, its length first."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else untouched."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
