@@ -1,16 +1,18 @@
 """Phrase collocation mining by partitions: local mining, union, exact global counts.
 
-1. Every shard, a run of rows of one scan task, is mined completely: a phrase counts as locally frequent
-   when it occurs at least ``support`` times the shard's share of the language's words (rounded up). A
-   phrase with ``support`` occurrences in all is locally frequent in at least one shard.
-2. The union of these phrases, less those that cannot reach the support even if every shard that did not
-   report them held as many as go unreported, are the candidates.
-3. A second scan counts the candidates in every shard, whatever their local count, and the sums are exact.
-
-Shards are cut by size, so their number grows with the input and their supports fall; once a shard's
-support is one its counts are whole and the bound of step 2 is the exact count. Only sums of phrases per
-shard are shuffled, so a hot word or language is spread by the shards. What a task holds is one shard of
-one language at a time.
+1. The scan tasks are dealt over a fixed number of shards. A phrase that occurs ``support`` times in a
+   language occurs at least ``support / SHARDS`` times in some shard, whatever the shards hold. Each shard
+   is mined completely at that local support, words first, then pairs of frequent words, then longer
+   phrases all of whose pairs are frequent. A shard is not what a task holds: tasks count their own rows,
+   one run of a language at a time, and Spark adds up (shard, phrase).
+2. The union of the locally frequent phrases is kept as a hash filter of fixed size. What it lets through
+   by chance costs a count, nothing else.
+3. A last scan counts all phrases of the union, whatever their local count, by their words, so the sums
+   are exact and hashes decide nothing.
+
+The number of shards is fixed, so the local support does not fall as the input grows. Only sums of
+phrases per run are shuffled, which spreads a hot word or language over the runs. They travel as packed
+blocks by phrase bucket; buckets grow in number with the bytes, and a task adds up one at a time.
 
 Null and empty texts have no phrases; a null language is ``und``; repeated rows count as often as they
 occur; other columns are ignored; an empty table gives no rows.
@@ -19,15 +21,18 @@ occur; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantora.llm.common import stored, tidy
+from cantora.llm.common import packed, stored, tidy, unpacked
 
 SUPPORT = 100  # occurrences in a language
 LENGTH = 5  # words at most
@@ -35,11 +40,12 @@ TOP = 2_000  # phrases reported per language
 SHARE = 100  # percent of a phrase's occurrences inside a longer one from which it is dropped
 UNKNOWN = "und"
 
-SHARD_BYTES = 16 << 20  # text of a shard
+SHARDS = 4
+RUN_BYTES = 8 << 20  # text of one language a task counts at once
+BUCKET_BYTES = 16 << 20  # text per bucket of phrases
 CUT_BYTES = 2 << 20  # text split into words at once
-FILTER_BITS = 1 << 25  # filter of candidates in the second scan: 4 MB, whatever their number
+FILTER_BITS = 1 << 27  # filter of candidates: 16 MB, whatever their number
 
-WORD = r"[^.,;:!?\x0A-\x0D\x20\x09]+"
 _BREAK = -1
 #: A-Z lower-cased, marks and line ends as line feeds, tabs as spaces.
 _NORMAL = bytes.maketrans(
@@ -47,14 +53,13 @@ _NORMAL = bytes.maketrans(
 )
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
-
-class Shard(dict):
+class Run(dict):
     """Texts of one language as word numbers; between pieces stands a break."""
 
-    def __init__(self):
+    def __init__(self, lang: str):
         super().__init__({b"\n": _BREAK, b"": _BREAK - 1})
+        self.lang = lang
         self.words: list[bytes] = []
         self.parts: list[np.ndarray] = []
         self.size = 0
@@ -81,15 +86,18 @@ class Shard(dict):
             start = end
         self.parts.append(np.array([_BREAK], np.int32))
 
-    def phrases(self, keep: Keep, longest: int) -> Iterator[pa.RecordBatch]:
-        """Phrases (phrase, hash, count), one batch per length, as far as ``keep`` (counts, hashes) lets them pass.
+    def n_words(self) -> int:
+        return sum(int((p >= 0).sum()) for p in self.parts)
+
+    def phrases(self, keep: Callable[[int, np.ndarray], np.ndarray], longest: int) -> Iterator[Phrases]:
+        """Distinct phrases by length, as far as ``keep`` (length, hashes) lets them pass.
 
         A phrase is looked at only if both its parts without the last and without the first word have
-        passed, so ``keep`` must be monotone.
+        passed. Phrases are told apart by their words; the hash also depends on the language.
         """
         ids = np.concatenate([*self.parts, np.full(longest + 1, _BREAK, np.int32)]).astype(np.int64)
-        known = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
-        vocabulary = pa.array(self.words, pa.binary())
+        seed = xxhash.xxh3_64_intdigest(self.lang.encode("utf-8", "surrogatepass"))
+        known = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in self.words], np.uint64)
         at = np.flatnonzero(ids >= 0)
         group, hashes = ids[at], np.zeros(len(known), np.uint64)
         for length in range(1, longest + 1):
@@ -98,119 +106,172 @@ class Shard(dict):
                 alive[at] = True
                 on = alive[at + 1] & (ids[at + length - 1] >= 0)
                 at, group = at[on], group[on]
-                key = group * len(known) + ids[at + length - 1]
-            else:
-                key = group
+                group = group * len(known) + ids[at + length - 1]
             if not len(at):
                 return
-            _, first, number, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            before = hashes[group[first]] if length > 1 else np.zeros(len(first), np.uint64)
+            key, first, number, counts = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
+            before = hashes[key // len(known)] if length > 1 else np.zeros(len(key), np.uint64)
             found = (before * _FACTOR) ^ known[ids[at[first] + length - 1]]
             found = (found ^ (found >> np.uint64(29))) * _MIX
             found ^= found >> np.uint64(32)
-            good = keep(counts, found)
+            good = keep(length, found)
             starts = at[first[good]]
-            words = [vocabulary.take(pa.array(ids[starts + i])) for i in range(length)]
-            text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())) if length > 1 else words[0]
-            yield pa.record_batch(
-                [text, pa.array(found[good].view(np.int64)), pa.array(counts[good].astype(np.int64))], names=["phrase", "hash", "n"]
-            )
+            yield Phrases(length, found[good], counts[good], ids[starts[:, None] + np.arange(length)])
             passed = good[number]
             at, group = at[passed], (np.cumsum(good) - 1)[number[passed]]
             hashes = found[good]
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Shard]]:
-    """(language, its number of words in all, shard), each shard as soon as it is full."""
-    open_: dict[str, Shard] = {}
-    total: dict[str, int] = {}
+@dataclass(frozen=True)
+class Phrases:
+    """Distinct phrases of one length in a run: hashes, counts and rows of word numbers."""
+
+    length: int
+    hashes: np.ndarray
+    counts: np.ndarray
+    words: np.ndarray
+
+    def text(self, run: Run) -> pa.Array:
+        vocabulary = pa.array(run.words, pa.binary())
+        columns = [vocabulary.take(pa.array(self.words[:, i])) for i in range(self.length)]
+        joined = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())) if self.length > 1 else columns[0]
+        return joined
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+    """The rows of a task by language, each run as soon as it is full."""
+    held: dict[str, Run] = {}
     for batch in batches:
-        langs, texts, totals = (batch.column(c) for c in ("lang", "text", "total"))
-        for lang, text, n in zip(langs.to_pylist(), texts, totals.to_pylist()):
-            total[lang] = n
-            open_.setdefault(lang, Shard()).add(text.as_py())
-            if open_[lang].size >= SHARD_BYTES:
-                yield lang, n, open_.pop(lang)
-        if sum(s.size for s in open_.values()) >= 2 * SHARD_BYTES:  # many languages
-            largest = max(open_, key=lambda x: open_[x].size)
-            yield largest, total[largest], open_.pop(largest)
-    for lang, shard in open_.items():
-        yield lang, total[lang], shard
-
-
-def _output(lang: str, batch: pa.RecordBatch) -> pa.RecordBatch:
-    phrase = batch.column("phrase").cast(pa.string())
-    return pa.record_batch(
-        [pa.array([lang] * len(batch), pa.string()), phrase, batch.column("hash"), batch.column("n")],
-        names=["lang", "phrase", "hash", "n"],
-    )
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            run = held.get(lang) or held.setdefault(lang, Run(lang))
+            run.add(text.as_py())
+            if run.size >= RUN_BYTES:
+                yield held.pop(lang)
+        if sum(r.size for r in held.values()) >= 2 * RUN_BYTES:  # many languages
+            yield held.pop(max(held, key=lambda x: held[x].size))
+    yield from held.values()
+
+
+class Filter:
+    """Bitmap of fixed size with the slots of hashes set."""
+
+    def __init__(self):
+        self.bits = np.zeros(FILTER_BITS >> 6, np.uint64)
+
+    def add(self, hashes: DataFrame) -> None:
+        slot = f"(hash & {FILTER_BITS - 1})"
+        words = hashes.groupBy(F.expr(f"shiftright({slot}, 6)").alias("word")).agg(
+            F.bit_or(F.expr(f"shiftleft(1L, cast({slot} & 63 as int))")).alias("bits"))
+        found = words.toPandas()  # at most one row a word of the bitmap
+        self.bits[found["word"].to_numpy(np.int64)] |= found["bits"].to_numpy(np.int64).view(np.uint64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & np.uint64(FILTER_BITS - 1)
+        return ((self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, text as bytes, total) of the rows with text, and (lang, total): the words of each language."""
-    rows = docs.where("text is not null and text <> ''").select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    totals = stored(rows.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(WORD)).cast("long")).alias("total")))
-    return rows.join(totals, "lang").select("lang", F.col("text").cast("binary").alias("text"), "total"), totals
+def prepared(docs: DataFrame) -> DataFrame:
+    """(lang, text as bytes) of the rows with text."""
+    return docs.where("text is not null and text <> ''").select(
+        F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
 
 
-def candidates(texts: DataFrame, support: int, longest: int) -> DataFrame:
-    """(lang, phrase, hash): the locally frequent phrases of all shards that may reach the support."""
+def _dealt(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, numbers of its phrases)."""
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        if len(part):
+            yield int(bucket[part[0]]), part
+
+
+def _summed(blocks: DataFrame, add: Callable[[str, list[bytes]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """``add`` over the rows (bucket, label, block) of every bucket and label, one after the other."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, total, shard in _shards(batches):
-            own = sum(int((p >= 0).sum()) for p in shard.parts)
-            least = max(1, -(-support * own // max(total, 1)))
-            unseen = least - 1  # what may go unreported here
-            for batch in shard.phrases(lambda n, _: n >= least, longest):
-                rows = _output(lang, batch)
-                yield rows.append_column("unseen", pa.array(np.full(len(rows), unseen, np.int64)))
-            yield pa.record_batch(
-                [pa.array([lang]), pa.array([None], pa.string()), pa.array([0]), pa.array([0]), pa.array([unseen])],
-                names=["lang", "phrase", "hash", "n", "unseen"],
-            )
-
-    found = texts.mapInArrow(tidy(scan), "lang string, phrase string, hash long, n long, unseen long")
-    sums = stored(
-        found.groupBy("lang", "phrase").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"), F.sum("unseen").alias("unseen"))
-    )
-    most = sums.where("phrase is null").select("lang", F.col("unseen").alias("most"))
-    return (
-        sums.where("phrase is not null").join(most, "lang")
-        .where(F.col("n") + F.col("most") - F.col("unseen") >= support)
-        .select("lang", "phrase", "hash")
-    )
+        rows = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in ("bucket", "label", "block")]))
+        for (_, label), group in groupby(rows, key=lambda r: r[:2]):
+            yield from add(label, [unpacked(r[2]) for r in group])
 
+    sorted_ = blocks.repartition("bucket", "label").sortWithinPartitions("bucket", "label")
+    return sorted_.mapInArrow(tidy(scan), ddl)
+
+
+_BLOCKS = "bucket int, label string, block binary"
 
-def hash_filter(hashes: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size with the slots of all hashes set."""
-    slot = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1))
-    words = hashes.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((hash & {FILTER_BITS - 1}) & 63 as int))")).alias("bits")
-    )
-    bits = np.zeros(FILTER_BITS >> 6, np.int64)
-    held = words.toPandas()  # one row a word of the bitmap at most
-    bits[held["word"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
-    return bits.view(np.uint64)
 
+def _block(bucket: int, label: str, data: bytes) -> pa.RecordBatch:
+    columns = [pa.array([bucket], pa.int32()), pa.array([label], pa.string()), pa.array([packed(data)], pa.binary())]
+    return pa.record_batch(columns, names=["bucket", "label", "block"])
 
-def frequent(texts: DataFrame, support: int, longest: int) -> DataFrame:
-    """(lang, phrase, a): all phrases of up to ``longest`` words with at least ``support`` occurrences, exactly counted."""
-    held = texts.sparkSession.sparkContext.broadcast(hash_filter(candidates(texts, support, longest)))
+
+def locally_frequent(texts: DataFrame, known: Filter, shortest: int, longest: int, least: int, buckets: int) -> DataFrame:
+    """Hashes of the phrases of ``shortest`` to ``longest`` words with ``least`` occurrences in some shard.
+
+    Shorter phrases must have passed before; ``known`` holds them.
+    """
+    held = texts.sparkSession.sparkContext.broadcast(known)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
-        mask = np.uint64(FILTER_BITS - 1)
+        shard = str(TaskContext.get().partitionId() % SHARDS)
+        for run in runs(batches):
+            for found in run.phrases(lambda n, h: held.value(h) if n < shortest else np.ones(len(h), bool), longest):
+                if found.length < shortest:
+                    continue
+                for bucket, i in _dealt(found.hashes, buckets):
+                    yield _block(bucket, shard, found.hashes[i].tobytes() + found.counts[i].astype(np.int64).tobytes())
+
+    def add(_: str, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate([np.frombuffer(b, np.uint64, len(b) // 16) for b in blocks])
+        counts = np.concatenate([np.frombuffer(b, np.int64, offset=len(b) // 2) for b in blocks])
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
+        begins = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+        often = begins[np.add.reduceat(counts, begins) >= least]
+        yield pa.record_batch([pa.array(hashes[often].view(np.int64))], names=["hash"])
+
+    return _summed(texts.mapInArrow(tidy(scan), _BLOCKS), add, "hash long")
+
+
+def candidates(texts: DataFrame, support: int, longest: int, buckets: int) -> Filter:
+    """The union of what is locally frequent in any shard."""
+    least = -(-support // SHARDS)
+    found = Filter()
+    for shortest, upto in ((1, 1), (2, 2), (3, longest)):
+        if longest >= shortest:
+            found.add(locally_frequent(texts, found, shortest, upto, least, buckets))
+    return found
+
+
+def counted(texts: DataFrame, union: Filter, support: int, longest: int, buckets: int) -> DataFrame:
+    """(lang, phrase, a): the phrases of the union with ``support`` occurrences; phrase null: all words of the language."""
+    held = texts.sparkSession.sparkContext.broadcast(union)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            yield _block(0, run.lang, _counts(np.array([run.n_words()]), [b""]))  # the empty phrase: all words
+            for found in run.phrases(lambda _, h: held.value(h), longest):
+                text = found.text(run)
+                for bucket, i in _dealt(found.hashes, buckets):
+                    yield _block(bucket, run.lang, _counts(found.counts[i], text.take(pa.array(i)).to_pylist()))
+
+    def add(lang: str, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        sums: dict[bytes, int] = {}
+        for data in blocks:
+            m = int(np.frombuffer(data, np.int64, 1)[0])
+            for phrase, n in zip(data[8 + 8 * m :].split(b"\n"), np.frombuffer(data, np.int64, m, 8).tolist()):
+                sums[phrase] = sums.get(phrase, 0) + n
+        often = [(p, n) for p, n in sums.items() if n >= support or not p]
+        phrase = pa.array([p or None for p, _ in often], pa.binary()).cast(pa.string())
+        yield pa.record_batch([pa.array([lang] * len(often), pa.string()), phrase, pa.array([n for _, n in often], pa.int64())],
+                              names=["lang", "phrase", "a"])
 
-        def keep(_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-            slot = hashes & mask
-            return ((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return _summed(texts.mapInArrow(tidy(scan), _BLOCKS), add, "lang string, phrase string, a long")
 
-        for lang, _, shard in _shards(batches):
-            for batch in shard.phrases(keep, longest):
-                yield _output(lang, batch).select(["lang", "phrase", "n"])
 
-    counts = texts.mapInArrow(tidy(scan), "lang string, phrase string, n long")
-    return counts.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
+def _counts(counts: np.ndarray, phrases: list[bytes]) -> bytes:
+    """Counts and phrases, a line feed between two: no word holds one."""
+    return np.r_[len(phrases), counts].astype(np.int64).tobytes() + b"\n".join(phrases)
 
 
 def n_words(phrase: Column) -> Column:
@@ -224,8 +285,12 @@ def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LENGTH,
     two parts. A phrase is dropped if a phrase one word longer holds it in ``share`` percent of its
     occurrences; a longer one than that would imply it.
     """
-    texts, totals = prepared(docs)
-    counts = stored(frequent(texts, support, longest))
+    texts = prepared(docs)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    found = stored(counted(texts, candidates(texts, support, longest, buckets), support, longest, buckets))
+    totals = found.where("phrase is null").select("lang", F.col("a").alias("n"))
+    counts = found.where("phrase is not null")
     phrases = counts.where(n_words(F.col("phrase")) >= 2)
 
     longer = phrases.where(n_words(F.col("phrase")) >= 3)
@@ -243,13 +308,13 @@ def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LENGTH,
     cuts = cuts.withColumn("right", F.expr("substring(phrase, length(left) + 2)"))
     cuts = cuts.join(counts.select("lang", F.col("phrase").alias("left"), F.col("a").alias("l")), ["lang", "left"])
     cuts = cuts.join(counts.select("lang", F.col("phrase").alias("right"), F.col("a").alias("r")), ["lang", "right"])
-    cuts = cuts.join(totals.withColumnRenamed("total", "n"), "lang")
+    cuts = cuts.join(totals, "lang")
     scored = cuts.withColumn("score", F.expr(
         "(1000BD * cast(a as decimal(18, 0)) * cast(n as decimal(18, 0))) div (cast(l as decimal(18, 0)) * cast(r as decimal(18, 0)))"
     ))
     weakest = scored.groupBy("lang", "phrase").agg(
         F.first("a").alias("a"), F.first("n").alias("n"), F.min(F.struct("score", "cut", "l", "r")).alias("low"))
-    found = weakest.select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
+    phrases = weakest.select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

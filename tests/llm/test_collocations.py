@@ -49,10 +49,11 @@ def texts(n, seed):
     ]
 
 
-@pytest.mark.parametrize("shard", [collocations.SHARD_BYTES, 200])
+@pytest.mark.parametrize("shard", [collocations.RUN_BYTES, 200])
 def test_equals_brute_force(frame, monkeypatch, shard):
     """Shards of a few rows and cuts inside a text give the same as one shard."""
-    monkeypatch.setattr(collocations, "SHARD_BYTES", shard)
+    monkeypatch.setattr(collocations, "RUN_BYTES", shard)
+    monkeypatch.setattr(collocations, "BUCKET_BYTES", 3000 if shard == 200 else collocations.BUCKET_BYTES)
     monkeypatch.setattr(collocations, "CUT_BYTES", 30 if shard == 200 else collocations.CUT_BYTES)
     rows = [*texts(300, 3), (None, None), ("en", ""), ("en", " . ,"), ("fr", "one")]
     df = frame(rows, "lang string, text string")
@@ -63,7 +64,7 @@ def test_equals_brute_force(frame, monkeypatch, shard):
 
 
 def test_phrase_spread_thinly_over_the_shards_is_found(frame, monkeypatch):
-    monkeypatch.setattr(collocations, "SHARD_BYTES", 100)
+    monkeypatch.setattr(collocations, "RUN_BYTES", 100)
     rows = [("en", f"rare pair w{i} x{i} y{i} z{i}") for i in range(40)] + [("en", "hot hot hot hot hot hot " * 5)] * 20
     assert got(frame(rows, "lang string, text string", 7), support=40) == brute(rows, 40)
 
