@@ -53,6 +53,28 @@ def claim_string(value: Column, label: Column) -> Column:
     return F.coalesce(field(value, "text"), label, claim_id(value), value)
 
 
+# ---- payloads whose shape drifts: VARIANT values ------------------------------------------------
+
+
+def variant_kind(value: Column) -> Column:
+    """Kind of a VARIANT: object, array, string, number, boolean or null."""
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string")
+        .when(kind == "BOOLEAN", "boolean").when(value.isNull() | F.is_variant_null(value), "null").otherwise("number")
+    )
+
+
+def variant_field(value: Column, name: str, kind: str = "string") -> Column:
+    """A field of an object in the wanted type, whatever type it came in; NULL if absent, of another shape or not convertible."""
+    return F.try_variant_get(value, f"$.{name}", kind)
+
+
+def variant_text(value: Column) -> Column:
+    """Text of a claim value: its ``text``, else its ``id``, else the value itself, an object as JSON."""
+    return F.coalesce(variant_field(value, "text"), variant_field(value, "id"), F.try_variant_get(value, "$", "string"))
+
+
 def image_url(file_name: Column, prefix: str = IMAGE_PREFIX) -> Column:
     """Address of an image file; empty when there is none."""
     return F.coalesce(

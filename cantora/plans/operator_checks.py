@@ -84,6 +84,21 @@ def a14(m):
     return parsed.select("event_id", "event_type", F.col("p.k").alias("k"), F.coalesce("p.uri", F.lit("")).alias("uri"))
 
 
+@check(
+    "a15_claims",
+    """SELECT event_id, key AS property, CASE WHEN type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'number' WHEN type = 'VARCHAR' THEN 'string'
+      ELSE lower(type) END AS kind, json_extract_string(props, '$.' || key) AS text, TRY_CAST(json_extract_string(props, '$.' || key) AS BIGINT) AS amount
+    FROM (SELECT event_id, props, key, json_type(props, '$.' || key) AS type FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events))""",
+)
+def a15(m):
+    """All members of the event payloads, whatever their names and types."""
+    parsed = m.raw("events").select("event_id", F.try_parse_json("props").alias("v"))
+    item = F.col("item")
+    return landed.variant_items(parsed, "v").select(
+        "event_id", F.col("item_key").alias("property"), claims.variant_kind(item).alias("kind"),
+        claims.variant_text(item).alias("text"), F.try_variant_get(item, "$", "bigint").alias("amount"))
+
+
 @check(
     "a16_html_items",
     """SELECT page_id, CAST(generate_subscripts(items, 1) AS BIGINT) AS n, unnest(items) AS title FROM

@@ -169,6 +169,35 @@ def album_summary(tracks: DataFrame, has_text: str, number: str = "track_no", ti
 # ---- nested payloads --------------------------------------------------------------------
 
 
+def variant_items(df: DataFrame, value: str) -> DataFrame:
+    """One row (``item_pos``, ``item_key``, ``item``) per element of a VARIANT array or member of an object.
+
+    A value of any other kind has no rows. ``item_key`` is NULL in arrays.
+    """
+    items = df.sparkSession.tvf.variant_explode(F.col(value).outer())
+    named = df.lateralJoin(items.select(
+        F.col("pos").cast("long").alias("item_pos"), F.col("key").alias("item_key"), F.col("value").alias("item")))
+    return named
+
+
+def claim_rows(payload: DataFrame, text: str = "payload") -> DataFrame:
+    """Claims of raw JSON payloads without a fixed schema: the other columns and property, n, kind, text, time.
+
+    A property may hold a list of claims or a single one, a value may be an object, a string or a number, and
+    any field may be absent or of another type. What is no JSON at all has no rows.
+    """
+    kept = [c for c in payload.columns if c != text]
+    claims = payload.select(*kept, F.try_variant_get(F.try_parse_json(text), "$.claims", "variant").alias("claims"))
+    held = variant_items(claims, "claims").select(*kept, F.col("item_key").alias("property"), F.col("item").alias("list"))
+    listed = variant_items(held, "list").where("item_key is null").select(*kept, "property", F.col("item_pos").alias("n"), F.col("item").alias("claim"))
+    single = held.where(C.variant_kind(F.col("list")) == "object").select(
+        *kept, "property", F.lit(0).cast("long").alias("n"), F.col("list").alias("claim"))
+    value = F.try_variant_get("claim", "$.mainsnak.datavalue.value", "variant")
+    return listed.unionByName(single).withColumn("value", value).where("value is not null").select(
+        *kept, "property", "n", C.variant_kind(F.col("value")).alias("kind"), C.variant_text(F.col("value")).alias("text"),
+        C.variant_field(F.col("value"), "time").alias("time"))
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
