@@ -18,6 +18,7 @@ from cantora.operators import loading, matching, shape, wordfreq
 from cantora.operators.enrich import METRICS_VERSION, refresh_metrics
 from cantora.operators.numbering import hash_id
 from cantora.operators.shape import pending
+from cantora.plans.refresh import LyricsMarts
 from cantora.sources import landed, sinks
 
 ALBUM = ("artist_dir", "album_dir")
@@ -153,11 +154,21 @@ def analyze(
     sinks.replace_table(wordfreq.album_words(per_track, tracks), "word_frequencies_album", database, buckets)
 
 
+def placed_lyrics(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """(track_id, album_id, text) of the stored tracks with lyrics."""
+    tracks = sinks.stored(spark, "tracks", database).select(F.col("id").alias("track_id"), "album_id")
+    return sinks.stored(spark, "lyrics", database).select("track_id", "text").join(tracks, "track_id")
+
+
 def run(
     spark: SparkSession, layout: Layout, database: str | None = None, rules: sentiment.Rules | None = None,
-    buckets: int | None = None,
+    buckets: int | None = None, marts: LyricsMarts | None = None,
 ) -> None:
-    """Landed files to a complete, analyzed model; ``buckets`` as in ``sinks.create_tables``."""
+    """Landed files to a complete, analyzed model; ``buckets`` as in ``sinks.create_tables``.
+
+    With ``marts``, metrics and word counts go there and only what has changed is computed again;
+    ``StoredModel`` takes them from there. Otherwise the tables of the database are rebuilt.
+    """
     out = layout.stages
 
     def stage(df: DataFrame, name: str, by=("artist_dir",)) -> DataFrame:
@@ -181,7 +192,10 @@ def run(
     skipped.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/skipped_albums")
 
     load(spark, merged, final, database, buckets)
-    analyze(spark, database, rules, buckets)
+    if marts is None:
+        analyze(spark, database, rules, buckets)
+    else:
+        marts.sync(placed_lyrics(spark, database))
     tables = {name: sinks.stored(spark, name, database) for name in schemas.TABLES}
     found = loading.violations(tables, schemas.RULES).withColumn("audit_ts", F.current_timestamp())
     found.write.mode("append").parquet(f"{out}/audit/integrity")

@@ -19,7 +19,7 @@ from cantora.operators import wordfreq
 from cantora.operators.enrich import METRICS_VERSION, refresh_metrics, with_metrics
 from cantora.operators.loading import first_per_key
 from cantora.operators.shape import pending
-from cantora.sources.partitioned import PartitionedTables, delete
+from cantora.sources.partitioned import PartitionedTables, delete, exists
 
 KEYS = {"lyrics": "track_id", "words_track": "track_id", "words_album": "album_id"}
 
@@ -38,7 +38,7 @@ class LyricsMarts:
 
     def _scored(self, lyrics: DataFrame) -> DataFrame:
         rows = with_metrics(lyrics.select("track_id", "album_id", "text"), rules=self.rules)
-        return rows.withColumn("metrics_version", F.lit(METRICS_VERSION))
+        return rows.withColumns({"metrics_version": F.lit(METRICS_VERSION), "digest": _digest()})
 
     def build(self, lyrics: DataFrame) -> None:
         """Write all three tables from (track_id, album_id, text), one row per track."""
@@ -61,8 +61,8 @@ class LyricsMarts:
         tables.recover(spark)
         last = first_per_key(
             changes.select("track_id", "album_id", "text", "deleted", "modified"), [F.col("track_id")], [F.col("modified")], last=True)
-        last.write.mode("overwrite").parquet(f"{work}/changes")
-        last = spark.read.parquet(f"{work}/changes")
+        last.write.mode("overwrite").parquet(f"{self.root}/changes")  # also a record of the latest change set
+        last = spark.read.parquet(f"{self.root}/changes")
         touched = tables.touched(last, "lyrics")
         if not touched:
             return
@@ -86,6 +86,27 @@ class LyricsMarts:
         })
         delete(spark, work)
 
+    def sync(self, lyrics: DataFrame) -> int:
+        """Make the tables those of (track_id, album_id, text), rewriting only what differs; returns the tracks that did.
+
+        Stored texts are compared by their digests, so only new and changed ones are scored and split.
+        """
+        spark = lyrics.sparkSession
+        self.tables.recover(spark)
+        if not exists(spark, self.tables.path("words_album")):
+            self.build(lyrics)
+            return self.read(spark, "lyrics").count()
+        now = lyrics.select("track_id", "album_id", "text", _digest().alias("digest"))
+        stored = self.read(spark, "lyrics").select("track_id", "album_id", "digest")
+        changed = now.join(stored, ["track_id", "album_id", "digest"], "left_anti").withColumn("deleted", F.lit(False))
+        gone = stored.join(now, "track_id", "left_anti").select(
+            "track_id", "album_id", F.lit(None).cast("string").alias("text"), "digest", F.lit(True).alias("deleted"))
+        self.apply(changed.unionByName(gone).withColumn("modified", F.lit(0)))
+        return self._applied(spark)
+
+    def _applied(self, spark: SparkSession) -> int:
+        return spark.read.parquet(f"{self.root}/changes").count()
+
     def refresh_pending(self, spark: SparkSession) -> int:
         """Compute the missing metrics this version has not yet handled; returns the number of partitions rewritten."""
         tables = self.tables
@@ -98,5 +119,9 @@ class LyricsMarts:
         return len(touched)
 
 
+def _digest():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def _per_album(words: DataFrame) -> DataFrame:
     return words.groupBy("album_id", "word").agg(F.sum("count").alias("count"))

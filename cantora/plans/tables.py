@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cantora.plans.refresh import LyricsMarts
 from cantora.sources.sinks import stored
 
 
+#: Tables that incremental marts hold in place of the database.
+MARTS = {"lyrics": "lyrics", "word_frequencies_track": "words_track", "word_frequencies_album": "words_album"}
+
+
 class StoredModel:
-    """Model tables of one database, for the canned analyses in ``plans.catalog``."""
+    """Model tables of one database, for the canned analyses in ``plans.catalog``.
+
+    With ``marts``, lyrics with metrics and word counts are read from there.
+    """
 
-    def __init__(self, spark: SparkSession, database: str | None = None):
-        self.spark, self.database = spark, database
+    def __init__(self, spark: SparkSession, database: str | None = None, marts: LyricsMarts | None = None):
+        self.spark, self.database, self.marts = spark, database, marts
 
     def _table(self, name: str) -> DataFrame:
+        if self.marts is not None and name in MARTS:
+            return self.marts.read(self.spark, MARTS[name])
         return stored(self.spark, name, self.database)
 
     def artists(self) -> DataFrame:

@@ -221,3 +221,17 @@ def test_integrity_is_audited(spark, layout, model):
     found = spark.read.parquet(f"{layout.stages}/audit/integrity")
     assert found.select("table_name", "rule", "columns").distinct().count() == len(RULES)
     assert found.where("violations > 0").count() == 0
+
+
+def test_marts_hold_what_a_rebuild_holds(spark, model, layout, tmp_path):
+    from cantora.plans.refresh import LyricsMarts
+
+    marts = LyricsMarts(str(tmp_path / "marts"), parts=8)
+    pipeline.run(spark, layout, DB, marts=marts)
+    other = StoredModel(spark, DB, marts)
+    for name, columns in (("track_words", ["track_id", "word", "count"]), ("album_words", ["album_id", "word", "count"]),
+                          ("lyrics", ["track_id", "text", "word_count", "sentiment_score"])):
+        got, want = (sorted(map(str, getattr(m, name)().select(*columns).collect())) for m in (other, model))
+        assert got == want and got
+    assert [tuple(r) for r in catalog.unique_words_per_album(other).collect()] == [tuple(r) for r in catalog.unique_words_per_album(model).collect()]
+    assert marts.sync(pipeline.placed_lyrics(spark, DB)) == 0

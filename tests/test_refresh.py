@@ -140,3 +140,18 @@ def test_stream_of_changes(spark, tmp_path):
     other = LyricsMarts(str(tmp_path / "other"), parts=8)
     other.build(lyrics(spark, texts))
     assert content(marts, spark) == content(other, spark)
+
+
+def test_sync_finds_the_changes_itself(spark, tmp_path):
+    texts = texts_at_first()
+    marts = LyricsMarts(str(tmp_path / "marts"), parts=64)
+    assert marts.sync(lyrics(spark, texts)) == 60
+    before = files_of(marts.root)
+    assert marts.sync(lyrics(spark, texts)) == 0 and files_of(marts.root) == before
+    texts |= {4: (4, "rain"), 9: (1, texts[9][1]), 200: (3, None)}
+    del texts[30]
+    assert marts.sync(lyrics(spark, texts)) == 4
+    other = LyricsMarts(str(tmp_path / "other"), parts=64)
+    other.build(lyrics(spark, texts))
+    assert content(marts, spark) == content(other, spark)
+    assert len(before - files_of(marts.root)) < len(before) / 3
