@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cantora import schemas
@@ -171,8 +171,13 @@ def run(
     """
     out = layout.stages
 
-    def stage(df: DataFrame, name: str, by=("artist_dir",)) -> DataFrame:
-        sinks.write_stage(df, f"{out}/{name}", by)
+    counts: dict[str, int] = {}
+
+    def stage(df: DataFrame, name: str, by=("artist_dir",), **counters: Column) -> DataFrame:
+        # the counters ride on the write, so no audit needs a scan to learn that it has nothing to say
+        seen = Observation(name)
+        sinks.write_stage(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counters.items()]), f"{out}/{name}", by)
+        counts.update({f"{name}_{n}": v for n, v in seen.get.items()})
         return spark.read.parquet(f"{out}/{name}")
 
     cleaned, failed = clean_catalog(spark, layout)
@@ -182,14 +187,21 @@ def run(
     merged_df.write.mode("overwrite").parquet(f"{out}/artists")
     merged = spark.read.parquet(f"{out}/artists")
     lyrics = stage(clean_lyrics(spark, layout), "lyrics")
-    final = stage(join_lyrics(tracks, lyrics), "final")
+    final = stage(
+        join_lyrics(tracks, lyrics), "final",
+        missing=F.col("match_path").isNull(), skipped=T.excluded_album(F.col("album_dir")), empty=F.col("Lyrics") == "",
+    )
+    rows = spark.createDataFrame(sorted(counts.items()), "name string, n long")
+    rows.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/counts")
 
     audit = landed.match_audit(final, list(ALBUM), "SongName")
     audit.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/matches")
-    missing = final.where("match_path is null")
-    landed.failed_lyrics(missing, "SongName").write.mode("append").parquet(f"{out}/audit/failed_lyrics")
-    skipped = final.where(T.excluded_album(F.col("album_dir"))).select(*ALBUM).distinct()
-    skipped.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/skipped_albums")
+    if counts["final_missing"]:
+        missing = final.where("match_path is null")
+        landed.failed_lyrics(missing, "SongName").write.mode("append").parquet(f"{out}/audit/failed_lyrics")
+    if counts["final_skipped"]:
+        skipped = final.where(T.excluded_album(F.col("album_dir"))).select(*ALBUM).distinct()
+        skipped.withColumn("audit_ts", F.current_timestamp()).write.mode("append").parquet(f"{out}/audit/skipped_albums")
 
     load(spark, merged, final, database, buckets)
     if marts is None:

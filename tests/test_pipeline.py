@@ -223,6 +223,18 @@ def test_integrity_is_audited(spark, layout, model):
     assert found.where("violations > 0").count() == 0
 
 
+def test_counters_of_the_stage_writes(spark, model, layout):
+    """The counts taken while writing are those of the written rows."""
+    got = {r["name"]: r["n"] for r in spark.read.parquet(f"{layout.stages}/audit/counts").collect()}
+    final = spark.read.parquet(f"{layout.stages}/final")
+    assert got["final_rows"] == final.count() > 0
+    assert got["final_missing"] == final.where("match_path is null").count() > 0
+    assert got["final_skipped"] == final.where("album_dir = 'Alive'").count()
+    assert got["final_empty"] == final.where("Lyrics = ''").count() > 0
+    assert got["tracks_rows"] == spark.read.parquet(f"{layout.stages}/tracks").count()
+    assert got["lyrics_rows"] == spark.read.parquet(f"{layout.stages}/lyrics").count()
+
+
 def test_marts_hold_what_a_rebuild_holds(spark, model, layout, tmp_path):
     from cantora.plans.refresh import LyricsMarts
 
