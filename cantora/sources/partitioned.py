@@ -46,7 +46,8 @@ class PartitionedTables:
         return F.pmod(F.xxhash64(F.col(self.keys[table])), F.lit(self.parts)).cast("int")
 
     def _write(self, rows: DataFrame, table: str, path: str, **options: str) -> None:
-        placed = rows.withColumn(PART, self.part(table))
+        # one file a partition, or a few where adaptive execution splits a large one: not one per task
+        placed = rows.withColumn(PART, self.part(table)).hint("rebalance", F.col(PART))
         placed.write.mode("overwrite").options(**options).partitionBy(PART).parquet(path)
 
     def create(self, frames: Mapping[str, DataFrame]) -> None:
