@@ -15,12 +15,15 @@ import re
 from array import array
 from collections.abc import Callable
 
+import tiktoken
+
 CACHE = 200_000  # chunks, and words, a worker remembers
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[!-~\n{_LETTER}]*\Z").match
 _BESIDE = re.compile(r"[^\S ] | [^\S ]").search  # a space next to other white space
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)").split
+_SHORT_RUNS = re.compile(rf"[ \n]{{0,256}}+(?:[!-~{_LETTER}]{{1,256}}+(?:[ \n]{{1,256}}+|\Z))*+\Z").match
 _SUFFIXES = r"'s|'t|'re|'ve|'m|'ll|'d"
 
 
@@ -107,13 +110,24 @@ class _ChunkedEncoder(Encoder):
 class ByteLevelEncoder(_ChunkedEncoder):
     """Byte-level vocabulary whose words may begin with one space.
 
-    A space between two visible characters always begins a word, so the text is cut before each.
+    Where the merges of the file follow its ids, texts of plain letters, digits, signs, blanks and line
+    ends, without very long runs, are encoded whole from the file's own vocabulary as ranks, which gives
+    the same ids. In other texts a space between two visible characters always begins a word, so the
+    text is cut before each.
     """
 
     lead = " "
     words = re.compile(rf"{_SUFFIXES}| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 
+    def __init__(self, tokenizer, spec: dict):
+        super().__init__(tokenizer)
+        ranks = _ranks(spec, self.letters)
+        self.ranked = ranks and tiktoken.Encoding(
+            "ranks", pat_str=_BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def ids(self, text: str) -> bytes:
+        if self.ranked and "<|" not in text and _SHORT_RUNS(text):
+            return array("I", self.ranked(text)).tobytes()
         chunks = text.split(" ")
         if "" in chunks or _BESIDE(text):
             chunks = _BETWEEN(text)
@@ -123,6 +137,21 @@ class ByteLevelEncoder(_ChunkedEncoder):
         return len(self.ids(text)) // 4
 
 
+def _ranks(spec: dict, letters: list[str]) -> dict[bytes, int] | None:
+    """Vocabulary of a byte-level file as ranks, or None where its ids do not tell the order of its merges."""
+    vocabulary = spec["model"]["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+    made = [vocabulary.get(a + b, -1) for a, b in merges]
+    in_order = all(x < y for x, y in zip([-1, *made], made))
+    parts_first = all(max(vocabulary.get(a, i), vocabulary.get(b, i)) < i for (a, b), i in zip(merges, made))
+    extra = {t["content"] for t in spec.get("added_tokens", [])}
+    own = {t: i for t, i in vocabulary.items() if t not in extra}
+    byte_of = {letter: b for b, letter in enumerate(letters)}
+    if not (in_order and parts_first and len(own) == len(merges) + 256 and byte_of.keys() <= own.keys()):
+        return None
+    return {bytes(map(byte_of.__getitem__, t)): i for t, i in own.items()}
+
+
 class WordLevelEncoder(_ChunkedEncoder):
     """Lower-case vocabulary with word ends that drops white space; no word spans any."""
 
@@ -149,7 +178,8 @@ class PieceEncoder(Encoder):
         return len(self.tokenizer.encode(text, num_threads=1))
 
 
-# What the files of the two chunked kinds say about themselves.
+# What the files of the two chunked kinds say about themselves, and how byte-level texts are cut.
+_BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -186,4 +216,6 @@ def encoder(path: str) -> Encoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     with open(path, encoding="utf-8") as f:
-        return _kind(json.load(f))(tokenizer)
+        spec = json.load(f)
+    kind = _kind(spec)
+    return kind(tokenizer, spec) if kind is ByteLevelEncoder else kind(tokenizer)

@@ -27,6 +27,24 @@ def test_ids_equal_the_library(path, text):
     assert type(mine) is not Encoder
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["The", "mill", " ", "  ", "\n", "\n\n", "'s", "'S", "é", "ÿ×", "42", "...", "|", "a" * 300, " " * 300, "<|", "_"]), max_size=20).map("".join))
+def test_plain_texts_equal_the_library(text):
+    from array import array
+
+    mine, library = encoder(BYTE), Tokenizer.from_file(BYTE)
+    assert mine.ranked
+    assert mine.ids(text) == array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_every_entry_is_its_own_merge():
+    """What the encoding by ranks relies on: each entry of the vocabulary merges to itself."""
+    model = Tokenizer.from_file(BYTE).model
+    entries = {t: i for t, i in Tokenizer.from_file(BYTE).get_vocab(with_added_tokens=False).items() if t != "<|endoftext|>"}
+    assert len(entries) == 50256
+    assert all([t.id for t in model.tokenize(entry)] == [i] for entry, i in entries.items())
+
+
 def test_sentencepiece():
     import sentencepiece
 
