@@ -7,8 +7,8 @@
    population count of their XOR; pairs clearly below the threshold go no further. The rest are
    confirmed on full sets.
 4. Buckets whose members still lie in several components have pairs no hub has settled. Their members
-   meet again by the rarest shingles of each set (prefix filter, exact for the threshold), only across
-   components, and pass the same two tests.
+   meet again by the rarest shingles of each set (prefix and place filter on exact counts, exact for the
+   threshold), only across components, and pass the same two tests.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantora.llm.common import document_key, stored, tidy
@@ -31,7 +31,6 @@ BANDS, ROWS = 32, 4  # a pair at 0.80 shares no band with probability 5e-8, at 0
 SKETCH_WORDS = 8  # 64-bit words of an odd sketch
 SIGMAS = 5.0  # standard errors of the estimate a pair may lie below the threshold before it is dropped
 FILTER_BITS = 1 << 26  # 8 MB, the fixed size of the filter of candidate classes
-COUNT_BITS = 20  # buckets of the shingle counts, a table of fixed size
 WORD_CACHE = 150_000  # words a worker remembers
 
 _VALUES = BANDS * ROWS
@@ -116,17 +115,17 @@ def similar(common: int, a: int, b: int, percent: int) -> bool:
 
 @dataclass(frozen=True)
 class Prefixes:
-    """How many of the rarest shingles of a set must be looked at, for a similarity in percent."""
+    """How many of the rarest shingles of a set of ``n`` must be looked at, for a similarity in percent."""
 
     percent: int
 
-    def probe(self, n: int) -> int:
+    def probe(self, n: Column) -> Column:
         """Against sets no larger than this one."""
-        return n - -(-self.percent * n // 100) + 1
+        return (n - F.ceil(self.percent * n / 100) + 1).cast("int")
 
-    def index(self, n: int) -> int:
+    def index(self, n: Column) -> Column:
         """Against sets at least as large as this one."""
-        return n - -(-2 * self.percent * n // (100 + self.percent)) + 1
+        return (n - F.ceil(2 * self.percent * n / (100 + self.percent)) + 1).cast("int")
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -231,70 +230,59 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(tidy(compare), "a binary, b binary")
 
 
-def _count_table(sets: DataFrame) -> np.ndarray:
-    """Shingles per hash bucket over all ``sets``: a table of fixed size that orders shingles by rarity."""
+def _tokens(sets: DataFrame) -> DataFrame:
+    """(token, class) of every shingle of ``sets``."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x in batch.column("shingles"):
-                np.add.at(total, _rarity_bucket(np.frombuffer(x.as_buffer(), np.uint64)), 1)
-        used = np.flatnonzero(total)
-        yield pa.record_batch({"bucket": pa.array(used.astype(np.int32)), "n": pa.array(total[used])})
-
-    counted = sets.select("shingles").mapInArrow(tidy(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(1 << COUNT_BITS, np.int64)
-    table[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
-    return table
-
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
+                owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                yield pa.record_batch({
+                    "token": pa.array(np.concatenate(found)), "class": part.column("class").take(pa.array(owner)),
+                })
 
-def _rarity_bucket(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+    return sets.select("class", "shingles").mapInArrow(tidy(emit), "token long, class binary")
 
 
 def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``sets`` (class, component, shingles) in different components that may be similar.
 
     Two sets as similar as asked share a shingle among the first few of each in any common order. The
-    order is by rarity, so those few are seldom shared by chance. The smaller set of a pair needs fewer
-    of them (index) than the larger (probe). Shingles that only one set has are not looked up.
+    order is by the exact number of sets that hold a shingle, rarest first. So the shingles of one set
+    alone, which lead to no pair, come first and use up the prefix: sets of a group that differ by more
+    than the threshold allows do not meet at what the group has in common, however large it is. The
+    smaller set of a pair needs fewer shingles (index) than the larger (probe), and the places of the
+    first one they share bound what they can have in common.
     """
-    held = sets.sparkSession.sparkContext.broadcast(_count_table(sets))
     prefixes = Prefixes(percent)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = held.value
-        for batch in batches:
-            token, name, comp, size, index = [], [], [], [], []
-            for c, g, x in zip(*(batch.column(i).to_pylist() for i in ("class", "component", "shingles"))):
-                x = np.frombuffer(x, np.uint64)
-                rarity = counts[_rarity_bucket(x)]
-                order = np.lexsort((x, rarity))[: prefixes.probe(len(x))]
-                at = np.arange(len(order))
-                shared = rarity[order] > 1
-                token.extend(x[order[shared]].view(np.int64).tolist())
-                index.extend((at[shared] < prefixes.index(len(x))).tolist())
-                found = int(shared.sum())
-                name += [c] * found
-                comp += [g] * found
-                size += [len(x)] * found
-            yield pa.record_batch({
-                "token": pa.array(token, pa.int64()), "class": pa.array(name, pa.binary()), "component": pa.array(comp, pa.binary()),
-                "n": pa.array(size, pa.int64()), "index": pa.array(index, pa.bool_()),
-            })
-
-    rows = stored(sets.select("class", "component", "shingles").mapInArrow(
-        tidy(emit), "token long, class binary, component binary, n long, index boolean"
-    ))
+    # written first, so that adaptive execution may split a token that very many sets hold
+    shared = stored(_tokens(sets).groupBy("token").agg(F.count("*").alias("held_by")).where("held_by > 1"))
+    common = _tokens(sets).join(shared, "token").groupBy("class").agg(
+        F.sort_array(F.collect_list(F.struct("held_by", "token"))).alias("common"))  # of one set's own shingles
+    n = (F.octet_length("shingles") / 8).cast("int")
+    sized = sets.select("class", "component", n.alias("n"))
+    placed = common.join(sized, "class").withColumn("alone", F.col("n") - F.size("common"))
+    first = F.slice("common", F.lit(1), F.greatest(prefixes.probe(F.col("n")) - F.col("alone"), F.lit(0)))
+    rows = stored(
+        placed.select("class", "component", "n", "alone", F.posexplode(first).alias("at", "shingle"))
+        .withColumn("at", F.col("alone") + F.col("at"))
+        .select(F.col("shingle.token").alias("token"), "class", "component", "n", "at", (F.col("at") < prefixes.index(F.col("n"))).alias("index"))
+    )
     # only tokens that several components share, and an index row among them, can lead to a pair
     useful = rows.groupBy("token").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.bool_or("index").alias("any")
     ).where("any AND lo <> hi").select("token")
     rows = rows.join(useful, "token", "left_semi")
-    small = rows.where("index").select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    large = rows.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "index")
+    small = rows.where("index").select(
+        "token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    large = rows.select(
+        "token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"), "index")
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     met = small.join(large, "token").where(
         (F.col("ca") != F.col("cb")) & (100 * F.col("na") >= percent * F.col("nb"))
+        & ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
         & ((F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & F.col("index") & (F.col("a") < F.col("b")))
     )
     return met.select("a", "b").distinct()
