@@ -25,6 +25,7 @@ SHORTEST = 5  # tokens; shorter items are no evidence and are left out
 LITERAL = 3  # tokens of a full template window that must not be slots, in proportion for shorter ones
 FILTER_WORDS = 1 << 16  # 64-bit words of the window filter: 512 KB, whatever the benchmark's size
 CACHE = 150_000  # chunks a worker remembers
+BLOCK = 250_000  # characters of text looked at together
 
 # Unit words that are slots after a number.
 UNITS = frozenset("""
@@ -49,52 +50,54 @@ HIT_SCHEMA = "key binary, pos int, hash long, kind int, slots array<long>"
 
 
 class Tokens(dict):
-    """Place of each chunk of text in two tables, its token's hash and kind, remembered."""
-
-    def __init__(self):
-        super().__init__()
-        self.hash = np.zeros(1024, np.uint64)
-        self.kind = np.zeros(1024, np.int8)
+    """For each chunk of text its token's hash, the kind in the lowest three bits; remembered."""
 
     def __missing__(self, chunk: str) -> int:
-        at = len(self)
-        if at == len(self.hash):
-            self.hash, self.kind = np.resize(self.hash, 2 * at), np.resize(self.kind, 2 * at)
-        core = chunk.strip(_SIGNS)
-        if not core.isalnum():
-            core = _CORE.sub("", chunk)
+        core = chunk
+        if not core.isalpha():
+            core = chunk.strip(_SIGNS)
+            if not core.isalnum():
+                core = _CORE.sub("", chunk)
+        lower = core.lower()
         if not core:
             kind = _NOTHING
-        elif not core.isalpha() and _NUMERIC(core):
-            kind = _NUMBER
-        elif core.lower() in UNITS:
+        elif lower in UNITS:
             kind = _UNIT
-        elif len(core) > 1 and core[0].isupper() and not core.isupper():
-            kind = _NAME
-        else:
+        elif core[0].isupper():
+            kind = _NAME if len(core) > 1 and not core.isupper() else _WORD
+        elif core.isalpha() or not _NUMERIC(core):
             kind = _WORD
-        self.kind[at] = kind
-        self.hash[at] = xxhash.xxh64_intdigest(core.lower().encode("utf-8", "surrogatepass"))
-        self[chunk] = at
-        return at
+        else:
+            kind = _NUMBER
+        token = self[chunk] = xxhash.xxh64_intdigest(lower) & -8 | kind
+        return token
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, kinds, places of their texts) of the tokens of some texts, one after the other.
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, kinds) of the tokens of a text; a unit word without a number before it is a word."""
+        A unit word without a number before it is a word.
+        """
         if len(self) > CACHE:
             self.clear()
-        if _DIGIT(text):
-            text = _AMOUNT.sub(r"\g<0> ", text)
-        chunks = text.split()
-        found = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
-        hashes, kinds = self.hash[found], self.kind[found]
+        chunks, counts = [], []
+        for text in texts:
+            if _DIGIT(text):
+                text = _AMOUNT.sub(r"\g<0> ", text)
+            found = text.split()
+            chunks += found
+            counts.append(len(found))
+        hashes = np.fromiter(map(self.__getitem__, chunks), np.uint64, len(chunks))
+        owner = np.repeat(np.arange(len(texts)), counts)
+        kinds = (hashes & np.uint64(7)).astype(np.int8)
+        hashes &= np.uint64(2**64 - 8)  # a name is the same token as the word in lower case
         kept = kinds != _NOTHING
         if not kept.all():
-            hashes, kinds = hashes[kept], kinds[kept]
+            hashes, kinds, owner = hashes[kept], kinds[kept], owner[kept]
         units = np.flatnonzero(kinds == _UNIT)
         if len(units):
-            alone = units[(units == 0) | (kinds[units - 1] != _NUMBER)]
+            alone = units[(units == 0) | (kinds[units - 1] != _NUMBER) | (owner[units - 1] != owner[units])]
             kinds[alone] = _WORD
-        return hashes, kinds
+        return hashes, kinds, owner
 
 
 def rolled(values: np.ndarray, size: int, tag: int) -> np.ndarray:
@@ -127,31 +130,54 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 1 << 64))
 
 
-def windows_of(tokens: Tokens, text: str, sizes: list[int], bits: np.ndarray | None) -> list[tuple]:
-    """(pos, hash, kind, slot hashes) of the windows of a text, only those the filter ``bits`` lets through."""
-    hashes, kinds = tokens.of(text)
+def windows_of(tokens: Tokens, texts: list[str], sizes: list[int], bits: np.ndarray | None) -> Iterator[tuple]:
+    """(place of the text, pos, hash, kind, slot hashes) of the windows of some texts.
+
+    All texts are one run of tokens, from which windows across borders are left out. Only those that the
+    filter ``bits`` lets through are returned.
+    """
+    hashes, kinds, owner = tokens.of(texts)
+    start = np.searchsorted(owner, np.arange(len(texts)))
     slot = kinds != _WORD
-    slots = bool(slot.any())
-    if slots:
-        masked = np.where(slot, _SLOT_HASH[kinds], hashes)
-        slots_before = np.r_[0, np.cumsum(slot)]
-    found = []
+    masked = np.where(slot, _SLOT_HASH[kinds], hashes)
+    slots_before = np.r_[0, np.cumsum(slot)]
     for size in sizes:
         if len(hashes) < size:
             continue
-        for kind in (PLAIN, TEMPLATE) if slots else (PLAIN,):
-            h = rolled(hashes if kind == PLAIN else masked, size, kind)
+        for kind, values in ((PLAIN, hashes), (TEMPLATE, masked)):
+            h = rolled(values, size, kind)
             if bits is None:
                 passed = np.arange(len(h))
             else:
-                passed = np.flatnonzero((bits[h >> np.uint64(48)] >> (h & np.uint64(63))) & np.uint64(1))
+                word = bits[(h >> np.uint64(48)).view(np.int64)]
+                passed = np.flatnonzero((word >> (h & np.uint64(63))) & np.uint64(1))
+            passed = passed[owner[passed] == owner[passed + size - 1]]
             if kind == TEMPLATE:
                 in_window = slots_before[passed + size] - slots_before[passed]
                 passed = passed[(in_window > 0) & ((size - in_window) * WINDOW >= LITERAL * size)]
-            for p in passed:
+            at = owner[passed]
+            for p, text, pos, value in zip(
+                passed.tolist(), at.tolist(), (passed - start[at]).tolist(), h[passed].view(np.int64).tolist()
+            ):
                 own = hashes[p : p + size][slot[p : p + size]].view(np.int64).tolist() if kind == TEMPLATE else []
-                found.append((int(p), int(h[p].astype(np.int64)), kind, own))
-    return found
+                yield text, pos, value, kind, own
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
+    """Keys and texts of a batch, as many at a time as hold ``BLOCK`` characters, a longer text alone."""
+    keys, texts, held = [], [], 0
+    for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+        if not text.is_valid:
+            continue
+        text = text.as_py()
+        if texts and held + len(text) > BLOCK:
+            yield keys, texts
+            keys, texts, held = [], [], 0
+        keys.append(key)
+        texts.append(text)
+        held += len(text)
+    if texts:
+        yield keys, texts
 
 
 def windows(texts: DataFrame, sizes: list[int], bits: np.ndarray | None = None) -> DataFrame:
@@ -164,13 +190,10 @@ def windows(texts: DataFrame, sizes: list[int], bits: np.ndarray | None = None)
             ("key", pa.binary()), ("pos", pa.int32()), ("hash", pa.int64()), ("kind", pa.int32()), ("slots", pa.list_(pa.int64())),
         ])
         for batch in batches:
-            rows = [
-                (key, *window)
-                for key, text in zip(batch.column("key").to_pylist(), batch.column("text")) if text.is_valid
-                for window in windows_of(tokens, text.as_py(), sizes, held.value)
-            ]
-            columns = list(zip(*rows)) if rows else [[], [], [], [], []]
-            yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+            for keys, block in _blocks(batch):
+                rows = [(keys[at], *window) for at, *window in windows_of(tokens, block, sizes, held.value)]
+                columns = list(zip(*rows)) if rows else [[], [], [], [], []]
+                yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return texts.select("key", "text").mapInArrow(tidy(scan), HIT_SCHEMA)
 
@@ -179,7 +202,7 @@ def _n_tokens(text: Column) -> Column:
     @F.pandas_udf("int")
     def count(texts: pd.Series) -> pd.Series:
         tokens = Tokens()
-        return pd.Series([len(tokens.of(t or "")[0]) for t in texts], dtype="int32")
+        return pd.Series([len(tokens.of([t or ""])[0]) for t in texts], dtype="int32")
 
     return count(text)
 

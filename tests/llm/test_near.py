@@ -124,7 +124,7 @@ def template_brute(docs, items):
     def tokens(text):
         t = decontaminate.Tokens()
         spaced = decontaminate._AMOUNT.sub(r"\g<0> ", text)
-        kinds = t.of(text)[1].tolist()
+        kinds = t.of([text])[1].tolist()
         cores = [c for c in (decontaminate._CORE.sub("", x).lower() for x in spaced.split()) if c]
         assert len(kinds) == len(cores)
         return cores, kinds
@@ -184,6 +184,27 @@ def test_decontaminate_cases(odd_docs, no_docs, frame, prose):
     assert decontaminate.decontaminate(no_docs, items).count() == 0
 
 
+def test_windows_stay_inside_their_text(prose):
+    texts = ["", "7 km", "km and 7 km to the mill by 12 of us", prose(30, 1), "x", prose(9, 2), " \n", "kg a b 3 kg c d e f g h"]
+    tokens = decontaminate.Tokens()
+    together = sorted(decontaminate.windows_of(tokens, texts, [5, 8], None))
+    apart = sorted((i, *w[1:]) for i, t in enumerate(texts) for w in decontaminate.windows_of(tokens, [t], [5, 8], None))
+    assert together == apart and {w[0] for w in together} == {2, 3, 5, 7}
+
+
+def test_large_group_below_the_threshold_does_not_meet(frame, prose):
+    """Sets of one origin, each too far from the others: no candidates, and none for a group twice as large."""
+    rng = random.Random(4)
+    shingler = near_dedup.Shingler()
+    base = prose(200, 5)
+    sets = [shingler(changed(base, 8, rng)) for _ in range(120)]
+    close = [i for i in range(120) for j in range(i) if near_dedup.similar(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]), 80)]
+    assert not close
+    rows = [(bytes([i]), bytes([i]), bytearray(x.tobytes())) for i, x in enumerate(sets)]
+    schema = "class binary, component binary, shingles binary"
+    assert near_dedup.prefix_pairs(frame(rows, schema), 80).count() <= 12
+
+
 def test_windows_by_doubling():
     values = np.random.default_rng(1).integers(0, 2**63, 40, dtype=np.uint64)
     for size in range(1, 14):
