@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.common import document_key, stored, tidy
+from cantora.llm.common import stored, tidy
 from cantora.llm.components import connected_components
 
 SHINGLE = 5  # words
@@ -350,7 +350,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str | None = None)
 
 
 def one_of_each_group(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that head their group, all columns kept; of rows repeated whole, one."""
-    keyed = docs.withColumn("_key", document_key(docs))
+    """The rows of ``docs`` that head their group, all columns kept; of rows repeated whole, one.
+
+    Of several rows under the group's id, which may differ in other columns, the one of the least digest
+    over all columns stays, so a repeated task picks the same.
+    """
+    rest = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
+    others = [F.to_json(F.struct(*rest))] if rest else []
+    digest = F.unhex(F.md5(F.concat_ws("\0", docs["doc_id"].cast("string"), F.lit("|"), docs["text"], *others)))
+    keyed = docs.withColumn("_key", digest)
     kept = near_duplicates(keyed.select("doc_id", "text", "_key"), percent, key="_key").where("kept").select("_key").distinct()
     return keyed.dropDuplicates(["_key"]).join(kept, "_key", "left_semi").select(*[keyed[c] for c in docs.columns])

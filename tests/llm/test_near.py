@@ -116,6 +116,14 @@ def test_one_of_each_group(odd_docs, frame, crowd):
     assert {r["doc_id"] for r in kept.collect()} == heads
 
 
+def test_one_of_rows_that_differ_elsewhere(frame, prose):
+    text = prose(40, 1)
+    rows = [(1, text, "a", None), (1, text, "b", None), (1, text, "b", None), (2, text, "c", 1), (3, prose(40, 2), "d", 2)]
+    schema = "doc_id long, text string, source string, n long"
+    picks = [near_dedup.one_of_each_group(frame(r, schema)).collect() for r in (rows, rows[::-1])]
+    assert sorted(picks[0]) == sorted(picks[1]) and sorted(r["doc_id"] for r in picks[0]) == [1, 3]
+
+
 # decontamination
 
 
