@@ -22,18 +22,18 @@ from pyspark.sql import functions as F
 from cantora.llm.common import stored, tidy
 
 SAMPLE = 24_000  # labelled rows to fit on, the least hashes of their ids: a documented bound
-VOTERS = 3_000  # lexicon voters, those with the highest gain; bounds model, broadcast and fit
 SUPPORT = 5  # toxic texts that must hold a lexicon entry
 LIFT = 8.0  # times likelier on toxic texts than on others
 GAIN = 14.0  # log-likelihood gain over chance that an entry needs; chance passes once in e^14
 STEMS = (4, 5, 6)  # lengths of word stems
+BLOCK = 256  # voters whose correlations are held at once
 CACHE = 50_000  # words a worker remembers
 
-# Fixed patterns that vote beside the lexicon.
+# Fixed patterns that vote beside the lexicon: name, pattern, and what every text that matches holds.
 PATTERNS = (
-    ("insult", re.compile(r"\b(?:you|u)\s+(?:are|r)\s+(?:an?\s+|such\s+)?(?:idiot|moron|stupid|loser|scum|trash)\b", re.I)),
-    ("threat", re.compile(r"\b(?:kill|hurt|destroy)\s+(?:you|yourself|them)\b", re.I)),
-    ("masked", re.compile(r"\b[a-z]+\*{2,}[a-z]*\b", re.I)),
+    ("insult", re.compile(r"\b(?:you|u)\s+(?:are|r)\s+(?:an?\s+|such\s+)?(?:idiot|moron|stupid|loser|scum|trash)\b", re.I), ""),
+    ("threat", re.compile(r"\b(?:kill|hurt|destroy)\s+(?:you|yourself|them)\b", re.I), ""),
+    ("masked", re.compile(r"\b[a-z]+\*{2,}[a-z]*\b", re.I), "**"),
 )
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
@@ -69,7 +69,7 @@ class Scorer:
             if hit:
                 found.update(hit)
         if text:
-            found.update(self.voters[f"#{n}"] for n, p in PATTERNS if f"#{n}" in self.voters and p.search(text))
+            found.update(self.voters[f"#{n}"] for n, p, sign in PATTERNS if f"#{n}" in self.voters and sign in text and p.search(text))
         return sorted(found)
 
     def score(self, text: str | None) -> float:
@@ -77,16 +77,33 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))))
 
 
-def correlations(rows: np.ndarray, cols: np.ndarray, weight: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """Correlation of every two voters over rows of the given weights, where they ever speak together."""
+def correlations(rows: np.ndarray, cols: np.ndarray, weight: np.ndarray, rate: np.ndarray, low: int = 0, high: int | None = None) -> np.ndarray:
+    """Correlation of voters ``low`` to ``high`` (all) with every voter over rows of the given weights.
+
+    ``rows`` ascend, and ``cols`` within a row.
+    """
     size, total = len(rate), weight.sum()
-    both = np.zeros((size, size))
+    high = size if high is None else min(high, size)
+    both = np.zeros((high - low, size))
     starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, int)
     for at, end in zip(starts, np.r_[starts[1:], len(rows)].astype(int)):
         own = cols[at:end]
-        both[np.ix_(own, own)] += weight[rows[at]]
+        mine = own[np.searchsorted(own, low) : np.searchsorted(own, high)]
+        if len(mine):
+            both[np.ix_(mine - low, own)] += weight[rows[at]]
     spread = np.sqrt(rate * (1 - rate)) + 1e-9
-    return (both / total - np.outer(rate, rate)) / np.outer(spread, spread)
+    return (both / total - np.outer(rate[low:high], rate)) / np.outer(spread[low:high], spread)
+
+
+def trust_of(rows: np.ndarray, cols: np.ndarray, q: np.ndarray, on1: np.ndarray, on0: np.ndarray) -> np.ndarray:
+    """One over one plus the sum of a voter's correlations given the class; ``BLOCK`` rows of the matrix at a time."""
+    sums = np.zeros(len(on1))
+    for low in range(0, len(on1), BLOCK):
+        high = min(low + BLOCK, len(on1))
+        tied = np.maximum(correlations(rows, cols, q, on1, low, high), correlations(rows, cols, 1 - q, on0, low, high))
+        tied[np.arange(high - low), np.arange(low, high)] = 0
+        sums[low:high] = np.clip(tied - 0.1, 0, 1).sum(axis=1)
+    return 1.0 / (1.0 + sums)
 
 
 def label_model(votes: list[list[int]], labels: np.ndarray, size: int, rounds: int = 20) -> np.ndarray:
@@ -106,9 +123,7 @@ def label_model(votes: list[list[int]], labels: np.ndarray, size: int, rounds: i
         on1 = (np.bincount(cols, q[rows], size) + 0.05) / (total1 + 1)
         on0 = (np.bincount(cols, 1 - q[rows], size) + 0.05 * (total0 + 1) / (total1 + 1)) / (total0 + 1)
         if trust is None:  # the dependence structure is learned once, from the labels
-            tied = np.maximum(correlations(rows, cols, q, on1), correlations(rows, cols, 1 - q, on0))
-            np.fill_diagonal(tied, 0)
-            trust = 1.0 / (1.0 + np.clip(tied - 0.1, 0, 1).sum(axis=1))
+            trust = trust_of(rows, cols, q, on1, on0)
         speak = trust * np.log(on1 / on0)
         accuracy = np.clip(np.mean(np.where(labels == 1, q, 1 - q)), 0.6, 0.995)
         z = np.log(total1 / total0) + np.bincount(rows, speak[cols], len(votes))
@@ -156,7 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """Scorer fitted on the ``sample`` labelled rows whose ids hash lowest.
 
     The sample's ids are bounded, so they travel to the scan of the texts; no text of an unlabelled
-    document moves. A document labelled more than once is toxic if one label says so.
+    document moves. A document labelled more than once is toxic if one label says so; an id with several
+    texts teaches by the least of them, so the rows to fit on are as many as the ids at most. Every
+    entry beyond the thresholds is a voter.
     """
     spark = docs.sparkSession
     chosen = (
@@ -165,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
         .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = stored(docs.select("doc_id", "text").join(F.broadcast(stored(chosen)), "doc_id").select("text", "toxic"))
+    found = docs.select("doc_id", "text").join(F.broadcast(stored(chosen)), "doc_id")
+    rows = stored(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
@@ -184,9 +202,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     ).otherwise(0.0)
     entries = [
         r["entry"] for r in both.withColumn("gain", gain).where((F.col("on") * clean >= LIFT * F.col("off") * toxic) & (F.col("gain") >= GAIN))
-        .orderBy(F.desc("gain"), "entry").limit(VOTERS).collect()
+        .orderBy(F.desc("gain"), "entry").collect()
     ]
-    voters = {e: i for i, e in enumerate([*entries, *(f"#{n}" for n, _ in PATTERNS)])}
+    voters = {e: i for i, e in enumerate([*entries, *(f"#{n}" for n, *_ in PATTERNS)])}
     held = spark.sparkContext.broadcast(Scorer(voters, np.zeros(len(voters)), 0.0))
 
     @F.arrow_udf("array<int>")

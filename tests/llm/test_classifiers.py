@@ -98,6 +98,49 @@ def test_label_model_recovers_accuracies():
     assert tied[0, 4] > 0.99 and abs(tied[2, 3]) < 0.5
 
 
+def test_trust_equals_the_matrix(monkeypatch):
+    rng = np.random.default_rng(6)
+    fired = rng.random((500, 7)) < 0.3
+    fired[:, 3] = fired[:, 0] | (rng.random(500) < 0.1)
+    one = np.arange(500) % 3 == 0
+    dense = np.maximum(np.corrcoef(fired[one].T), np.corrcoef(fired[~one].T))
+    np.fill_diagonal(dense, 0)
+    rows, cols = np.nonzero(fired)
+    monkeypatch.setattr(toxicity, "BLOCK", 3)
+    trust = toxicity.trust_of(rows, cols, one.astype(float), fired[one].mean(axis=0), fired[~one].mean(axis=0))
+    assert np.allclose(trust, 1 / (1 + np.clip(dense - 0.1, 0, 1).sum(axis=1)), atol=1e-6) and trust[0] < 0.7
+
+
+def test_voters_equal_a_recount(frame):
+    import math
+
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}" for a in ("stone", "vile", "harbour", "grub", "lantern") for b in ("", "s", "er", "ing", "ly")]
+    texts = {i: [*rng.choice(words, 12), *(rng.choice(["vile", "viler", "grubs"], 2) if i % 9 == 0 else [])] for i in range(400)}
+    docs = frame([(i, " ".join(t) + ".") for i, t in texts.items()] + [(4, "zzz other text of a known id"), (7, None)], "doc_id long, text string")
+    labels = frame([(i, int(i % 9 == 0)) for i in range(400)] + [(9, 0)], "doc_id long, toxic int")
+    taught = {i: " ".join(t) + "." for i, t in texts.items() if crc(i, 5)}
+    held = {i: {e for w in t.split() for e in toxicity.entries_of(w)} for i, t in taught.items()}
+    toxic = sum(i % 9 == 0 for i in held)
+    share = toxic / len(held)
+    expected = set()
+    for e in set().union(*held.values()):
+        on, off = (sum(e in x for i, x in held.items() if (i % 9 == 0) == c) for c in (True, False))
+        if on >= toxicity.SUPPORT and on * (len(held) - toxic) >= toxicity.LIFT * off * toxic:
+            gain = on * math.log(on / ((on + off) * share)) + (off * math.log(off / ((on + off) * (1 - share))) if off else 0)
+            if gain >= toxicity.GAIN:
+                expected.add(e)
+    voters = set(toxicity.train(docs, labels).voters)
+    assert {v for v in voters if v[0] != "#"} == expected
+
+
+def test_an_id_on_many_rows_teaches_once(frame):
+    docs = frame([(1, f"text {i}") for i in range(50)] + [(2, "a b"), (3, "c d")], "doc_id long, text string")
+    labels = frame([(i, int(i == 1)) for i in (1, 2, 3)], "doc_id long, toxic int")
+    assert len(toxicity.train(docs, labels).voters) == len(toxicity.PATTERNS)
+    assert toxicity.toxicity(docs, labels).count() == 52
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
