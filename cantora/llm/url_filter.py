@@ -125,33 +125,44 @@ def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return best
 
 
+# Text that holds no tags: comments, and what is inside elements of raw text. Leftmost first, so a comment's
+# script and a script's comment both end where HTML ends them; unclosed ones run to the end.
+_NO_TAGS = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\z)"
+_TAG = r"""(?i)(<%s\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>)"""
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, to its closing quote or, without quotes, to the next blank; empty if absent."""
+    value = r"""(?i)\s%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>][^\s>]*))""" % name
+    return F.trim(F.concat(*(F.regexp_extract(tag, value, i) for i in (1, 2, 3))))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between the nodes of pages and of their canonical links and refresh redirects.
 
-    Both come from the whole html: every ``<link rel=canonical href=...>`` and every
-    ``<meta http-equiv=refresh content="n; url=...">``. Relative targets of every form are resolved
-    against the first ``<base href=...>``, where there is one, and the page's url.
+    Both come from the whole html but its comments, scripts and other raw text: every
+    ``<link rel=canonical href=...>`` and every ``<meta http-equiv=refresh content="n; url=...">``.
+    Relative targets of every form are resolved against the first ``<base href=...>``, where there is
+    one, and the page's url.
     """
-    html, url = F.coalesce(F.col("html"), F.lit("")), F.col("url")
-    links = F.when(html.rlike(r"(?i)canonical"), F.regexp_extract_all(html, F.lit(r"(?i)(<link\s[^>]*>)"), 1))
-    metas = F.when(html.rlike(r"(?i)http-equiv"), F.regexp_extract_all(html, F.lit(r"(?i)(<meta\s[^>]*>)"), 1))
-    attribute = r"""(?i)\s%s\s*=\s*["']?\s*([^"'\s>]+)"""
+    url = F.col("url")
+    named = pages.where(url.contains("://") & F.col("html").rlike(r"(?i)canonical|http-equiv"))
+    named = named.select("url", F.regexp_replace("html", _NO_TAGS, " ").alias("html"))
+    links, metas, bases = (F.regexp_extract_all("html", F.lit(_TAG % t), 1) for t in ("link", "meta", "base"))
     canonical = F.transform(
-        F.filter(links, lambda t: t.rlike(r"""(?i)\srel\s*=\s*["']?[^"'>]*\bcanonical\b""")),
-        lambda t: F.regexp_extract(t, attribute % "href", 1),
-    )
+        F.filter(links, lambda t: attribute(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")), lambda t: attribute(t, "href"))
+    refresh = r"""(?i)^[\d.\s]*[;,\s]\s*url\s*=\s*(?:"([^"]*)|'([^']*)|([^"'].*))"""
     redirects = F.transform(
-        F.filter(metas, lambda t: t.rlike(r"""(?i)\shttp-equiv\s*=\s*["']?refresh\b""")),
-        lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1),
+        F.filter(metas, lambda t: F.lower(attribute(t, "http-equiv")) == "refresh"),
+        lambda t: _with(attribute(t, "content"), lambda c: F.trim(F.concat(*(F.regexp_extract(c, refresh, i) for i in (1, 2, 3))))),
     )
-    targets = F.concat(F.coalesce(canonical, F.array()), F.coalesce(redirects, F.array()))
-    bases = F.when(html.rlike(r"(?i)<base\s"), F.regexp_extract_all(html, F.lit(r"(?i)(<base\s[^>]*>)"), 1))
-    base = F.get(F.filter(F.transform(bases, lambda t: F.regexp_extract(t, attribute % "href", 1)), lambda t: t != ""), F.lit(0))
+    targets = F.concat(canonical, redirects)
+    base = F.get(F.filter(F.transform(bases, lambda t: attribute(t, "href")), lambda t: t != ""), F.lit(0))
     plain = lambda text: F.replace(text, F.lit("&amp;"), F.lit("&"))
-    found = pages.where(url.contains("://")).select("url", plain(base).alias("base"), F.explode(targets).alias("target"))
+    found = named.select("url", plain(base).alias("base"), F.explode(targets).alias("target"))
     based = found.select("url", plain(F.col("target")).alias("target"), F.coalesce(resolved(F.col("base"), url), url).alias("base"))
-    named = _with(resolved(F.col("target"), F.col("base")), node_of)
-    return based.select(node_of(url).alias("a"), named.alias("b")).where("b IS NOT NULL").distinct()
+    target = _with(resolved(F.col("target"), F.col("base")), node_of)
+    return based.select(node_of(url).alias("a"), target.alias("b")).where("b IS NOT NULL").distinct()
 
 
 def redirect_filter(

@@ -105,3 +105,17 @@ def test_relative_aliases_share_verdicts(frame):
     moved = frame([("http://x.org/a/1", "../b")], "source string, target string")
     one = frame([(1, "http://x.org/a/1", link("http://bad.net/")), (2, "http://x.org/b", "")], "page_id long, url string, html string")
     assert {r["verdict"] for r in url_filter.redirect_filter(one, redirects=moved).collect()} == {"block"}
+
+
+def test_only_real_tags_make_edges(frame):
+    bad = "http://bad.net/1"
+    html = {
+        1: f"<!-- {link(bad)} -->", 2: f"<script>var a = '{link(bad)}';</script>", 3: f"<script>/* <!-- */</script>{link(bad)}",
+        4: f"<style>{link(bad)}", 5: f"<title>{link(bad)}</title>", 6: f"<!-- <script> -->{link(bad)}", 7: f"<scripted>{link(bad)}",
+        8: f"<link rel=canonical title='a > b' href = {bad} >", 9: "<link rel='canonical' href='http://bad.net/a b'>",
+        10: "<meta content='0;URL=\"http://bad.net/a b\"' http-equiv=refresh>", 11: "<link rel='not-canonical' href=http://bad.net/>",
+        12: "<link rel='alternate canonical' href=' http://bad.net/x '>", 13: "<!--" * 50_000 + link(bad), 14: "<link " * 50_000,
+    }
+    pages = frame([(i, f"http://x.org/{i}", h) for i, h in html.items()], "page_id long, url string, html string")
+    got = {int(r["a"].rpartition("/")[2]): r["b"] for r in url_filter.page_links(pages).collect()}
+    assert got == {3: "bad.net/1", 6: "bad.net/1", 7: "bad.net/1", 8: "bad.net/1", 9: "bad.net/a b", 10: "bad.net/a b", 12: "bad.net/x"}
