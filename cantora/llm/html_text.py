@@ -42,6 +42,11 @@ AMBIGUOUS = frozenset("""
 banner comment cookie cookies header login menu navigation notice notices overlay promotion related share sharing skip social
 """.split())
 SURE_NAMES = frozenset("ad ads advert adverts advertisement advertising comments disqus sponsored".split())
+# Names of parts of an article that are no text of it, unless they hold the most of it; of articles beside the main one;
+# and what follows "comment" in the name of a place for comments.
+PART_NAMES = frozenset("newsletter notice notices promo promoted promotion sidebar signup subscribe".split())
+OTHER_ARTICLES = frozenset("ad ads advert advertisement comment comments promo promoted related sponsored".split())
+COMMENT_PLACES = frozenset("area box form list section thread".split())
 OWN_NAMES = frozenset("header notice notices".split())  # of parts of an article itself
 LAYOUT_NAMES = frozenset("has no with without".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
@@ -68,6 +73,7 @@ class Block:
     main: bool  # inside the article
     suspect: int = -1  # the innermost element that its name alone makes boilerplate only on evidence
     label: str = ""  # good, bad, short or unsure
+    prose: bool = False  # a heading or paragraph of the article
 
 
 @dataclass
@@ -75,22 +81,26 @@ class Suspect:
     """What an element holds, whose name is that of boilerplate but may be that of a part of the article."""
 
     outer: int
-    short_too: bool  # few characters are evidence as well as links
+    kind: str  # evidence beside links: few characters (short), or less than half of the text (part)
     chars: int = 0
     linked: int = 0
     heading: bool = False
 
 
 def _verdict(tag: str, attrs: str, main: bool) -> str | None:
-    """What the names of an element make of it: ``bad``, ``linked`` or ``short`` (bad if so), or nothing.
+    """What the names of an element make of it: ``bad``, ``linked``, ``short`` or ``part`` (bad if so), or nothing.
 
     A class that is the name of boilerplate is bad, and outside the article also a class or id that ends
     in one (user-comments), unless that is an ordinary word; other parts of names need evidence. Inside
-    the article only whole classes count, and but for the surest they need evidence; so do only the
-    surest for headings and paragraphs.
+    the article only whole classes, adverts (ad-slot) and places for comments (comment-list) count, and but
+    for the surest they need evidence; so do only the surest for headings and paragraphs. An article of
+    its own class (related) is a part too.
     """
-    if not attrs or "=" not in attrs or tag in NEVER_BAD:
+    if not attrs or "=" not in attrs or tag in NEVER_BAD and tag != "article":
         return None
+    if tag == "article":
+        classes = (a or b or c for key, a, b, c in _NAMING.findall(attrs) if key.lower() == "class")
+        return "part" if any(x in OTHER_ARTICLES for value in classes for x in value.lower().split()) else None
     found = None
     for key, a, b, c in _NAMING.findall(attrs):
         key, value = key.lower(), (a or b or c).lower()
@@ -100,6 +110,14 @@ def _verdict(tag: str, attrs: str, main: bool) -> str | None:
             continue
         for token in value.split():
             parts = [x for x in _WORD_BREAK.split(token) if x]
+            block = tag in BLOCK_TAGS and tag != "p" and tag not in HEADINGS
+            if main and block and parts and LAYOUT_NAMES.isdisjoint(parts):
+                place = parts[0] == "comment" and len(parts) == 2 and parts[1] in COMMENT_PLACES
+                if place or "comments" in (parts[0], parts[-1]) or token == "commentlist":
+                    return "bad"
+                if len(parts) > 1 and parts[0] in ("ad", "ads", "advert") or key == "class" and token in PART_NAMES:
+                    found = "part"
+                    continue
             bad = [x for x in parts if x in BAD_NAMES]
             if not bad or not LAYOUT_NAMES.isdisjoint(parts):
                 continue
@@ -134,8 +152,9 @@ def blocks_of(page: str) -> list[Block]:
     total = sum(len(b.text) for b in blocks if not b.boilerplate)
     confirmed: list[bool] = []
     for x in suspects:
-        few = x.short_too and not x.heading and x.chars < SHORT and 2 * x.chars < total
-        confirmed.append(few or x.linked > 0 and x.linked >= LINKED * x.chars or x.outer >= 0 and confirmed[x.outer])
+        minor = 2 * x.chars < total
+        few = x.kind == "short" and not x.heading and x.chars < SHORT
+        confirmed.append(minor and (few or x.kind == "part") or x.linked > 0 and x.linked >= LINKED * x.chars or x.outer >= 0 and confirmed[x.outer])
     for b in blocks:
         b.boilerplate |= b.suspect >= 0 and confirmed[b.suspect]
     return blocks
@@ -146,6 +165,7 @@ def _blocks(page: str, suspects: list[Suspect]) -> Iterator[Block]:
     parts: list[str] = []
     linked, in_link = 0, 0
     at, size = 0, len(page)
+    muted = -1  # place on the stack of an inline element (a button, an advert) whose text is left out of its block
 
     def state() -> tuple[bool, bool, int]:
         return stack[-1][1:] if stack else (False, False, -1)
@@ -154,13 +174,15 @@ def _blocks(page: str, suspects: list[Suspect]) -> Iterator[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            yield Block(text, min(linked, len(text)), *state())
+            around = stack if muted < 0 else stack[:muted]
+            tag, bad, main, suspect = around[-1] if around else ("", False, False, -1)
+            yield Block(text, min(linked, len(text)), bad, main, suspect, prose=main and (tag == "p" or tag in HEADINGS))
         parts.clear()
         linked = 0
 
     def take(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and muted < 0:
             parts.append(piece)
             if in_link:
                 linked += len(" ".join(html.unescape(piece).split()))
@@ -182,12 +204,15 @@ def _blocks(page: str, suspects: list[Suspect]) -> Iterator[Block]:
         if tag == "br":
             take("\n")
             continue
-        if tag in BLOCK_TAGS or tag in RAW_TAGS and tag not in INLINE_RAW:
+        if muted < 0 and (tag in BLOCK_TAGS or tag in RAW_TAGS and tag not in INLINE_RAW):
             yield from flush()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
+                    if i < muted:  # the element around it ends
+                        yield from flush()
                     del stack[i:]
+                    muted = muted if muted < i else -1
                     break
                 if stack[i][0] in MAIN_TAGS and tag not in ("html", "body"):
                     break  # a stray end tag inside the article does not end it
@@ -213,11 +238,11 @@ def _blocks(page: str, suspects: list[Suspect]) -> Iterator[Block]:
         verdict = None if bad else _verdict(tag, attrs, main)
         here = bad or tag in BAD_TAGS or tag == "header" and not main or verdict == "bad"
         if verdict and not here:
-            suspects.append(Suspect(suspect, verdict == "short"))
+            suspects.append(Suspect(suspect, verdict))
             suspect = len(suspects) - 1
         if tag in BLOCK_TAGS or here != bad:  # other inline elements change nothing
             if here != bad and tag not in BLOCK_TAGS:
-                yield from flush()
+                muted = len(stack)
             stack.append((tag, here, main or tag in MAIN_TAGS, suspect))
     yield from flush()
 
@@ -230,7 +255,8 @@ def _stops(text: str) -> tuple[int, int]:
 def classify(blocks: list[Block]) -> None:
     """First pass: what a block shows by itself. Second pass: undecided ones follow decided neighbours.
 
-    By itself, a block is bad inside boilerplate or when mostly links. Else short ones are undecided, and
+    By itself, a block is bad inside boilerplate or when mostly links; headings and paragraphs of the article
+    may be links. Else short ones are undecided, and
     long ones are good by their stop words, or undecided too. A page whose long texts together hold
     hardly any is in a language without a list: there, long ones are good.
 
@@ -243,7 +269,7 @@ def classify(blocks: list[Block]) -> None:
     article; outside it bad; on a page without one, long ones are good, and short ones when no block of
     the page is good.
     """
-    free = [not b.boilerplate and b.linked < LINKED * len(b.text) for b in blocks]
+    free = [not b.boilerplate and (b.prose or b.linked < LINKED * len(b.text)) for b in blocks]
     stops = [_stops(b.text) if f and len(b.text) >= SHORT else (0, 0) for b, f in zip(blocks, free)]
     known = sum(n for n, _ in stops) >= POOR * sum(words for _, words in stops)
     rich = [words > 0 and (not known or n >= RICH * words) for n, words in stops]

@@ -103,3 +103,38 @@ def test_junk_of_pages_without_article(junk):
 def test_text_of_formulas():
     formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>x = {1}</annotation></math>"
     assert html_text.main_text(f"<article><p>{RUN}Here {formula} holds.</p></article>") == RUN + "Here x=1 holds."
+
+
+@pytest.mark.parametrize("open_tag", [
+    '<div class="reader-comments">', '<ol class="comment-list">', '<ol class="commentlist">', '<div id="comments">', '<section class="comments-area">',
+    '<div class="notice">', '<div class="sidebar">', '<div class="newsletter">', '<div class="promo">', '<div class="ad-slot">',
+    '<article class="related">', '<article class="post comment">',
+])
+def test_named_parts_of_the_article_go(open_tag):
+    tag = open_tag[1:].split()[0]
+    page = f"<article><p>{RUN * 3}</p>{open_tag}<p>{RUN}</p></{tag}><p>{RUN * 2}</p></article>"
+    assert html_text.main_text(page) == f"{(RUN * 3).strip()}\n{(RUN * 2).strip()}"
+
+
+@pytest.mark.parametrize("open_tag", [
+    '<div class="notice">', '<div class="sidebar">', '<article class="related">', '<div class="comment-on-method">', '<div class="has-comments">',
+    '<div class="adaptation">', '<section class="commentary">',
+])
+def test_names_that_hold_the_article_stay(open_tag):
+    tag = open_tag[1:].split()[0]
+    assert html_text.main_text(f"<article>{open_tag}<p>{RUN * 3}</p></{tag}><p>{RUN}</p></article>") == f"{(RUN * 3).strip()}\n{RUN.strip()}"
+
+
+@pytest.mark.parametrize("inner", [
+    "<button>Share this</button>", '<span class="ad">Buy <b>now</b></span>', "<select><option>one</option></select>", '<em class="ad"><a href=x>Buy</a></em>',
+])
+def test_inline_controls_and_adverts_leave_the_paragraph_whole(inner):
+    start, end = RUN.strip(), (RUN * 2).strip()
+    assert html_text.main_text(f"<article><p>{start} {inner} {end}</p><p>{end}</p></article>") == f"{start} {end}\n{end}"
+    unclosed = f"<article><p>{start} <span class='ad'>Buy</p><p>{end}</p></article>"
+    assert html_text.main_text(unclosed) == f"{start}\n{end}"
+
+
+def test_linked_headings_and_paragraphs_stay():
+    page = f"<article><h1><a href=x>Title</a></h1><p>{RUN * 2}</p><p>Source: <a href=y>the book itself</a></p><ul><li><a href=z>menu</a></li></ul></article>"
+    assert html_text.main_text(page) == f"Title\n{(RUN * 2).strip()}\nSource: the book itself"
