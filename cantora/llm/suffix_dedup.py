@@ -39,11 +39,12 @@ from cantora.llm.decontaminate import rolled
 LENGTH = 50  # bytes of a string that counts as repeated
 SEED = 20  # bytes of a sampled string
 REACH = LENGTH - SEED + 1  # places among which one is sampled
-GROUP_BYTES = 1 << 20  # text looked at at once; places in it take 20 bits
+GROUP_BYTES = 1 << 18  # text looked at at once; places in it take 18 bits
 LOCAL_BYTES = 4 << 20  # text whose suffixes a task settles among themselves
 RANK_BUCKET_BYTES = 32 << 20  # text per bucket of sampled strings
 SUFFIX_BUCKET_BYTES = 8 << 20  # text per bucket of suffixes
-SORT_AT_ONCE = 1 << 20  # suffixes
+SORT_AT_ONCE = 1 << 18  # suffixes
+HASH_AT_ONCE = 1 << 18  # bytes of a bucket
 
 _LAST = (1 << 63) - 1  # stands for a null doc_id
 _BYTES = np.random.default_rng(12).integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
@@ -57,9 +58,12 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All places of the given stretches, one stretch after the other."""
+    """All places of the given stretches, one stretch after the other; in four bytes each where they fit."""
     before = np.cumsum(lengths) - lengths
-    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+    kind = np.int32 if not len(starts) or max(starts.max(), before[-1]) + lengths.max() < 1 << 31 else np.int64
+    found = np.repeat((starts - before).astype(kind), lengths)
+    found += np.arange(len(found), dtype=kind)
+    return found
 
 
 def _short(ranks: np.ndarray) -> bytes:
@@ -260,22 +264,35 @@ class Suffixes:
         return Suffixes(buf, n, rank.view(np.uint64), doc, digest, place)
 
     def settled(self) -> np.ndarray:
-        """For each suffix whether its first ``LENGTH`` bytes are also those of a suffix with a smaller id."""
+        """For each suffix whether its first ``LENGTH`` bytes are also those of a suffix with a smaller id.
+
+        Seventeen bytes a suffix are held throughout; what takes more is done a stretch of bytes or a share of the
+        suffixes at a time.
+        """
         lengths = self.n
         order = np.argsort(self.doc, kind="stable")  # so the first of equal suffixes has the smallest id
-        at = _ragged(self.begins()[order], lengths[order])
-        doc = np.repeat(self.doc[order], lengths[order])
-        keys = rolled(_BYTES[self.buf], LENGTH, 2)[at]
-        words = np.ndarray((len(self.buf) - 7,), "<u8", self.buf.tobytes(), 0, (1,))
+        by_doc = self.pick(order)
+        buf, at = by_doc.buf, _ragged(by_doc.begins(), by_doc.n)
+        of = np.repeat(np.arange(len(order), dtype=np.int32), by_doc.n)
+        keys = np.empty(len(at), np.uint64)
+        for start in range(0, len(buf) - LENGTH + 1, HASH_AT_ONCE):
+            a, b = np.searchsorted(at, (start, start + HASH_AT_ONCE))
+            if a < b:
+                hashes = rolled(_BYTES[buf[start : start + HASH_AT_ONCE + LENGTH - 1]], LENGTH, 2)
+                keys[a:b] = hashes[at[a:b] - start]
+        words = np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))
         found = np.zeros(len(at), bool)
-        parts = -(-len(at) // SORT_AT_ONCE)
-        for part in range(parts):  # a share of the bucket at a time
-            own = np.flatnonzero(keys % np.uint64(parts) == part) if parts > 1 else np.arange(len(at))
+        parts = min(-(-len(at) // SORT_AT_ONCE), 1 << 16)
+        share = ((keys >> np.uint64(16)) % np.uint64(max(parts, 1))).astype(np.uint16)
+        for part in range(parts):
+            own = np.flatnonzero(share == part).astype(np.int32)
+            if not len(own):
+                continue
             by_key = own[np.argsort(keys[own], kind="stable")]
             sorted_ = keys[by_key]
             new = np.r_[True, sorted_[1:] != sorted_[:-1]]
             first = by_key[new][np.cumsum(new) - 1]
-            later = doc[by_key] > doc[first]
+            later = by_doc.doc[of[by_key]] > by_doc.doc[of[first]]
             a, b = by_key[later], first[later]
             same = np.ones(len(a), bool)
             for step in (*range(0, LENGTH - 8, 8), LENGTH - 8):
@@ -283,9 +300,9 @@ class Suffixes:
             found[a[same]] = True
             if not same.all():  # different strings with one key
                 held: dict[bytes, int] = {}
-                for i in np.flatnonzero(np.isin(keys, keys[a[~same]])).tolist():
-                    string = self.buf[at[i] : at[i] + LENGTH].tobytes()
-                    found[i] = held.setdefault(string, int(doc[i])) < doc[i]
+                for i in own[np.isin(keys[own], keys[a[~same]])].tolist():
+                    string, doc = buf[at[i] : at[i] + LENGTH].tobytes(), int(by_doc.doc[of[i]])
+                    found[i] = held.setdefault(string, doc) < doc
         out = np.zeros(len(at), bool)
         begins = np.cumsum(lengths) - lengths
         out[_ragged(begins[order], lengths[order])] = found
@@ -293,7 +310,7 @@ class Suffixes:
 
     def stretches(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of chosen suffixes: (stretch, suffixes before the run, length of the run)."""
-        of = np.repeat(np.arange(len(self.n)), self.n)
+        of = np.repeat(np.arange(len(self.n), dtype=np.int32), self.n)
         edge = np.r_[True, of[1:] != of[:-1]]
         starts = np.flatnonzero(chosen & (edge | ~np.r_[False, chosen[:-1]]))
         stops = np.flatnonzero(chosen & np.r_[edge[1:] | ~chosen[1:], True])

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -82,6 +83,23 @@ def test_strings_with_one_key_are_compared(frame, prose, monkeypatch):
     assert found.tolist() == want
 
 
+def test_a_bucket_is_sorted_in_little_memory():
+    """Stretches of 65 bytes, the usual ones of a bucket: what sorting takes stays a few times their bytes."""
+    rng = np.random.default_rng(3)
+    m = 60_000
+    buf = rng.integers(97, 123, (m // 4, 65), dtype=np.uint8)[rng.integers(0, m // 4, m)].reshape(-1)
+    zero = np.zeros(m, np.int64)
+    bucket = S.Suffixes(buf, np.full(m, 16), zero.view(np.uint64), np.arange(m), zero, zero)
+    tracemalloc.start()
+    try:
+        found = bucket.settled()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert 0 < found.sum() < len(found)
+    assert peak < 16 * len(buf), peak
+
+
 def test_every_string_has_a_place_and_equal_strings_the_same(prose):
     text = (prose(300, 1) + prose(40, 2) + "x" + prose(40, 2)).encode()
     (_, s), = S.groups([text])
