@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.metrics import is_stopword, word_tokens
+from cantora.functions.text import let
 from cantora.functions.wordlists import STOPWORDS
 
 
@@ -26,6 +27,34 @@ def track_words(lyrics: DataFrame, key: str = "track_id", stopwords: Sequence[st
     return words(lyrics, key, stopwords).groupBy(key, "word").agg(F.count(F.lit(1)).alias("count"))
 
 
+def packed_counts(lyrics: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
+    """``lyrics`` with ``words`` (the different words that count, sorted, joined by spaces) and ``counts`` for ``text``.
+
+    Row-local: where every track has one row, its words need no shuffle to be counted. The sorted words
+    are cut where one differs from the one before it. Rows without such words drop out.
+    """
+    kept = [c for c in lyrics.columns if c != "text"]
+    found = F.filter(word_tokens(F.coalesce("text", F.lit(""))), lambda w: ~is_stopword(w, stopwords))
+
+    def runs(words: Column) -> Column:
+        cuts = F.filter(
+            F.sequence(F.lit(0), F.size(words) - 1), lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+        return let(cuts, lambda begins: F.struct(
+            F.array_join(F.transform(begins, lambda i: F.get(words, i)), " ").alias("words"),
+            F.transform(begins, lambda i, n: F.coalesce(F.get(begins, n + 1), F.size(words)) - i).alias("counts")))
+
+    counted = let(F.sort_array(found), lambda words: F.when(F.size(words) > 0, runs(words)))
+    rows = lyrics.select(*kept, F.explode(F.array(counted)).alias("__w")).where(F.col("__w").isNotNull())
+    return rows.select(*kept, "__w.words", "__w.counts")
+
+
+def unpacked_counts(packed: DataFrame) -> DataFrame:
+    """Rows of ``packed_counts`` as one row a word: the other columns, word and count."""
+    kept = [c for c in packed.columns if c not in ("words", "counts")]
+    pairs = F.arrays_zip(F.split("words", " ").alias("word"), F.col("counts").alias("count"))
+    return packed.select(*kept, F.inline(pairs).alias("word", "count")).withColumn("count", F.col("count").cast("bigint"))
+
+
 def album_words(per_track: DataFrame, tracks: DataFrame) -> DataFrame:
     """(album, word, count): the track counts summed per album id."""
     track_album = tracks.select(F.col("id").alias("track_id"), "album_id")

@@ -2,12 +2,13 @@
 
 A table has a key, and the partition of a row is a hash of it modulo a fixed number. A change hands over
 whole new contents of some partitions of some tables. They are written aside first, all of them, and then
-replace the old ones by a dynamic partition overwrite; a run that stopped in between is finished by the next.
+take the place of the old ones folder by folder, without being written again; a run that stopped in between
+is finished by the next.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,14 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(found, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, found = _path(spark, source)
+    place = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(found, place):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 @dataclass(frozen=True)
 class PartitionedTables:
     """Tables below ``root``, each with the key that names its partitions (never NULL)."""
@@ -45,16 +54,29 @@ class PartitionedTables:
     def part(self, table: str) -> Column:
         return F.pmod(F.xxhash64(F.col(self.keys[table])), F.lit(self.parts)).cast("int")
 
-    def _write(self, rows: DataFrame, table: str, path: str, **options: str) -> None:
-        # one file a partition, or a few where adaptive execution splits a large one: not one per task
-        placed = rows.withColumn(PART, self.part(table)).hint("rebalance", F.col(PART))
-        placed.write.mode("overwrite").options(**options).partitionBy(PART).parquet(path)
+    def placed(self, rows: DataFrame, table: str) -> DataFrame:
+        """``rows`` with their partition, dealt out so that each makes one file, or a few where adaptive execution splits it."""
+        return rows.withColumn(PART, self.part(table)).hint("rebalance", F.col(PART))
+
+    def summed(self, rows: DataFrame, table: str, keys: Sequence[str], value: str) -> DataFrame:
+        """Sums of ``value`` by ``keys``, the table's key among them, already placed: one shuffle for both."""
+        parts = rows.withColumn(PART, self.part(table)).repartition(PART)
+        return parts.groupBy(PART, *keys).agg(F.sum(value).alias(value))
+
+    def _write(self, rows: DataFrame, table: str, path: str) -> None:
+        if PART not in rows.columns:
+            rows = self.placed(rows, table)
+        rows.write.mode("overwrite").partitionBy(PART).parquet(path)
 
     def create(self, frames: Mapping[str, DataFrame]) -> None:
-        """Write the tables anew."""
+        """Write the tables anew. Rows with a column ``part`` are taken as placed, here and in ``replace``."""
         for table, rows in frames.items():
             self._write(rows, table, self.path(table))
 
+    def stored(self, spark: SparkSession, table: str, touched: Sequence[int]) -> DataFrame:
+        """Some partitions of a table, with their numbers: rows that lie where they are to be written need no shuffle."""
+        return spark.read.parquet(self.path(table)).where(F.col(PART).isin(list(touched)))
+
     def read(self, spark: SparkSession, table: str, touched: Sequence[int] | None = None) -> DataFrame:
         """A table, or only some of its partitions: the filter prunes folders, not rows."""
         rows = spark.read.parquet(self.path(table))
@@ -85,13 +107,13 @@ class PartitionedTables:
             plan = spark.read.parquet(f"{aside}/plan").collect()  # tables x partitions at most
             for table in self.keys:
                 parts = [r for r in plan if r["name"] == table]
-                if any(r["filled"] for r in parts):
-                    new = spark.read.parquet(f"{aside}/{table}")
-                    (
-                        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                        .partitionBy(PART).parquet(self.path(table))
-                    )
                 for r in parts:
+                    new, old = (f"{x}/{PART}={r['part']}" for x in (f"{aside}/{table}", self.path(table)))
                     if not r["filled"]:
-                        delete(spark, f"{self.path(table)}/{PART}={r['part']}")
+                        delete(spark, old)
+                    elif exists(spark, new):  # else a stopped run has moved it
+                        delete(spark, old)
+                        move(spark, new, old)
+                if parts:
+                    spark.catalog.refreshByPath(self.path(table))
         delete(spark, aside)

@@ -155,3 +155,26 @@ def test_sync_finds_the_changes_itself(spark, tmp_path):
     other.build(lyrics(spark, texts))
     assert content(marts, spark) == content(other, spark)
     assert len(before - files_of(marts.root)) < len(before) / 3
+
+
+def test_words_of_a_track_are_counted_without_a_shuffle(spark):
+    texts = {1: (1, "river rain river the River"), 2: (1, None), 3: (2, ""), 4: (2, "the of"), 5: (2, "don't stop, don't\nstop now")}
+    rows = lyrics(spark, texts)
+    got = wordfreq.unpacked_counts(wordfreq.packed_counts(rows.drop("album_id")))
+    want = wordfreq.track_words(rows)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_new_contents_are_written_once(spark, tmp_path, monkeypatch):
+    """What has been written aside takes its place as it is."""
+    marts = LyricsMarts(str(tmp_path / "marts"), parts=8)
+    marts.build(lyrics(spark, texts_at_first()))
+    rows = spark.createDataFrame([(1, 1, "quite different", False, 1)], DDL)
+    with monkeypatch.context() as m:
+        m.setattr(partitioned.PartitionedTables, "recover", lambda self, spark: None)
+        marts.apply(rows)
+    aside = {n for d, _, ns in os.walk(f"{marts.root}/next") if "part=" in d for n in ns if n.startswith("part-")}
+    marts.tables.recover(spark)
+    assert aside and aside <= {os.path.basename(f) for f in files_of(marts.root)}
