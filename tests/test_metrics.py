@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cantora.functions import metrics as M
 from cantora.functions import sentiment as S
@@ -176,3 +177,14 @@ def test_lexicon_file(spark, tmp_path):
     assert rules.valence == {"zig": 2.5, ":)": 2.0, "zag'z": -1.5}
     got = run_many(spark, lambda x: S.compound("x", rules), ["zig", ":)", "zag'z", "good"])
     assert got[0] > 0 and got[1] > 0 and got[2] < 0 and got[3] == 0.0
+
+
+def test_fused_words_are_parted_and_looked_for_by_plain_search(spark):
+    texts = ["I CANNOT go", "gimme gonna gotta lemme wanna", "cannots scannot", "ice--cold a-b c..d ''x'' 1,2 a,b 3:4 a: “q”„r‘s’", "plain words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = rows.select("i", M.word_tokens(F.col("text")).alias("w"))
+    assert [r["w"] for r in found.orderBy("i").collect()] == [
+        ["i", "can", "not", "go"], ["gim", "me", "gon", "na", "got", "ta", "lem", "me", "wan", "na"], ["cannots", "scannot"],
+        ["ice", "cold", "c", "d", "x", "a", "b", "a", "q", "r", "s"], ["plain", "words"],
+    ]
+    assert "contains" in found._jdf.queryExecution().optimizedPlan().toString().lower()
