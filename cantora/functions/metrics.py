@@ -79,9 +79,11 @@ def syllables(plain: Column, n_words: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Sentences of more than two words, at least one."""
     longer = r"(?:[^\s\p{Z}]+[\s\p{Z}]+){2}[^\s\p{Z}]"
+    # A sentence that begins with three words of letters and digits keeps them: it needs no copy without marks.
+    plain = r"^(?:[\p{L}\p{N}_]+[\s\p{Z}]+){2}[\p{L}\p{N}_]"
     found = F.filter(
         F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)),
-        lambda s: F.regexp_replace(s, PUNCTUATION, "").rlike(longer),
+        lambda s: s.rlike(plain) | F.regexp_replace(s, PUNCTUATION, "").rlike(longer),
     )
     return F.greatest(F.size(found), F.lit(1)).cast("bigint")
 

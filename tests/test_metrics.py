@@ -188,3 +188,11 @@ def test_fused_words_are_parted_and_looked_for_by_plain_search(spark):
         ["ice", "cold", "c", "d", "x", "a", "b", "a", "q", "r", "s"], ["plain", "words"],
     ]
     assert "contains" in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_sentences_that_begin_with_three_words_need_no_copy(spark):
+    texts = ["One two three. Four five", "a, b c. - d e", "a - b. it's so here! x y? 1 2 3", "a .b c d", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = rows.select("i", M.sentences(F.col("text")).alias("n"))
+    assert [r["n"] for r in found.orderBy("i").collect()] == [1, 1, 2, 1, 1]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("rlike") == 2
