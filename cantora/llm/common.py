@@ -71,7 +71,7 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
     )
 
 
-Batches = Iterator[pa.RecordBatch]
+Batches = Iterator[pa.RecordBatch] | Iterator[pa.Array]
 
 
 def tidy(scan: Callable[[Batches], Batches], *caches: Callable[[], None]) -> Callable[[Batches], Batches]:

@@ -207,22 +207,8 @@ def _n_tokens(text: Column) -> Column:
     return count(text)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item it holds: key, doc_id, item_id, n_matched, n_windows, templated.
-
-    ``docs`` has (doc_id, text), ``benchmark`` (item_id, text). n_matched counts the distinct windows of
-    the item found, at least ``MATCHED`` or all of them; templated says that some were found only with
-    other numbers, names or units.
-
-    A filter of fixed size, built from the hashes of the benchmark, is all the scan of the texts needs;
-    what passes goes to the hash join, which is exact and which adaptive execution splits where many
-    documents hold one passage.
-
-    Defined cases: NULL or empty texts hold nothing; items of fewer than ``SHORTEST`` tokens are left
-    out, and one shorter than a window is a window of its own length; a NULL doc_id or item_id is
-    reported as such; repeated rows, and items repeated under one id, are reported once; an empty table
-    on either side gives no rows; further columns are ignored.
-    """
+def held_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document key and benchmark item it holds: key, item_id, n_matched, n_windows, templated."""
     spark = docs.sparkSession
     items = benchmark.where("text IS NOT NULL").select("item_id", "text").withColumn("n", _n_tokens(F.col("text"))).where(
         f"n >= {SHORTEST}"
@@ -233,8 +219,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for size in sizes:
         parts.append(windows(keyed.where(F.col("size") == size), [size]))
     if not parts:
-        return spark.createDataFrame([], f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id "
-                                         f"{benchmark.schema['item_id'].dataType.simpleString()}, n_matched long, n_windows int, templated boolean")
+        return spark.createDataFrame([], f"key binary, item_id {benchmark.schema['item_id'].dataType.simpleString()}, "
+                                         "n_matched long, n_windows int, templated boolean")
     theirs = parts[0]
     for p in parts[1:]:
         theirs = theirs.union(p)
@@ -250,7 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).toLocalIterator():
         bits[r["word"]] = np.int64(r["bits"]).astype(np.uint64)
 
-    rows = docs.select("doc_id", "text").withColumn("key", document_key(docs))
+    rows = docs.select("text", document_key(docs).alias("key"))
     hits = stored(windows(rows.where("text IS NOT NULL"), sizes, bits))
     met = hits.join(theirs, ["hash", "kind"])
     spot = ["key", "item_key", "item_id", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift")]
@@ -264,7 +250,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     consistent = slotted.join(clashes, place, "left_anti").select(
         *[c if isinstance(c, str) else "shift" for c in spot], "item_pos", F.lit(True).alias("templated")
     )
-    found = (
+    return (
         plain.union(consistent)
         .groupBy("key", "item_key", "item_id", "n_windows", "item_pos").agg(F.min("templated").alias("templated"))
         .groupBy("key", "item_key", "item_id", "n_windows").agg(F.count("*").alias("n_matched"), F.max("templated").alias("templated"))
@@ -272,11 +258,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("key", "item_id").agg(
             F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows"), F.max("templated").alias("templated"))
     )
-    ids = rows.select("key", "doc_id").join(found.select("key").distinct(), "key", "left_semi").distinct()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document and benchmark item it holds: key, doc_id, item_id, n_matched, n_windows, templated.
+
+    ``docs`` has (doc_id, text), ``benchmark`` (item_id, text). n_matched counts the distinct windows of
+    the item found, at least ``MATCHED`` or all of them; templated says that some were found only with
+    other numbers, names or units.
+
+    A filter of fixed size, built from the hashes of the benchmark, is all the scan of the texts needs;
+    what passes goes to the hash join, which is exact and which adaptive execution splits where many
+    documents hold one passage.
+
+    Defined cases: NULL or empty texts hold nothing; items of fewer than ``SHORTEST`` tokens are left
+    out, and one shorter than a window is a window of its own length; a NULL doc_id or item_id is
+    reported as such; repeated rows, and items repeated under one id, are reported once; an empty table
+    on either side gives no rows; further columns are ignored.
+    """
+    found = held_items(docs, benchmark)
+    rows = docs.select("doc_id", document_key(docs).alias("key"))
+    ids = rows.join(found.select("key").distinct(), "key", "left_semi").distinct()
     return found.join(ids, "key").select("key", "doc_id", "item_id", "n_matched", "n_windows", "templated")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns kept."""
-    held = contaminated(docs, benchmark).select("key").distinct().withColumnRenamed("key", "_held")
-    return docs.join(held, document_key(docs) == F.col("_held"), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, all columns kept.
+
+    The texts stream past a hash of the keys dealt to their task; a sort would hold them in memory.
+    """
+    held = held_items(docs, benchmark).select(F.col("key").alias("_held")).distinct()
+    return docs.join(held.hint("shuffle_hash"), document_key(docs) == F.col("_held"), "left_anti")

@@ -131,11 +131,15 @@ def predicted(df: DataFrame, model: NaiveBayes, text: str = "text") -> Column:
     """Struct (lang, score) of a text column; the matrix travels to each executor once."""
     held = df.sparkSession.sparkContext.broadcast(model)
 
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [held.value.predict(t.as_py()) for t in texts]
+            names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
+            yield pa.StructArray.from_arrays([names, scores], ["lang", "score"])
+
     @F.arrow_udf("lang string, score double")
-    def predict(texts: pa.Array) -> pa.Array:
-        found = [held.value.predict(t.as_py()) for t in texts]
-        names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
-        return pa.StructArray.from_arrays([names, scores], ["lang", "score"])
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tidy(scan)(batches)
 
     return predict(F.col(text))
 

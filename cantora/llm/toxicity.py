@@ -72,6 +72,10 @@ class Scorer:
             found.update(self.voters[f"#{n}"] for n, p, sign in PATTERNS if f"#{n}" in self.voters and sign in text and p.search(text))
         return sorted(found)
 
+    def forget(self) -> None:
+        """Drop the words seen so far."""
+        self._known.clear()
+
     def score(self, text: str | None) -> float:
         z = self.bias + float(self.weights[self.votes(text)].sum())
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))))
@@ -221,9 +225,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
 def score_column(docs: DataFrame, scorer: Scorer, text: str = "text") -> Column:
     held = docs.sparkSession.sparkContext.broadcast(scorer)
 
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([held.value.score(t.as_py()) for t in texts], pa.float64())
+
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array([held.value.score(t.as_py()) for t in texts], pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tidy(scan, lambda: held.value.forget())(batches)
 
     return score(F.col(text))
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cantora.llm import language_id, toxicity
@@ -168,3 +169,16 @@ def test_fit_never_sees_held_out_labels(frame):
     docs = frame(rows, "doc_id long, text string")
     labels = frame([(i, int(crc(i, 5) == 0 or i % 7 == 0)) for i in range(200)], "doc_id long, toxic int")
     assert "scum" not in toxicity.train(docs, labels).voters
+
+
+def test_scoring_keeps_no_words_when_a_task_ends(frame, monkeypatch):
+    scorer = toxicity.Scorer({"bad": 0}, np.array([2.0]), -1.0)
+    docs, made = frame([(1, "a bad day")], "doc_id long, text string"), []
+    monkeypatch.setattr(toxicity.F, "arrow_udf", lambda kind: lambda f: made.append(f) or (lambda c: c))
+    toxicity.score_column(docs, scorer)
+    scores = [s.as_py() for batch in made[0](iter([pa.array(["a bad day", None]), pa.array(["fine"])])) for s in batch]
+    monkeypatch.undo()
+    assert scores == [scorer.score("a bad day"), scorer.score(None), scorer.score("fine")]
+    scorer.forget()
+    list(made[0](iter([pa.array(["a bad day"])])))
+    assert not scorer._known

@@ -192,6 +192,23 @@ def test_decontaminate_cases(odd_docs, no_docs, frame, prose):
     assert decontaminate.decontaminate(no_docs, items).count() == 0
 
 
+def test_decontamination_sorts_no_texts(spark, frame, prose):
+    docs = frame([(i, prose(60, i)) for i in range(40)] + [(None, prose(60, 3)), (7, None)], "doc_id long, text string")
+    items = frame([(1, prose(60, 3)), (None, prose(60, 5))], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = decontaminate.decontaminate(docs, items)
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        join = next(line for line in plan.split("\n") if "Join" in line)
+        assert "ShuffledHashJoin" in join and "LeftAnti" in join
+        held = {r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()}
+        assert {3, 5, None} <= held
+        assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(i) for i in [*range(40), 7] if i not in held)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_windows_stay_inside_their_text(prose):
     texts = ["", "7 km", "km and 7 km to the mill by 12 of us", prose(30, 1), "x", prose(9, 2), " \n", "kg a b 3 kg c d e f g h"]
     tokens = decontaminate.Tokens()
