@@ -183,10 +183,11 @@ def _marks_sql(text: str) -> str:
     return f"(least({count('!')}, {EXCLAMATION_MAX}) * {EXCLAMATION_STEP}D + {ask})"
 
 
-def compound(text: str, rules: Rules | None = None) -> Column:
+def compound(text: str, rules: Rules | None = None, total: str | None = None) -> Column:
     """Compound sentiment in [-1, 1], four digits; 0.0 for a text without rated words.
 
-    ``text`` is a column name or SQL expression; NULL counts as the empty text.
+    ``text`` is a column name or SQL expression; NULL counts as the empty text. ``total`` is the sum of
+    the token scores where it is known already.
     """
     emphasized = (
         f"CASE WHEN total > 0 THEN total + {_marks_sql('body')} "
@@ -195,5 +196,5 @@ def compound(text: str, rules: Rules | None = None) -> Column:
     squashed = f"round(greatest(-1D, least(1D, x / sqrt(x * x + {NORMALIZER}D))), 4)"
     return F.expr(
         _let("body", f"coalesce({text}, '')",
-             _let("total", _sum_sql("body", rules or Rules()), _let("x", emphasized, squashed)))
+             _let("total", total or _sum_sql("body", rules or Rules()), _let("x", emphasized, squashed)))
     )

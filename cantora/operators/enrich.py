@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantora.functions import batches, sentiment
 from cantora.functions import metrics as M
-from cantora.functions import sentiment
 from cantora.operators.loading import update_rows
 from cantora.operators.shape import pending
 from cantora.schemas import METRICS
@@ -51,6 +51,27 @@ def with_metrics(
     )
 
 
+def with_all_metrics(lyrics: DataFrame, rules: sentiment.Rules | None = None) -> DataFrame:
+    """All metrics of ``text`` as ``with_metrics`` gives them, for whole tables.
+
+    What they are made of is counted for many texts at once; the few texts with unusual characters are left
+    to the expressions.
+    """
+    native = metric_columns("text", METRICS, rules)
+    kept = [F.col(f"`{c}`") for c in lyrics.columns if c not in native]
+    rows = lyrics.select(*kept, batches.scores(F.coalesce("text", F.lit("")), rules).alias("__b"))
+    n = {c: F.col(f"__b.{c}") for c in batches.SCORES}
+    counted = {
+        "readability_score": M.flesch(n["words"], n["sentences"], n["syllables"]),
+        "sentiment_score": sentiment.compound("`text`", rules, total="__b.rating"),
+        "lexical_density": M.density(n["content"], n["tokens"]),
+        **{c: n[c] for c in ("word_count", "line_count", "char_count")},
+    }
+    packed = [F.struct(*[made[m].alias(m) for m in METRICS]) for made in (counted, native)]
+    chosen = F.when(F.col("__b").isNotNull(), packed[0]).otherwise(packed[1])
+    return rows.select(*kept, F.explode(F.array(chosen)).alias("__m")).select(*kept, *[F.col(f"__m.{m}").alias(m) for m in METRICS])
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Input of heavy row-local work on at least as many tasks as there are cores.
 

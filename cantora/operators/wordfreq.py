@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantora.functions import batches
 from cantora.functions.metrics import is_stopword, word_tokens
 from cantora.functions.text import let
 from cantora.functions.wordlists import STOPWORDS
@@ -30,11 +31,13 @@ def track_words(lyrics: DataFrame, key: str = "track_id", stopwords: Sequence[st
 def packed_counts(lyrics: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """``lyrics`` with ``words`` (the different words that count, sorted, joined by spaces) and ``counts`` for ``text``.
 
-    Row-local: where every track has one row, its words need no shuffle to be counted. The sorted words
-    are cut where one differs from the one before it. Rows without such words drop out.
+    Row-local: where every track has one row, its words need no shuffle to be counted. Many texts are split and
+    counted at once; those with unusual characters are left to the expressions, where sorted words are cut where
+    one differs from the one before it. Rows without such words drop out.
     """
     kept = [c for c in lyrics.columns if c != "text"]
-    found = F.filter(word_tokens(F.coalesce("text", F.lit(""))), lambda w: ~is_stopword(w, stopwords))
+    text = F.coalesce("text", F.lit(""))
+    found = F.filter(word_tokens(text), lambda w: ~is_stopword(w, stopwords))
 
     def runs(words: Column) -> Column:
         cuts = F.filter(
@@ -44,8 +47,22 @@ def packed_counts(lyrics: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Da
             F.transform(begins, lambda i, n: F.coalesce(F.get(begins, n + 1), F.size(words)) - i).alias("counts")))
 
     counted = let(F.sort_array(found), lambda words: F.when(F.size(words) > 0, runs(words)))
-    rows = lyrics.select(*kept, F.explode(F.array(counted)).alias("__w")).where(F.col("__w").isNotNull())
-    return rows.select(*kept, "__w.words", "__w.counts")
+    rows = lyrics.select(*kept, "text", batches.word_counts(text, stopwords).alias("__b"))
+    rows = rows.select(*kept, F.explode(F.array(F.when(F.col("__b").isNotNull(), F.col("__b")).otherwise(counted))).alias("__w"))
+    return rows.where(F.size("__w.counts") > 0).select(*kept, "__w.words", "__w.counts")
+
+
+def merged_counts(packed: DataFrame, key: str) -> DataFrame:
+    """Rows of ``packed_counts`` that lie in the order of ``key`` in their task, as one row a key with the sums.
+
+    Only what one task holds is merged. No table of all words is kept: a key's words are at most in memory.
+    """
+    wide = packed.withColumn("counts", F.col("counts").cast("array<bigint>"))
+
+    def scan(rows):
+        return batches.merge(rows, key)
+
+    return wide.mapInArrow(scan, wide.schema)
 
 
 def unpacked_counts(packed: DataFrame) -> DataFrame:

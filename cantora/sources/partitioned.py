@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART = "part"
+TASK_BYTES = 16 << 20  # of stored rows
 
 
 def _path(spark: SparkSession, path: str):
@@ -32,6 +33,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(found, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, found = _path(spark, path)
+    return fs.getContentSummary(found).getLength()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs, found = _path(spark, source)
     place = spark._jvm.org.apache.hadoop.fs.Path(target)
@@ -60,8 +67,17 @@ class PartitionedTables:
 
     def summed(self, rows: DataFrame, table: str, keys: Sequence[str], value: str) -> DataFrame:
         """Sums of ``value`` by ``keys``, the table's key among them, already placed: one shuffle for both."""
-        parts = rows.withColumn(PART, self.part(table)).repartition(PART)
-        return parts.groupBy(PART, *keys).agg(F.sum(value).alias(value))
+        return self.ranged(rows, table, self.path(table)).groupBy(PART, *keys).agg(F.sum(value).alias(value))
+
+    def ranged(self, rows: DataFrame, table: str, like: str) -> DataFrame:
+        """``rows`` with their partition, whole keys dealt out by ranges of both: each task holds few partitions.
+
+        The tasks are as many as the bytes below ``like`` ask for, so that none grows with the table, nor is
+        bound to the number of partitions.
+        """
+        spark = rows.sparkSession
+        n = max(spark.sparkContext.defaultParallelism, -(-size(spark, like) // TASK_BYTES))
+        return rows.withColumn(PART, self.part(table)).repartitionByRange(n, PART, self.keys[table])
 
     def _write(self, rows: DataFrame, table: str, path: str) -> None:
         if PART not in rows.columns:

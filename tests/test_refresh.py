@@ -178,3 +178,30 @@ def test_new_contents_are_written_once(spark, tmp_path, monkeypatch):
     aside = {n for d, _, ns in os.walk(f"{marts.root}/next") if "part=" in d for n in ns if n.startswith("part-")}
     marts.tables.recover(spark)
     assert aside and aside <= {os.path.basename(f) for f in files_of(marts.root)}
+
+
+def test_a_text_is_split_once(spark, tmp_path, monkeypatch):
+    """The words of a text serve the table of tracks and that of albums."""
+    calls, packed = [], wordfreq.packed_counts
+    monkeypatch.setattr(wordfreq, "packed_counts", lambda *a, **k: calls.append(1) or packed(*a, **k))
+    marts = LyricsMarts(str(tmp_path / "marts"), parts=8)
+    marts.build(lyrics(spark, texts_at_first()))
+    assert len(calls) == 1
+    marts.apply(spark.createDataFrame([(1, 1, "quite different", False, 1)], DDL))
+    assert len(calls) == 2
+
+
+def test_albums_without_changes_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Only rows of altered albums, those without an id among them, go through the sums."""
+    marts = LyricsMarts(str(tmp_path / "marts"), parts=2)
+    texts = texts_at_first() | {70: (None, "without album"), 71: (None, "without love")}
+    marts.build(lyrics(spark, texts))
+    seen, summed = [], partitioned.PartitionedTables.summed
+    with monkeypatch.context() as m:
+        m.setattr(partitioned.PartitionedTables, "summed", lambda self, rows, *a: seen.append(rows.select("album_id").distinct().collect()) or summed(self, rows, *a))
+        marts.apply(spark.createDataFrame([(71, None, "without rain", False, 1), (3, 3, "rain", False, 1)], DDL))
+    assert {r["album_id"] for r in seen[0]} == {None, 3}
+    texts |= {71: (None, "without rain"), 3: (3, "rain")}
+    other = LyricsMarts(str(tmp_path / "other"), parts=2)
+    other.build(lyrics(spark, texts))
+    assert content(marts, spark) == content(other, spark)
